@@ -18,6 +18,9 @@ FIRST_BYTE_ID = 4
 FIRST_MERGE_ID = 260
 SPACE_ID = FIRST_BYTE_ID + 32
 
+# Stands before and after a word; beyond any token's code point.
+EDGE = "\U0010ffff"
+
 _SURROGATES_FROM, _SURROGATES_TO = 0xD800, 0xE000
 _GAP = _SURROGATES_TO - _SURROGATES_FROM
 
@@ -35,6 +38,11 @@ def symbol_id(char: Column) -> Column:
     ).cast("int")
 
 
+def symbol_index_sql(char: str) -> str:
+    """SQL for the position of a symbol among all symbols, from 0."""
+    return f"ascii({char}) - if(ascii({char}) >= {_SURROGATES_TO}, {_GAP}, 0)"
+
+
 def byte_symbols(text: Column) -> Column:
     """Text to one symbol per UTF-8 byte (Latin-1 maps each byte to its own code point)."""
     return F.decode(text.cast("binary"), "ISO-8859-1")
@@ -57,13 +65,8 @@ def apply_rules(symbols: Column, rules: list[str]) -> Column:
 
 
 def windows(symbols: Column, width: int) -> Column:
-    """Overlapping runs of ``width`` symbols; empty array for shorter sequences."""
-    parts = F.split(symbols, "")
-    last = F.length(symbols) - width
-    return F.when(
-        last >= 0,
-        F.transform(
-            F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-            lambda i: F.concat(*[F.get(parts, i + k) for k in range(width)]),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
+    """Overlapping runs of ``width`` symbols; empty array for shorter sequences.
+
+    The lookahead captures a run and the match itself moves on by one symbol.
+    """
+    return F.regexp_extract_all(symbols, F.lit(f"(?s)(?=(.{{{width}}}))."), F.lit(1))

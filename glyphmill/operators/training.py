@@ -1,9 +1,9 @@
 """Learning BPE merges over the table of distinct words.
 
 The state is two tables in the shared folder: the words as symbols, and the counts of
-adjacent pairs with the symbol before or after them. A round reads both, corrects the
-counts by the difference on words the latest merges change, and takes as many merges as
-are provably the next ones of the one-at-a-time order. The driver sees a fixed number of
+three symbols in a row. A round reads both, corrects the counts by the difference on words
+the latest merges change, and takes as many merges as are provably the next ones of the
+one-at-a-time order. The driver sees a fixed number of
 candidate pairs per round, never words.
 """
 
@@ -23,32 +23,25 @@ MAX_BATCH = 32
 # Merges applied on the fly before the tables are written anew.
 MAX_PENDING = 32
 
-# Every adjacent pair of a word twice: with the symbol before it and the one after it
-# ('' at the ends of the word).
-_CONTEXTS = """
-    flatten(transform(sequence(0, length(symbols) - 2), i -> array(
-        struct(concat(get(parts, i), get(parts, i + 1)) as pair,
-               true as after, coalesce(get(parts, i + 2), '') as neighbour),
-        struct(concat(get(parts, i), get(parts, i + 1)) as pair,
-               false as after, coalesce(get(parts, i - 1), '') as neighbour))))
-"""
 
+def _trigrams(symbol_rows: DataFrame) -> DataFrame:
+    """``(trigram, freq)`` of the words between edge marks, not yet summed.
 
-def _contexts(symbol_rows: DataFrame) -> DataFrame:
-    """``(pair, after, neighbour, freq)`` from ``(freq, symbols)``, not yet summed."""
-    return (
-        symbol_rows.where("length(symbols) > 1")
-        .selectExpr("freq", "symbols", "split(symbols, '') as parts")
-        .selectExpr("freq", f"inline({_CONTEXTS})")
+    ``a b c`` says how often the pair ``a b`` is followed by ``c`` and how often ``b c``
+    comes after ``a``; the edge marks stand for the ends of a word.
+    """
+    edge = F.lit(sy.EDGE)
+    return symbol_rows.where(F.length("symbols") > 1).select(
+        F.explode(sy.windows(F.concat(edge, "symbols", edge), 3)).alias("trigram"), "freq"
     )
 
 
-def _summed(contexts: DataFrame) -> DataFrame:
-    return contexts.groupBy("pair", "after", "neighbour").agg(F.sum("freq").alias("freq"))
+def _summed(trigrams: DataFrame) -> DataFrame:
+    return trigrams.groupBy("trigram").agg(F.sum("freq").alias("freq"))
 
 
 class _State:
-    """Words and context counts as written tables, plus the rules applied since.
+    """Words and trigram counts as written tables, plus the rules applied since.
 
     Two folders per table are overwritten in turn: the space used stays bounded and a table
     still being read is never touched. A lost executor costs one step from those tables.
@@ -59,17 +52,17 @@ class _State:
         self.pending: list[str] = []
         partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         self.words = self._written(words.repartition(partitions), "words")
-        self.contexts = self._written(_summed(_contexts(self.words)), "contexts")
+        self.trigrams = self._written(_summed(_trigrams(self.words)), "trigrams")
 
     def _written(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.prefix}/{name}-{self.writes % 2}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def current_contexts(self) -> DataFrame:
-        """Context counts after the pending rules, from changed words only."""
+    def current_trigrams(self) -> DataFrame:
+        """Counts after the pending rules, corrected on the changed words only."""
         if not self.pending:
-            return self.contexts
+            return self.trigrams
         moved = (
             self.words.select(
                 "freq", "symbols", sy.apply_rules(F.col("symbols"), self.pending).alias("now")
@@ -77,44 +70,50 @@ class _State:
             .where("symbols <> now")
             .selectExpr("inline(array(struct(-freq as freq, symbols), struct(freq, now as symbols)))")
         )
-        return _summed(self.contexts.unionByName(_contexts(moved))).where("freq > 0")
+        return _summed(self.trigrams.unionByName(_trigrams(moved))).where("freq > 0")
 
     def apply(self, rules: list[str]) -> None:
         self.pending = self.pending + rules
         if len(self.pending) < MAX_PENDING:
             return
         self.writes += 1
-        contexts = self._written(self.current_contexts(), "contexts")
+        trigrams = self._written(self.current_trigrams(), "trigrams")
         words = self._written(
             self.words.select(
                 "freq", sy.apply_rules(F.col("symbols"), self.pending).alias("symbols")
             ).where("length(symbols) > 1"),
             "words",
         )
-        self.words, self.contexts, self.pending = words, contexts, []
+        self.words, self.trigrams, self.pending = words, trigrams, []
 
 
-def _candidates(contexts: DataFrame, token_hex: list[str]) -> list:
+def _candidates(trigrams: DataFrame, token_hex: list[str]) -> list:
     """The most frequent pairs in merge order, each with its most frequent neighbours.
 
     Pairs of equal count are ordered by the bytes of the left, then the right token.
     """
-    table = F.split(F.lit(",".join(token_hex)), ",")
-
-    def token(position: int):
-        return F.get(table, sy.symbol_id(F.substring("pair", position, 1)) - sy.FIRST_BYTE_ID)
-
-    neighbours = "collect_list(struct(freq, after, neighbour)) filter (where neighbour <> '')"
-    return (
-        contexts.groupBy("pair")
-        .agg(
-            F.expr("sum(freq) filter (where after)").alias("freq"),
-            F.expr(f"slice(sort_array({neighbours}, false), 1, {NEIGHBOURS})").alias("neighbours"),
-        )
-        .orderBy(F.desc("freq"), token(1), token(2))
-        .limit(CANDIDATES)
-        .collect()
-    )
+    spark = trigrams.sparkSession
+    return spark.sql(
+        f"""
+        SELECT pair, freq, neighbours FROM (
+            SELECT pair,
+                sum(freq) FILTER (WHERE after) AS freq,
+                slice(sort_array(collect_list(struct(freq, after, neighbour))
+                    FILTER (WHERE neighbour <> :edge), false), 1, {NEIGHBOURS}) AS neighbours
+            FROM (
+                SELECT freq, inline(array(
+                    struct(left(trigram, 2) AS pair, right(trigram, 1) AS neighbour, true AS after),
+                    struct(right(trigram, 2) AS pair, left(trigram, 1) AS neighbour, false AS after)))
+                FROM {{trigrams}})
+            WHERE NOT contains(pair, :edge) GROUP BY pair)
+        ORDER BY freq DESC,
+            get(split(:tokens, ','), {sy.symbol_index_sql("left(pair, 1)")}),
+            get(split(:tokens, ','), {sy.symbol_index_sql("right(pair, 1)")})
+        LIMIT {CANDIDATES}
+        """,
+        args={"edge": sy.EDGE, "tokens": ",".join(token_hex)},
+        trigrams=trigrams,
+    ).collect()
 
 
 def _provably_next(candidates: list, limit: int) -> list:
@@ -165,7 +164,7 @@ def learn_merges(
     symbol_of = {token: char for char, token in token_of.items()}
     token_hex = [token.hex() for token in symbol_of]
     while len(merges) < wanted:
-        candidates = _candidates(state.current_contexts(), token_hex)
+        candidates = _candidates(state.current_trigrams(), token_hex)
         rules = []
         for row in _provably_next(candidates, min(max_batch, wanted - len(merges))):
             left, right = (token_of[char] for char in row.pair)

@@ -106,11 +106,7 @@ def first_merge(spark, folder):
     """Every distinct word after the best pair of all is merged once."""
     frequency = wd.word_frequency(documents(spark, folder))
     tokenizer = learn_merges(frequency, sy.FIRST_MERGE_ID + 1)
-    merged = sy.apply_rules(sy.byte_symbols(F.col("word")), tokenizer.rules)
-    tokens = F.transform(
-        sy.symbol_ids(merged), lambda i: tx.to_hex(tokenizer.decode_bytes(F.array(i)))
-    )
-    return frequency.select("word", F.array_join(tokens, " ").alias("symbols"))
+    return _with_ids(encode_words(frequency, tokenizer))
 
 
 # -- training ------------------------------------------------------------------

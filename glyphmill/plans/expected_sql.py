@@ -307,8 +307,8 @@ def statements() -> dict[str, str]:
         "pair_frequency": with_(WORD_FREQ, PAIRS) + 'SELECT "left", "right", freq FROM pairs',
         "best_pair": with_(WORD_FREQ, PAIRS)
         + 'SELECT "left", "right", freq FROM pairs ORDER BY freq DESC, "left", "right" LIMIT 1',
-        "first_merge": with_(WORD_FREQ, *training(1))
-        + """SELECT word, s[2:-2] AS symbols FROM (SELECT word, replace(s, '><', ' ') AS s FROM encoded)""",
+        "first_merge": with_(WORD_FREQ, *training(1), DICT)
+        + f"SELECT word, freq, {joined('ids')} AS token_ids FROM dict",
         # training
         "train_merges": merge_list + merges_out,
         "train_from_chunks": with_(
