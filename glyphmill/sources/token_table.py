@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -37,7 +38,7 @@ def _load(spark: SparkSession, path: str, schema) -> DataFrame | None:
         expected = spark.read.parquet(f"{path}/manifest").first().n_rows
         stored = spark.read.schema(schema).parquet(f"{path}/tokens")
         return stored if stored.count() == expected else None
-    except (PySparkException, AttributeError):
+    except (PySparkException, Py4JJavaError, AttributeError):
         return None
 
 
