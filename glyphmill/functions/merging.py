@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+
 # Words remembered by one worker; it forgets and starts over beyond that.
 MEMO_WORDS = 500_000
 # Longer words take every rule in turn instead of searching for the next one.
@@ -28,6 +30,12 @@ def merge_symbols(word: str, rules: list[str], rank_of: dict[str, int]) -> str:
     return word
 
 
+def symbol_ids(symbols: str) -> np.ndarray:
+    """Token ids of a symbol string: its code points, shifted past the special tokens."""
+    points = np.frombuffer(symbols.encode("utf-32-le"), dtype=np.int32)
+    return np.where(points >= 0xE000, points - 0x800, points) + np.int32(4)
+
+
 class Memo(dict):
     """word -> symbols, filled on first use."""
 
@@ -44,3 +52,7 @@ class Memo(dict):
                 self.clear()
             self[word] = merged
         return merged
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of words separated by single spaces; the space is a token of its own."""
+        return symbol_ids(" ".join(map(self.__getitem__, text.split(" "))) if text else "")

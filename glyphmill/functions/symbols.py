@@ -31,11 +31,12 @@ def symbol(token_id: int) -> str:
     return chr(point if point < _SURROGATES_FROM else point + _GAP)
 
 
-def symbol_id(char: Column) -> Column:
+def symbol_id(char: Column, n_tokens: int | None = None) -> Column:
+    """Id of a symbol; with a vocabulary that ends below the surrogates the step is left out."""
     point = F.ascii(char)
-    return (
-        F.when(point >= _SURROGATES_TO, point - _GAP).otherwise(point) + FIRST_BYTE_ID
-    ).cast("int")
+    if n_tokens is None or n_tokens > _SURROGATES_FROM:
+        point = F.when(point >= _SURROGATES_TO, point - _GAP).otherwise(point)
+    return point + FIRST_BYTE_ID
 
 
 def symbol_index_sql(char: str) -> str:
@@ -52,9 +53,9 @@ def symbol_list(symbols: Column) -> Column:
     return F.array_remove(F.split(symbols, ""), "")
 
 
-def symbol_ids(symbols: Column) -> Column:
+def symbol_ids(symbols: Column, n_tokens: int | None = None) -> Column:
     """``ARRAY<INT>`` of token ids; an empty string gives an empty array."""
-    return F.transform(symbol_list(symbols), symbol_id)
+    return F.transform(symbol_list(symbols), lambda char: symbol_id(char, n_tokens))
 
 
 def apply_rules(symbols: Column, rules: list[str]) -> Column:

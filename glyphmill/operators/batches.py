@@ -81,15 +81,15 @@ def next_token_pairs(
     ids = F.col("token_ids")
     if max_seq_len is not None:
         ids = F.slice(ids, 1, max_seq_len + 1)
+    n_steps = F.greatest(F.size("ids") - 1, F.lit(0))
     return (
         tokens.select(*keys, ids.alias("ids"))
-        .where(F.size("ids") > 1)
         .select(
             *keys,
             F.posexplode(
                 F.arrays_zip(
-                    F.slice("ids", F.lit(1), F.size("ids") - 1).alias("input"),
-                    F.slice("ids", F.lit(2), F.size("ids") - 1).alias("target"),
+                    F.slice("ids", F.lit(1), n_steps).alias("input"),
+                    F.slice("ids", F.lit(2), n_steps).alias("target"),
                 )
             ).alias("pos", "pair"),
         )

@@ -25,20 +25,22 @@ def next_token_counts(
     ids = F.col("token_ids")
     if max_seq_len is not None:
         ids = F.slice(ids, 1, max_seq_len + 1)
-    steps = F.transform(
-        F.sequence(F.lit(0), F.size("ids") - F.lit(context_size + 1)),
-        lambda i: F.struct(
-            F.slice("ids", i + 1, F.lit(context_size)).alias("context"),
-            F.get("ids", i + context_size).alias("next"),
-        ),
+    context = [f"c{i}" for i in range(context_size)]
+    # Short rows give no steps. A filter on their size would be pushed down and encode twice.
+    n_steps = F.greatest(F.size("ids") - context_size, F.lit(0))
+    steps = F.arrays_zip(
+        *[
+            F.slice("ids", F.lit(i + 1), n_steps).alias(name)
+            for i, name in enumerate([*context, "next"])
+        ]
     )
     return (
         tokens.select(ids.alias("ids"))
-        .where(F.size("ids") > context_size)
         .select(F.inline(steps))
         .where(F.col("next") != sy.PAD)
-        .groupBy("context", "next")
+        .groupBy(*context, "next")
         .agg(F.count("*").alias("freq"))
+        .select(F.array(*context).alias("context"), "next", "freq")
     )
 
 

@@ -39,16 +39,13 @@ MERGES_SCHEMA = T.StructType(
 
 
 def _encoder(rules: list[str]):
-    """Arrow UDF: words separated by single spaces -> symbols, the space kept as a symbol."""
+    """Arrow UDF: words separated by single spaces -> token ids."""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf("array<int>")
     def encode_words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         memo = merging.Memo(rules)
         for batch in batches:
-            yield batch.map(
-                lambda text: " ".join(map(memo.__getitem__, text.split(" "))) if text else text,
-                na_action="ignore",
-            )
+            yield batch.map(memo.encode, na_action="ignore")
 
     return encode_words
 
@@ -147,8 +144,8 @@ class Tokenizer:
 
     # -- encode --------------------------------------------------------------
 
-    def symbols(self, text: Column | str, inline: bool | None = None) -> Column:
-        """Text as symbols, words joined by one space symbol.
+    def encode(self, text: Column | str, inline: bool | None = None) -> Column:
+        """``ARRAY<INT>`` of token ids, words joined by one space token; null for null.
 
         A map either way, without a shuffle: few rules run as generated code, many through
         an Arrow UDF that merges each distinct word of its task once. ``inline`` overrides
@@ -156,13 +153,10 @@ class Tokenizer:
         """
         joined = F.array_join(tx.words(text), " ")
         if len(self.rules) <= MAX_INLINE_RULES if inline is None else inline:
-            return sy.apply_rules(sy.byte_symbols(joined), self.rules)
+            symbols = sy.apply_rules(sy.byte_symbols(joined), self.rules)
+            return sy.symbol_ids(symbols, len(self.tokens))
         return _encoder(self.rules)(joined)
 
-    def encode(self, text: Column | str, inline: bool | None = None) -> Column:
-        """``ARRAY<INT>`` of token ids; null for null."""
-        return sy.symbol_ids(self.symbols(text, inline))
-
     def encode_prompt(self, text: Column | str) -> Column:
         """Ids after BOS, open at the end."""
         return F.concat(F.array(F.lit(sy.BOS)), self.encode(text))
@@ -172,16 +166,18 @@ class Tokenizer:
 
     # -- decode --------------------------------------------------------------
 
-    def _token_hex(self) -> Column:
+    def _token_hex(self, silent: tuple[int, ...] = ()) -> Column:
         """The vocabulary as one constant array of hex strings, indexed by id."""
-        return F.split(F.lit(",".join(t.hex() for t in self.tokens)), ",")
+        return F.split(
+            F.lit(",".join("" if i in silent else t.hex() for i, t in enumerate(self.tokens))), ","
+        )
 
     def decode_bytes(self, ids: Column | str) -> Column:
+        """PAD, BOS and EOS decode to nothing, and so do ids outside the vocabulary."""
+        table = self._token_hex(silent=(sy.PAD, sy.BOS, sy.EOS))
         ids = F.col(ids) if isinstance(ids, str) else ids
-        kept = F.filter(ids, lambda i: ~i.isin(sy.PAD, sy.BOS, sy.EOS))
-        table = self._token_hex()
-        # array_join leaves out the nulls of ids outside the vocabulary.
-        return F.unhex(F.array_join(F.transform(kept, lambda i: F.get(table, i)), ""))
+        # array_join leaves out the nulls of unknown ids.
+        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), ""))
 
     def decode(self, ids: Column | str) -> Column:
         """Text of token ids, ill-formed UTF-8 replaced; PAD, BOS, EOS and unknown ids dropped."""

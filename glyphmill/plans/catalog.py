@@ -22,7 +22,7 @@ from glyphmill.operators.training import learn_merges, train_tokenizer
 from glyphmill.plans.corpus import build_training_set, complete_prompts, train_on_chunks
 from glyphmill.session import scratch_path
 from glyphmill.sources import tokenizer_files as tf
-from glyphmill.sources.corpus import describe_schema, read_corpus
+from glyphmill.sources.corpus import describe_schema, read_corpus, spread
 from glyphmill.sources.token_table import token_table
 from glyphmill.streaming import jobs
 
@@ -39,7 +39,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents")
+    """The documents, spread over the cores for the work their texts take."""
+    return spread(table(spark, folder, "documents"))
 
 
 def trained(spark: SparkSession, folder: str, vocab_size: int = VOCAB_SIZE) -> Tokenizer:
@@ -188,9 +189,9 @@ def encode_prompts(spark, folder):
 def stored_tokens(spark, folder):
     """The token table from its store: computed and written, then found and read."""
     docs, tokenizer = documents(spark, folder), trained(spark, folder)
-    store = scratch_path(spark, "tokens")
-    token_table(docs, tokenizer, store, "doc_id")
-    return _with_ids(token_table(docs, tokenizer, store, "doc_id"))
+    scan, store = table(spark, folder, "documents"), scratch_path(spark, "tokens")
+    token_table(docs, tokenizer, store, "doc_id", source=scan)
+    return _with_ids(token_table(docs, tokenizer, store, "doc_id", source=scan))
 
 
 def decode_documents(spark, folder):
@@ -226,23 +227,28 @@ def token_strings(spark, folder):
 
 
 def train_valid_split(spark, folder):
-    docs = documents(spark, folder).where("text is not null")
+    docs = table(spark, folder, "documents").where("text is not null")
     return ordering.train_valid_split(docs, "doc_id").select("doc_id", "split")
 
 
 def shuffled_order(spark, folder):
-    docs = documents(spark, folder).where("text is not null").select("doc_id")
+    docs = table(spark, folder, "documents").where("text is not null").select("doc_id")
     return ordering.shuffled_rank(docs, "doc_id", bt.SEED).withColumn("rn", F.col("rn").cast("bigint"))
 
 
 def sample_at_index(spark, folder):
-    return ordering.get_sample(documents(spark, folder).select("doc_id", "text"), "doc_id", 137)
+    return ordering.get_sample(table(spark, folder, "documents").select("doc_id", "text"), "doc_id", 137)
 
 
 def _training_set(spark, folder):
     store = scratch_path(spark, "training-set")
     return build_training_set(
-        documents(spark, folder), trained(spark, folder), store, "doc_id", vocab_size=VOCAB_SIZE
+        documents(spark, folder),
+        trained(spark, folder),
+        store,
+        "doc_id",
+        vocab_size=VOCAB_SIZE,
+        source=table(spark, folder, "documents"),
     )
 
 
@@ -325,7 +331,7 @@ def loss_by_split(spark, folder):
 
 
 def _stream(spark, folder):
-    schema = documents(spark, folder).schema
+    schema = table(spark, folder, "documents").schema
     return jobs.read_stream(spark, f"{folder}/documents*.parquet", schema)
 
 
@@ -358,7 +364,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     on_documents = lambda f: lambda spark, folder: f(documents(spark, folder))
     on = lambda name, f: lambda spark, folder: f(table(spark, folder, name))
     return {
-        "schema_summary": on_documents(describe_schema),
+        "schema_summary": on("documents", describe_schema),
         "profile_documents": on_documents(pf.profile),
         "profile_conversations": on("conversations", pf.profile),
         "profile_pages": on("pages", pf.profile),
@@ -370,7 +376,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda df: pf.char_frequency(df, "text", sample_rows=1000, key="doc_id")
         ),
         "length_histogram": on_documents(pf.length_histogram),
-        "sample_texts": on_documents(lambda df: pf.sample_texts(df, "doc_id")),
+        "sample_texts": on("documents", lambda df: pf.sample_texts(df, "doc_id")),
         "previews": on("pages", lambda df: df.select("page_id", tx.preview("html").alias("preview"))),
         "word_positions": on_documents(lambda df: wd.word_positions(df, "doc_id")),
         "word_frequency": on_documents(wd.word_frequency),
@@ -404,7 +410,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "shuffled_order": shuffled_order,
         "train_valid_split": train_valid_split,
         "sample_at_index": sample_at_index,
-        "sample_index": on_documents(lambda df: ordering.key_rank(df.select("doc_id"), "doc_id")),
+        "sample_index": on("documents", lambda df: ordering.key_rank(df.select("doc_id"), "doc_id")),
         "train_batches": train_batches,
         "valid_batches": valid_batches,
         "stacked_batches": stacked_batches,

@@ -63,11 +63,12 @@ def build_training_set(
     vocab_size: int | None = None,
     train_ratio: float = TRAIN_RATIO,
     seed: int = SEED,
+    source: DataFrame | None = None,
 ) -> TrainingSet:
     """Check the vocabulary, store or find the token table, split it."""
     if vocab_size is not None:
         tokenizer.require_size(vocab_size)
-    tokens = token_table(df, tokenizer, folder, key, column=column)
+    tokens = token_table(df, tokenizer, folder, key, column=column, source=source)
     labelled = train_valid_split(tokens, key, train_ratio, seed)
     return TrainingSet(
         tokens,

@@ -13,6 +13,16 @@ def read_corpus(spark: SparkSession, *paths: str, text: str | None = None) -> Da
     return df
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A plain scan, over all cores even if its files give fewer splits than there are cores.
+
+    Such an input is at most one split per core, so the shuffle stays small; a larger one is
+    read as it lies.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() <= cores else scan
+
+
 def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
 

@@ -43,16 +43,22 @@ def _load(spark: SparkSession, path: str, schema) -> DataFrame | None:
 
 
 def token_table(
-    df: DataFrame, tokenizer: Tokenizer, folder: str, *keys: str, column: str = "text"
+    df: DataFrame,
+    tokenizer: Tokenizer,
+    folder: str,
+    *keys: str,
+    column: str = "text",
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """``token_rows`` read from ``folder`` when stored there for this tokenizer and source.
 
     The manifest is written after the table; a table without one counts as absent, and an
-    unreadable one is computed again.
+    unreadable one is computed again. ``source`` is the scan ``df`` was made from, where
+    that is not ``df`` itself.
     """
     spark = df.sparkSession
-    source = source_fingerprint(df, *keys, column)
-    path = f"{folder.rstrip('/')}/{tokenizer.fingerprint}-{source}-{'-'.join((*keys, column))}"
+    identity = source_fingerprint(df if source is None else source, *keys, column)
+    path = f"{folder.rstrip('/')}/{tokenizer.fingerprint}-{identity}-{'-'.join((*keys, column))}"
     fresh = token_rows(df, tokenizer, *keys, column=column)
     stored = _load(spark, path, fresh.schema)
     if stored is not None:
