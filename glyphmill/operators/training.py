@@ -12,13 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from glyphmill.functions import symbols as sy
+from glyphmill.operators.merge_batch import CANDIDATES, NEIGHBOURS, Vocabulary, take_batch
 from glyphmill.operators.tokenizer import DEFAULT_VOCAB_SIZE, Tokenizer
 from glyphmill.operators.words import symbol_table, word_frequency
 from glyphmill.session import scratch_path
 
-# Pairs looked at per round, neighbours kept of each, and the most merges of one round.
-CANDIDATES = 128
-NEIGHBOURS = 32
+# The most merges of one round.
 MAX_BATCH = 32
 # Merges applied on the fly before the tables are written anew.
 MAX_PENDING = 32
@@ -116,36 +115,6 @@ def _candidates(trigrams: DataFrame, token_hex: list[str]) -> list:
     ).collect()
 
 
-def _provably_next(candidates: list, limit: int) -> list:
-    """The candidates that one-at-a-time training would merge next, in its order.
-
-    Merging ``l r`` does two things to counts. It creates pairs ``(x, lr)`` and ``(lr, y)``,
-    at most as often as ``x l r`` and ``l r y`` stood before: the count of the top neighbour
-    bounds them all. And it lowers pairs that end in ``l`` or start with ``r``, by exactly
-    the number of places where they stood next to it. Pairs that share no such border with
-    an earlier merge keep their counts, so a candidate is next as long as its count is above
-    everything created and everything lowered so far. A tie ends the batch.
-    """
-    taken: list = []
-    ceiling = 0
-    for row in candidates:
-        if len(taken) == limit or row.freq <= ceiling:
-            break
-        left, right = row.pair
-        loss = {(n.after, n.neighbour): n.freq for n in row.neighbours}
-        losses = [loss.get((True, t.pair[1]), 0) for t in taken if t.pair[0] == right]
-        losses += [loss.get((False, t.pair[0]), 0) for t in taken if t.pair[1] == left]
-        if losses:
-            ceiling = max(ceiling, row.freq - max(losses))
-            continue
-        taken.append(row)
-        if row.neighbours:
-            ceiling = max(ceiling, row.neighbours[0].freq)
-        if left == right:
-            break
-    return taken
-
-
 def learn_merges(
     word_freq: DataFrame, vocab_size: int = DEFAULT_VOCAB_SIZE, max_batch: int = MAX_BATCH
 ) -> Tokenizer:
@@ -155,35 +124,18 @@ def learn_merges(
     the plain one-merge-per-round loop with the same result.
     """
     wanted = max(vocab_size - sy.FIRST_MERGE_ID, 0)
-    merges: list[tuple[bytes, bytes]] = []
-    freqs: list[int] = []
     if wanted == 0:
         return Tokenizer((), vocab_size)
     state = _State(symbol_table(word_freq), scratch_path(word_freq.sparkSession, "merges"))
-    token_of = {sy.symbol(sy.FIRST_BYTE_ID + b): bytes([b]) for b in range(256)}
-    symbol_of = {token: char for char, token in token_of.items()}
-    token_hex = [token.hex() for token in symbol_of]
-    while len(merges) < wanted:
-        candidates = _candidates(state.current_trigrams(), token_hex)
-        rules = []
-        for row in _provably_next(candidates, min(max_batch, wanted - len(merges))):
-            left, right = (token_of[char] for char in row.pair)
-            merged = left + right
-            known = merged in symbol_of
-            char = symbol_of.setdefault(merged, sy.symbol(sy.FIRST_MERGE_ID + len(merges)))
-            token_of.setdefault(char, merged)
-            token_hex.append(merged.hex())
-            merges.append((left, right))
-            freqs.append(row.freq)
-            rules.append(row.pair + char)
-            if known:
-                # The merge feeds an existing symbol, whose pairs may now grow.
-                break
+    vocabulary = Vocabulary()
+    while (missing := wanted - len(vocabulary.merges)) > 0:
+        candidates = _candidates(state.current_trigrams(), vocabulary.token_hex)
+        rules = take_batch(candidates, vocabulary, min(max_batch, missing))
         if not rules:
             break
-        if len(merges) < wanted:
+        if len(rules) < missing:
             state.apply(rules)
-    return Tokenizer(tuple(merges), vocab_size, tuple(freqs))
+    return Tokenizer(tuple(vocabulary.merges), vocab_size, tuple(vocabulary.freqs))
 
 
 def train_tokenizer(

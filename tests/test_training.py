@@ -3,7 +3,7 @@ import random
 import brute
 import pytest
 
-from glyphmill.operators import training, words
+from glyphmill.operators import merge_batch, training, words
 from glyphmill.operators.tokenizer import Tokenizer
 from glyphmill.operators.training import learn_merges, train_tokenizer
 from glyphmill.plans.corpus import train_on_chunks
@@ -52,65 +52,62 @@ def test_merges_equal_one_at_a_time_training(spark, seed):
     assert learned(learn_merges(counted(spark, counts), 300)) == expected
 
 
-def pair_table(tokens):
-    table = {}
+class _Row:
+    def __init__(self, **values):
+        self.__dict__.update(values)
+
+
+def pair_rows(tokens, vocabulary):
+    """What a round sees: the top pairs in merge order with their top neighbours."""
+    freqs, sides = {}, {}
     for word, freq in tokens:
         for i in range(len(word) - 1):
-            entry = table.setdefault(word[i] + word[i + 1], [0, {}])
-            entry[0] += freq
+            pair = word[i : i + 2]
+            freqs[pair] = freqs.get(pair, 0) + freq
+            near = sides.setdefault(pair, {})
             for after, j in ((True, i + 2), (False, i - 1)):
                 if 0 <= j < len(word):
-                    entry[1][after, word[j]] = entry[1].get((after, word[j]), 0) + freq
-    return table
-
-
-class _Row:
-    def __init__(self, **values):
-        self.__dict__.update(values)
+                    near[after, word[j]] = near.get((after, word[j]), 0) + freq
+    spelled = vocabulary.token_of
+    order = sorted(freqs, key=lambda p: (-freqs[p], spelled[p[0]], spelled[p[1]]))
+    return [
+        _Row(
+            pair=p,
+            freq=freqs[p],
+            neighbours=[
+                _Row(freq=f, after=a, neighbour=n)
+                for f, a, n in sorted(((f, a, n) for (a, n), f in sides[p].items()), reverse=True)[
+                    : merge_batch.NEIGHBOURS
+                ]
+            ],
+        )
+        for p in order[: merge_batch.CANDIDATES]
+    ]
 
 
-def test_batches_are_provable_on_many_random_corpora():
-    """The driver's choice per round, on every state of several thousand small corpora."""
-    tried = taken = 0
-    for seed in range(3000):
+@pytest.mark.parametrize("candidates, neighbours", [(128, 32), (4, 2), (12, 5)])
+def test_batches_keep_the_order_on_many_random_corpora(monkeypatch, candidates, neighbours):
+    """The choice per round, on several thousand corpora and with lists cut short."""
+    monkeypatch.setattr(merge_batch, "CANDIDATES", candidates)
+    monkeypatch.setattr(merge_batch, "NEIGHBOURS", neighbours)
+    rounds = taken = 0
+    for seed in range(1500):
         counts = random_counts(seed)
-        words_, symbols = [(list(w.encode().decode("latin-1")), f) for w, f in counts.items()], {}
-        for _ in range(6):
-            table = pair_table(words_)
-            spelled = lambda s: "".join(symbols.get(c, c) for c in s).encode("latin-1")
-            order = sorted(table, key=lambda p: (-table[p][0], spelled(p[0]), spelled(p[1])))
-            rows = [
-                _Row(
-                    pair=p,
-                    freq=table[p][0],
-                    neighbours=[
-                        _Row(freq=f, after=a, neighbour=n)
-                        for f, a, n in sorted(
-                            ((f, a, n) for (a, n), f in table[p][1].items()), reverse=True
-                        )[: training.NEIGHBOURS]
-                    ],
-                )
-                for p in order[: training.CANDIDATES]
-            ]
-            batch = training._provably_next(rows, 32)
-            if not batch:
+        table = [(w.encode().decode("latin-1"), f) for w, f in counts.items()]
+        vocabulary = merge_batch.Vocabulary()
+        while len(vocabulary.merges) < 25:
+            rows = pair_rows(table, vocabulary)
+            rules = merge_batch.take_batch(rows, vocabulary, 25 - len(vocabulary.merges))
+            if not rules:
                 break
-            tried += 1
-            for row in batch:
-                table = pair_table(words_)
-                best = min(table, key=lambda p: (-table[p][0], spelled(p[0]), spelled(p[1])))
-                assert (row.pair, row.freq) == (best, table[best][0])
-                spelling = symbols.get(best[0], best[0]) + symbols.get(best[1], best[1])
-                known = {v: k for k, v in symbols.items()}
-                char = known.get(spelling) or chr(0x100 + len(symbols))
-                symbols.setdefault(char, spelling)
-                words_ = [
-                    (list("".join(w).replace(best, char)), f) for w, f in words_
-                ]
-                taken += 1
-                if spelling in known:
-                    break
-    assert taken > tried
+            rounds += 1
+            taken += len(rules)
+            for rule in rules:
+                table = [(w.replace(rule[:2], rule[2]), f) for w, f in table]
+        got = [(*pair, freq) for pair, freq in zip(vocabulary.merges, vocabulary.freqs)]
+        assert got == brute.train(counts, 25), seed
+    print(f"{taken / rounds:.2f} merges per round")
+    assert taken > 1.2 * rounds
 
 
 def test_overlaps_count_twice_and_merge_once(spark):
