@@ -6,8 +6,10 @@ import numpy as np
 
 # Words remembered by one worker; it forgets and starts over beyond that.
 MEMO_WORDS = 500_000
-# Longer words take every rule in turn instead of searching for the next one.
+# Longer words, and short rule lists, take every rule in turn instead of searching for the
+# next one.
 LONG_WORD = 128
+FEW_RULES = 64
 
 
 def merge_symbols(word: str, rules: list[str], rank_of: dict[str, int]) -> str:
@@ -16,7 +18,7 @@ def merge_symbols(word: str, rules: list[str], rank_of: dict[str, int]) -> str:
     ``rank_of`` maps a pair to the rank of its rule. Only rules above the last one applied
     are candidates, which is what going through the whole list would do.
     """
-    if len(word) > LONG_WORD or len(rank_of) < len(rules):
+    if len(word) > LONG_WORD or len(rules) <= FEW_RULES or len(rank_of) < len(rules):
         for rule in rules:
             word = word.replace(rule[:2], rule[2])
         return word

@@ -8,19 +8,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from glyphmill.functions import symbols as sy
-from glyphmill.operators.batches import MAX_SEQ_LEN
 from glyphmill.operators.tokenizer import Tokenizer
 
 MAX_NEW_TOKENS = 50
 
 
 def next_token_counts(
-    tokens: DataFrame, context_size: int = 1, max_seq_len: int | None = MAX_SEQ_LEN
+    tokens: DataFrame, context_size: int = 1, max_seq_len: int | None = None
 ) -> DataFrame:
-    """``(context, next, freq)`` over the input/target pairs of every sample.
+    """``(context, next, freq)`` over the input/target pairs of every text.
 
-    The context is the last ``context_size`` ids up to the input token. Partial counts
-    absorb hot contexts before the shuffle.
+    The context is the last ``context_size`` ids up to the input token. ``max_seq_len``
+    counts model rows instead of whole texts. Partial counts absorb hot contexts before
+    the shuffle.
     """
     ids = F.col("token_ids")
     if max_seq_len is not None:

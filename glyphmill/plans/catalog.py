@@ -158,7 +158,9 @@ def word_token_ids(spark, folder):
 
 def occurrences(spark, folder):
     docs, tokenizer = documents(spark, folder), trained(spark, folder)
-    dictionary = encode_words(wd.word_frequency(docs), tokenizer)
+    path = scratch_path(spark, "dictionary")
+    encode_words(wd.word_frequency(docs), tokenizer).write.parquet(path)
+    dictionary = spark.read.parquet(path)
     return _with_ids(occurrence_ids(wd.word_positions(docs, "doc_id"), dictionary, tokenizer))
 
 
@@ -332,7 +334,8 @@ def loss_by_split(spark, folder):
 
 def _stream(spark, folder):
     schema = table(spark, folder, "documents").schema
-    return jobs.read_stream(spark, f"{folder}/documents*.parquet", schema)
+    cores = spark.sparkContext.defaultParallelism
+    return jobs.read_stream(spark, f"{folder}/documents*.parquet", schema, partitions=cores)
 
 
 def _run_stream(spark, start: Callable, name: str) -> DataFrame:

@@ -200,7 +200,8 @@ PAIR_ROWS = f"""steps AS MATERIALIZED (SELECT doc_id, (p - 1)::INT AS pos, t[p]
     FROM (SELECT doc_id, t, unnest(range(1, len(t))) AS p
           FROM (SELECT doc_id, ids[1:{SEQ_LEN + 1}] AS t FROM tok)))"""
 COUNTS = """counts AS MATERIALIZED (
-    SELECT input AS context, target AS next, count(*) AS freq FROM steps GROUP BY ALL)"""
+    SELECT ids[p] AS context, ids[p + 1] AS next, count(*) AS freq
+    FROM (SELECT ids, unnest(range(1, len(ids))) AS p FROM tok) GROUP BY ALL)"""
 BEST = """best AS MATERIALIZED (SELECT context, next FROM counts
     QUALIFY row_number() OVER (PARTITION BY context ORDER BY freq DESC, next) = 1)"""
 
@@ -226,7 +227,6 @@ def completions(steps: int = COMPLETION_STEPS) -> str:
             encoded_texts(),
             encoded_texts("benchmark", "item_id", "penc"),
             TOKENS,
-            PAIR_ROWS,
             COUNTS,
             BEST,
             *walk,
@@ -369,13 +369,12 @@ def statements() -> dict[str, str]:
             FROM batch GROUP BY epoch, batch_id""",
         "next_token_pairs": with_tokens(PAIR_ROWS) + "SELECT * FROM steps",
         # scoring
-        "next_token_counts": with_tokens(PAIR_ROWS, COUNTS)
+        "next_token_counts": with_tokens(COUNTS)
         + "SELECT context::VARCHAR AS context, next, freq FROM counts",
         "next_token_counts_2": with_tokens()
-        + f"""SELECT t[p] || ' ' || t[p + 1] AS context, t[p + 2] AS next, count(*) AS freq
-            FROM (SELECT t, unnest(range(1, len(t) - 1)) AS p
-                  FROM (SELECT ids[1:{SEQ_LEN + 1}] AS t FROM tok)) GROUP BY ALL""",
-        "best_next_token": with_tokens(PAIR_ROWS, COUNTS, BEST)
+        + """SELECT ids[p] || ' ' || ids[p + 1] AS context, ids[p + 2] AS next, count(*) AS freq
+            FROM (SELECT ids, unnest(range(1, len(ids) - 1)) AS p FROM tok) GROUP BY ALL""",
+        "best_next_token": with_tokens(COUNTS, BEST)
         + "SELECT context::VARCHAR AS context, next FROM best",
         "complete_prompts": completions(),
         "blank_texts_skipped": f"""SELECT conv_id, turn, text FROM conversations

@@ -12,13 +12,20 @@ from glyphmill.operators.words import word_frequency
 
 
 def read_stream(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 100
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    files_per_trigger: int = 100,
+    partitions: int | None = None,
 ) -> DataFrame:
-    return (
+    """Files below ``path`` as they arrive. ``partitions`` spreads the rows of each batch,
+    for files too few or too large to keep all cores busy."""
+    stream = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_trigger)
         .parquet(path)
     )
+    return stream if partitions is None else stream.repartition(partitions)
 
 
 def _replace_each_batch(result: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
