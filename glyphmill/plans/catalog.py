@@ -29,7 +29,7 @@ from glyphmill.streaming import jobs
 MERGES = 24
 VOCAB_SIZE = sy.FIRST_MERGE_ID + MERGES
 COMPLETION_STEPS = 8
-BENCH_VOCAB_SIZE = sy.FIRST_MERGE_ID + 200
+LARGE_VOCAB_SIZE = sy.FIRST_MERGE_ID + 100
 
 _tokenizers: dict[tuple, Tokenizer] = {}
 
@@ -117,6 +117,10 @@ def train_merges(spark, folder):
     return train_tokenizer(documents(spark, folder), vocab_size=VOCAB_SIZE).merges_table(spark)
 
 
+def train_more_merges(spark, folder):
+    return trained(spark, folder, LARGE_VOCAB_SIZE).merges_table(spark)
+
+
 def train_from_chunks(spark, folder):
     chunks = [documents(spark, folder), table(spark, folder, "conversations")]
     return train_on_chunks(chunks, vocab_size=VOCAB_SIZE).merges_table(spark)
@@ -171,14 +175,14 @@ def encode_documents(spark, folder):
 
 
 def encode_by_dictionary(spark, folder):
-    """The encoder of large vocabularies, on the small one the SQL check can follow."""
+    """The encoder of large vocabularies on a small one."""
     ids = trained(spark, folder).encode("text", inline=False)
     encoded = documents(spark, folder).select("doc_id", ids.alias("token_ids"))
     return _with_ids(encoded.withColumn("n_tokens", F.size("token_ids")))
 
 
 def encode_large_vocabulary(spark, folder):
-    ids = trained(spark, folder, BENCH_VOCAB_SIZE).encode_with_special("text")
+    ids = trained(spark, folder, LARGE_VOCAB_SIZE).encode_with_special("text")
     encoded = documents(spark, folder).select("doc_id", ids.alias("token_ids"))
     return _with_ids(encoded.withColumn("n_tokens", F.size("token_ids")))
 
@@ -391,6 +395,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "best_pair": on_documents(lambda df: wd.best_pair(wd.pair_frequency(wd.word_frequency(df)))),
         "first_merge": first_merge,
         "train_merges": train_merges,
+        "train_more_merges": train_more_merges,
         "train_from_chunks": train_from_chunks,
         "merge_progress": lambda spark, folder: trained(spark, folder).progress(spark, 8),
         "vocabulary": vocabulary,

@@ -7,6 +7,7 @@ nothing learned by Spark enters the SQL.
 from __future__ import annotations
 
 MERGES = 24
+MORE_MERGES = 100
 COMPLETION_STEPS = 8
 SEQ_LEN = 512
 
@@ -311,6 +312,7 @@ def statements() -> dict[str, str]:
         + f"SELECT word, freq, {joined('ids')} AS token_ids FROM dict",
         # training
         "train_merges": merge_list + merges_out,
+        "train_more_merges": with_(WORD_FREQ, *training(MORE_MERGES)) + merges_out,
         "train_from_chunks": with_(
             f"""wf AS MATERIALIZED (SELECT word, sum(freq)::BIGINT AS freq FROM ({frequency()}
             UNION ALL {frequency('conversations')}) GROUP BY word)""",
@@ -334,6 +336,10 @@ def statements() -> dict[str, str]:
         + f"SELECT doc_id, {joined('ids')} AS token_ids, len(ids)::INT AS n_tokens FROM enc",
         "encode_by_dictionary": text_encoding
         + f"SELECT doc_id, {joined('ids')} AS token_ids, len(ids)::INT AS n_tokens FROM enc",
+        "encode_large_vocabulary": with_(
+            WORD_FREQ, *training(MORE_MERGES), DICT, encoded_texts(), TOKENS
+        )
+        + framed,
         "encode_prompts": prompt_encoding
         + f"SELECT item_id, {joined('[2] || ids')} AS token_ids FROM penc",
         "token_rows": with_tokens() + framed,
