@@ -24,12 +24,12 @@ def shuffle_hash(seed: int | str, key: str) -> Column:
 
 
 def _bucket_offsets(df: DataFrame) -> DataFrame:
-    """``(bucket, n, offset)``. The running sum sees one row per bucket, whatever the data."""
+    """``(bucket, offset)``. The running sum sees one row per bucket, whatever the data."""
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     return (
         df.groupBy("bucket")
         .agg(F.count("*").alias("n"))
-        .withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        .select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     )
 
 
@@ -39,9 +39,8 @@ def _ranked(df: DataFrame, keys: DataFrame, order: list[str], name: str) -> Data
     The broadcast side has at most one row per bucket.
     """
     within = Window.partitionBy("bucket").orderBy(*order)
-    offsets = _bucket_offsets(keys).select("bucket", "offset")
     return (
-        df.join(F.broadcast(offsets), "bucket")
+        df.join(F.broadcast(_bucket_offsets(keys)), "bucket")
         .withColumn(name, F.col("offset") + F.row_number().over(within))
         .drop("bucket", "offset")
     )
@@ -95,18 +94,23 @@ def train_valid_split(
     keys = df.select(key, shuffle_hash(seed, key).alias("hash")).withColumn(
         "bucket", F.substring("hash", 1, HASH_BUCKET_DIGITS)
     )
-    offsets = _bucket_offsets(keys)
-    total = keys.count()
+    # At most one row per bucket comes to the driver.
+    sizes = sorted(keys.groupBy("bucket").count().collect())
+    total = sum(n for _, n in sizes)
     wanted = math.floor(total * train_ratio)
     if wanted <= 0:
         return df.withColumn("split", F.lit("valid"))
     if wanted >= total:
         return df.withColumn("split", F.lit("train"))
-    edge = offsets.where((F.col("offset") < wanted) & (F.col("offset") + F.col("n") >= wanted)).first()
+    before = 0
+    for bucket, n in sizes:
+        if before + n >= wanted:
+            break
+        before += n
     cut = (
-        keys.where(F.col("bucket") == edge.bucket)
+        keys.where(F.col("bucket") == bucket)
         .withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("hash", key)))
-        .where(F.col("rank") == wanted - edge.offset)
+        .where(F.col("rank") == wanted - before)
         .first()
     )
     return df.withColumn(

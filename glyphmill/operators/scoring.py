@@ -7,8 +7,9 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from glyphmill.functions import symbols as sy
+from glyphmill.functions import symbols as sy, text as tx
 from glyphmill.operators.tokenizer import Tokenizer
+from glyphmill.session import scratch_path
 
 MAX_NEW_TOKENS = 50
 
@@ -85,10 +86,17 @@ def continuations(
 
     Steps are composed by doubling: the relation for 2, 4, 8 ... tokens is the join of the
     one before with itself, and the prompts take those that add up to ``max_new_tokens``.
-    50 tokens need 8 joins instead of 50. The step table is keyed by distinct context, so
-    a join never multiplies rows; a context many rows share skews the probe side only,
-    which AQE splits. A prompt whose context was never seen stops there.
+    50 tokens need 8 joins instead of 50. Each relation is written to the shared folder, so
+    the counts behind ``best`` are made once. It is keyed by distinct context: a join never
+    multiplies rows, and a context many rows share skews the probe side only, which AQE
+    splits. A prompt whose context was never seen stops there.
     """
+    spark, folder = best.sparkSession, scratch_path(best.sparkSession, "steps")
+
+    def stored(chain: DataFrame, steps: int) -> DataFrame:
+        chain.write.parquet(f"{folder}/{steps}")
+        return spark.read.schema(chain.schema).parquet(f"{folder}/{steps}")
+
     size = F.size("token_ids")
     rows = prompts.withColumn("tokens", F.array().cast("array<int>")).withColumn(
         "last",
@@ -97,13 +105,13 @@ def continuations(
             F.slice("token_ids", size - context_size + 1, F.lit(context_size)),
         ),
     )
-    chain, remaining = _chain(best), max_new_tokens
-    while remaining:
-        if remaining & 1:
+    chain, steps = stored(_chain(best), 1), 1
+    while steps <= max_new_tokens:
+        if max_new_tokens & steps:
             rows = _follow(rows, chain)
-        remaining >>= 1
-        if remaining:
-            chain = _follow(chain, chain)
+        steps *= 2
+        if steps <= max_new_tokens:
+            chain = stored(_follow(chain, chain), steps)
     return rows.drop("last").withColumnRenamed("tokens", "new_ids")
 
 
@@ -117,8 +125,6 @@ def complete(
     max_new_tokens: int = MAX_NEW_TOKENS,
 ) -> DataFrame:
     """``(keys, prompt, new_ids, completion)`` for every prompt that is not blank."""
-    from glyphmill.functions import text as tx
-
     encoded = prompts.where(F.col(column).isNotNull() & ~tx.is_blank(column)).select(
         *keys, F.col(column).alias("prompt"), tokenizer.encode_prompt(column).alias("token_ids")
     )
