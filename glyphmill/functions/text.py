@@ -8,10 +8,23 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # The code points with the Unicode White_Space property.
-WHITESPACE = (
-    "\u0009\u000a\u000b\u000c\u000d \u0085  "
-    "           "
-    "    　"
+WHITESPACE = "".join(
+    map(
+        chr,
+        (
+            *range(0x09, 0x0E),
+            0x20,
+            0x85,
+            0xA0,
+            0x1680,
+            *range(0x2000, 0x200B),
+            0x2028,
+            0x2029,
+            0x202F,
+            0x205F,
+            0x3000,
+        ),
+    )
 )
 
 PREVIEW_LENGTH = 500

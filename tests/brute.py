@@ -3,9 +3,10 @@
 import re
 from collections import Counter
 
-WS = re.compile(
-    "[\t-\r \u0085   -     　]+"
-)
+# The Unicode White_Space code points.
+WHITE_SPACE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)]
+WHITE_SPACE += [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+WS = re.compile(f"[{''.join(map(chr, WHITE_SPACE))}]+")
 
 
 def words(text):
