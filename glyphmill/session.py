@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,11 +12,12 @@ from pyspark.sql import SparkSession
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared folder of ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; it then gets a temporary folder.
+    A session inside one JVM (``local`` or ``local[n]``, never ``local-cluster``) may go
+    without that setting: its driver is its only executor, and it gets a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.gettempdir()
+        base = f"file://{tempfile.gettempdir()}"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
