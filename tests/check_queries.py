@@ -36,7 +36,7 @@ def _equal(a, b) -> bool:
     return a == b
 
 
-SPARK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double"}
+SPARK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"}
 
 
 def compare(spark, db, folder: str, name: str) -> str:
