@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glyphmill.llm import quality
+from glyphmill.llm import licenses, mixing, quality, secrets
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_mix_sources": mixing.query,
+        "op6_license_scan": licenses.query,
         "op7_quality_rules": quality.query,
+        "op9_secret_scan": secrets.query,
     }
 
 
 def statements() -> dict[str, str]:
     return {
+        "op6_license_scan": licenses.SQL,
         "op7_quality_rules": quality.SQL,
     }
