@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glyphmill.llm import licenses, mixing, quality, secrets
+from glyphmill.llm import licenses, mixing, quality, secrets, winnowing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_fingerprints": winnowing.query,
         "op4_mix_sources": mixing.query,
         "op6_license_scan": licenses.query,
         "op7_quality_rules": quality.query,
