@@ -50,10 +50,11 @@ class Words:
     """Words of a slice of texts.
 
     ``starts`` and ``ends`` are byte places in ``data``, ``doc`` the text's number in the slice,
-    ``first`` the number of each text's first word (one more entry at the end).
+    ``first`` the number of each text's first word (one more entry at the end). ``lower``
+    lower-cases A to Z, ``trim`` takes these ASCII characters off both ends of a word.
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, trim: str = ""):
         column = column.cast(pa.large_string()).fill_null("")
         offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
         raw = column.buffers()[2]
@@ -70,17 +71,38 @@ class Words:
         stop = ink[:-1] & (~ink[1:] | edge[1:])
         self.ends = np.flatnonzero(stop) + 1
         self.first = np.searchsorted(self.starts, offsets, "left")
+        if trim:
+            self._trim(np.frombuffer(trim.encode("ascii"), np.uint8))
         self.doc = np.repeat(np.arange(len(column)), np.diff(self.first))
 
+    def _trim(self, marks: np.ndarray) -> None:
+        """Take the marks off both ends of every word; a word of marks alone becomes empty."""
+        mark = np.zeros(256, bool)
+        mark[marks] = True
+        self.data = self.data.copy()
+        for front in (True, False):
+            live = np.flatnonzero(self.ends > self.starts)
+            while len(live):
+                at = self.starts[live] if front else self.ends[live] - 1
+                hit = mark[self.data[at]]
+                live, at = live[hit], at[hit]
+                self.data[at] = 0x20
+                if front:
+                    self.starts[live] += 1
+                else:
+                    self.ends[live] -= 1
+                live = live[self.ends[live] > self.starts[live]]
+
     def ids(self) -> np.ndarray:
         """A 64-bit id per word: a polynomial over its bytes, mixed with its length."""
         if not len(self.starts):
             return np.zeros(0, np.uint64)
         _grow(len(self.data))
         terms = _CODES[self.data] * _powers[: len(self.data)]
-        sums = np.add.reduceat(terms, self.starts)
+        at = np.minimum(self.starts, len(self.data) - 1)
+        sums = np.add.reduceat(terms, at)
         # Only white space lies between two words of a text, and it counts as zero.
-        return mix(sums * _inverse[self.starts] + (self.ends - self.starts).astype(np.uint64))
+        return mix(sums * _inverse[at] + (self.ends - self.starts).astype(np.uint64))
 
     def texts(self, which: np.ndarray) -> pa.Array:
         """The given words as strings."""
