@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from glyphmill.llm import quality
+from glyphmill.llm import bpe, mixing, neardup, privacy, quality
 from glyphmill.llm.plan import stored
 
 
@@ -13,10 +13,37 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.kept_documents(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents connected by links, the one with the smallest id stays."""
+    return neardup.first_of_each(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and terms that reveal it are generalised in the texts."""
+    return privacy.sanitised(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.mixture(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, with the text they decode to."""
+    names = [c for c in docs.columns if c not in ("token_ids", "decoded")]
+    rows = bpe.tokenised(docs, bpe.default_vocabulary())
+    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in names], F.col("ids").alias("token_ids"), "decoded")
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("mix_sources", mix_sources),
+    ("encode", encode),
 ]
 
+#: No SQL: near duplicates, dependent rounding and the encoder are beyond it.
 ORACLE_SQL = None
 
 

@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glyphmill.llm import licenses, mixing, quality, secrets, winnowing
+from glyphmill.llm import bpe, licenses, mixing, neardup, privacy, quality, secrets, winnowing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_bpe": bpe.query,
         "op3_fingerprints": winnowing.query,
         "op4_mix_sources": mixing.query,
+        "op5_personal_data": privacy.query,
         "op6_license_scan": licenses.query,
         "op7_quality_rules": quality.query,
+        "op8_ngram_jaccard_join": neardup.query,
         "op9_secret_scan": secrets.query,
     }
 

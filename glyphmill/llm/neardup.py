@@ -325,5 +325,22 @@ def joined(
     )
 
 
+def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each class the smallest key stays, once.
+
+    Texts do not move unless the keys to drop outgrow a broadcast. Null and empty texts are one
+    class, and rows with a null key go if any row of their class has a key.
+    """
+    found = joined(docs, key, text).where("n_links > 0").select(F.col(key).alias("key"), "class_id")
+    gone = small_side(stored(found.where("not (key <=> class_id)").select("key").distinct(), "duplicates"))
+    left = docs.join(gone, docs[key].eqNullSafe(gone["key"]), "left_anti")
+    # Rows that repeat the key of the one that stays: one of them stays.
+    twice = stored(docs.groupBy(key).agg(F.count("*").alias("times")).where("times > 1").select(F.col(key).alias("key")), "repeated")
+    repeated = small_side(twice)
+    same = left[key].eqNullSafe(repeated["key"])
+    once = left.join(repeated, same, "left_semi").dropDuplicates([key, text])
+    return left.join(repeated, same, "left_anti").unionByName(once)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return joined(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
