@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glyphmill.llm import bpe, licenses, mixing, neardup, privacy, quality, secrets, winnowing
+from glyphmill.llm import bpe, licenses, lm, mixing, neardup, privacy, quality, secrets, winnowing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_lm_scoring": lm.query,
         "op2_bpe": bpe.query,
         "op3_fingerprints": winnowing.query,
         "op4_mix_sources": mixing.query,
