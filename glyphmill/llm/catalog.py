@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glyphmill.llm import bpe, licenses, lm, mixing, neardup, privacy, quality, secrets, winnowing
+from glyphmill.llm import bpe, licenses, lm, mixing, neardup, privacy, quality, repeats, secrets, winnowing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_quality_rules": quality.query,
         "op8_ngram_jaccard_join": neardup.query,
         "op9_secret_scan": secrets.query,
+        "op10_long_repeats": repeats.query,
     }
 
 
