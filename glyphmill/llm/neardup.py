@@ -141,11 +141,15 @@ def _dealt(rows: DataFrame, keys: list[str], size: str, block: int) -> DataFrame
 
 
 def _alike(keys: list[str], needed: int):
-    """Links between classes of a group with like sketches: a spanning tree, not all pairs."""
+    """Links between classes of a group with like sketches: a spanning tree, not all pairs.
+
+    Trees start at the smallest id, so groups with the same members often give the same links.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
         for group in _groups(batches, [*keys, "i", "j"]):
+            group = group.sort_by("id")
             ids = group.column("id").to_numpy()
             sketch = np.stack([np.frombuffer(x, np.uint8) for x in group.column("sketch").to_pylist()])
             left = np.arange(len(ids))
