@@ -1 +1,8 @@
 """Operators of a training-data pipeline over a table of documents."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Ships worker code with its functions, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

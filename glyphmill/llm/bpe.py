@@ -64,19 +64,9 @@ class Vocabulary:
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         return cls(tokens, merges, model.get("end_of_word_suffix") or "", split["pattern"]["Regex"], added)
 
-    def __reduce__(self):
-        return _vocabulary, (tuple(self.tokens), tuple(self.merges), self.suffix, self.pattern, tuple(self.added.items()))
-
-
-_live: dict[int, Vocabulary] = {}
-
-
-def _vocabulary(tokens, merges, suffix, pattern, added) -> Vocabulary:
-    """One vocabulary per worker, with what it has built and remembers, whatever task asks."""
-    key = hash((tokens, merges, suffix, pattern, added))
-    if key not in _live:
-        _live[key] = Vocabulary(list(tokens), list(merges), suffix, pattern, dict(added))
-    return _live[key]
+    def __getstate__(self):
+        """Without what a task has built from it."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("encoder", "decoder")}
 
 
 class Encoder(dict):

@@ -64,7 +64,7 @@ def recompressed(ids: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarr
     name = np.where(in_run[at], mix(ids[at] * _FACTORS[0] + size.astype(np.uint64)), ids[at])
     fixed, owner = in_run[at], doc[at]
     for r in range(ROUNDS):
-        coin = (mix(name + _FACTORS[3] * np.uint64(r + 1)) >> np.uint64(63)).astype(bool)
+        coin = (mix(name + _FACTORS[3] * np.array([r + 1], np.uint64)) >> np.uint64(63)).astype(bool)
         # A run stays as it is: only names of bounded size take part in pairs.
         free = ~fixed
         first = np.zeros(len(name), bool)

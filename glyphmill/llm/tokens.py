@@ -31,19 +31,14 @@ def seeded(n: int, seed: int) -> np.ndarray:
 
 
 _CODES = np.where(_SPACE, np.uint64(0), seeded(256, 1) | np.uint64(1))
-_powers = np.ones(1, np.uint64)
-_inverse = np.ones(1, np.uint64)
+_BACK = pow(_FACTOR, -1, 1 << 64)
 
 
-def _grow(n: int) -> None:
-    """Powers of the factor and of its inverse modulo 2**64, up to ``n``."""
-    global _powers, _inverse
-    if len(_powers) < n:
-        size = max(n, 2 * SLICE_BYTES)
-        steps = np.full(size, _FACTOR, np.uint64)
-        back = np.full(size, pow(_FACTOR, -1, 1 << 64), np.uint64)
-        steps[0] = back[0] = 1
-        _powers, _inverse = np.multiply.accumulate(steps), np.multiply.accumulate(back)
+def _powers(factor: int, n: int) -> np.ndarray:
+    """Powers of a number modulo 2**64, from 0 to ``n - 1``."""
+    steps = np.full(n, factor, np.uint64)
+    steps[:1] = 1
+    return np.multiply.accumulate(steps)
 
 
 class Words:
@@ -97,12 +92,11 @@ class Words:
         """A 64-bit id per word: a polynomial over its bytes, mixed with its length."""
         if not len(self.starts):
             return np.zeros(0, np.uint64)
-        _grow(len(self.data))
-        terms = _CODES[self.data] * _powers[: len(self.data)]
+        terms = _CODES[self.data] * _powers(_FACTOR, len(self.data))
         at = np.minimum(self.starts, len(self.data) - 1)
         sums = np.add.reduceat(terms, at)
         # Only white space lies between two words of a text, and it counts as zero.
-        return mix(sums * _inverse[at] + (self.ends - self.starts).astype(np.uint64))
+        return mix(sums * _powers(_BACK, len(self.data))[at] + (self.ends - self.starts).astype(np.uint64))
 
     def texts(self, which: np.ndarray) -> pa.Array:
         """The given words as strings."""
