@@ -1,35 +1,58 @@
-"""Applying merge rules to one word: the only code that runs in Python workers."""
+"""Applying merge rules to words: the only code that runs in Python workers."""
 
 from __future__ import annotations
 
-import numpy as np
+from bisect import bisect_right
+from heapq import heapify, heappop, heappush
 
-# Words remembered by one worker; it forgets and starts over beyond that.
-MEMO_WORDS = 500_000
-# Longer words, and short rule lists, take every rule in turn instead of searching for the
-# next one.
-LONG_WORD = 128
-FEW_RULES = 64
+import numpy as np
+import pyarrow as pa
 
 
-def merge_symbols(word: str, rules: list[str], rank_of: dict[str, int]) -> str:
-    """Apply the rules to one word of symbols, each rule once, in rank order.
+class Merger:
+    """Merge rules, each applied once in rank order, left to right and not overlapping.
 
-    ``rank_of`` maps a pair to the rank of its rule. Only rules above the last one applied
-    are candidates, which is what going through the whole list would do.
+    A pair may occur in several rules. Pairs that a merge creates wait for the next rule of
+    theirs above the rank just applied, which is what going through the whole list would do. A
+    word of n symbols takes O(n log n) steps for any number of rules.
     """
-    if len(word) > LONG_WORD or len(rules) <= FEW_RULES or len(rank_of) < len(rules):
-        for rule in rules:
-            word = word.replace(rule[:2], rule[2])
-        return word
-    last = -1
-    while len(word) > 1:
-        ranks = {rank_of.get(word[i : i + 2], -1) for i in range(len(word) - 1)}
-        last = min((r for r in ranks if r > last), default=-1)
-        if last < 0:
-            break
-        word = word.replace(rules[last][:2], rules[last][2])
-    return word
+
+    def __init__(self, rules: list[str]):
+        self.merged = [rule[2] for rule in rules]
+        self.ranks: dict[str, list[int]] = {}
+        for rank, rule in enumerate(rules):
+            self.ranks.setdefault(rule[:2], []).append(rank)
+
+    def merge(self, word: str) -> str:
+        symbols, n = list(word), len(word)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        ranks = self.ranks
+        heap = [
+            (ranks[pair][0], i) for i in range(n - 1) if (pair := word[i : i + 2]) in ranks
+        ]
+        heapify(heap)
+        while heap:
+            rank, i = heappop(heap)
+            j = after[i]
+            left = symbols[i]
+            if not left or j >= n:
+                continue
+            known = ranks.get(left + symbols[j])
+            # A stale entry: the place has merged since it was noted.
+            if known is None or rank not in known:
+                continue
+            symbols[i], symbols[j] = self.merged[rank], ""
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for at in (before[i], i):
+                if at >= 0 and after[at] < n:
+                    later = ranks.get(symbols[at] + symbols[after[at]])
+                    if later:
+                        k = bisect_right(later, rank)
+                        if k < len(later):
+                            heappush(heap, (later[k], at))
+        return "".join(symbols)
 
 
 def symbol_ids(symbols: str) -> np.ndarray:
@@ -38,23 +61,36 @@ def symbol_ids(symbols: str) -> np.ndarray:
     return np.where(points >= 0xE000, points - 0x800, points) + np.int32(4)
 
 
-class Memo(dict):
-    """word -> symbols, filled on first use."""
+def encode_lists(words: pa.Array, merger: Merger, space: int) -> pa.Array:
+    """Token ids of lists of words, ``space`` between words; null for null.
 
-    def __init__(self, rules: list[str]):
-        self.rules = rules
-        self.rank_of = {rule[:2]: rank for rank, rule in enumerate(rules)}
-
-    def __missing__(self, word: str) -> str:
-        merged = merge_symbols(
-            word.encode("utf-8").decode("latin-1"), self.rules, self.rank_of
-        )
-        if len(word) <= LONG_WORD:
-            if len(self) >= MEMO_WORDS:
-                self.clear()
-            self[word] = merged
-        return merged
-
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of words separated by single spaces; the space is a token of its own."""
-        return symbol_ids(" ".join(map(self.__getitem__, text.split(" "))) if text else "")
+    The distinct words of the batch are merged once each; all else is done on whole columns.
+    """
+    words = words.cast(pa.large_list(pa.large_string())) if not pa.types.is_large_list(words.type) else words
+    counts = np.diff(words.offsets.to_numpy())
+    coded = words.flatten().dictionary_encode()
+    ids = [symbol_ids(merger.merge(w.encode("utf-8").decode("latin-1"))) for w in coded.dictionary.to_pylist()]
+    sizes = np.array([len(x) for x in ids], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    values = np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32)
+    index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    # Every word brings its ids and a space before it, but for the first word of a text.
+    lead = np.ones(len(index), np.int64)
+    valid = words.is_valid().to_numpy(zero_copy_only=False)
+    counts = np.where(valid, counts, 0)
+    lead[(np.cumsum(counts) - counts)[counts > 0]] = 0
+    total = sizes[index] + lead
+    ends = np.cumsum(total)
+    out = np.full(ends[-1] if len(ends) else 0, space, np.int32)
+    place = np.repeat(ends - sizes[index], sizes[index]) + _within(sizes[index])
+    out[place] = values[np.repeat(starts[index], sizes[index]) + _within(sizes[index])]
+    text_ends = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+    return pa.ListArray.from_arrays(
+        pa.array(text_ends.astype(np.int32)), pa.array(out), mask=pa.array(~valid)
+    )
+
+
+def _within(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... within each of the given sizes, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)

@@ -66,8 +66,13 @@ def apply_rules(symbols: Column, rules: list[str]) -> Column:
 
 
 def windows(symbols: Column, width: int) -> Column:
-    """Overlapping runs of ``width`` symbols; empty array for shorter sequences.
+    """Overlapping runs of ``width`` symbols; empty array for shorter sequences."""
 
-    The lookahead captures a run and the match itself moves on by one symbol.
-    """
-    return F.regexp_extract_all(symbols, F.lit(f"(?s)(?=(.{{{width}}}))."), F.lit(1))
+    def runs(chars: Column) -> Column:
+        starts = F.slice(chars, F.lit(1), F.greatest(F.size(chars) - (width - 1), F.lit(0)))
+        return F.transform(
+            starts, lambda _, i: F.concat(*[F.get(chars, i + k) for k in range(width)])
+        )
+
+    # The inner lambda's argument holds the split symbols, so they are split once.
+    return F.element_at(F.transform(F.array(symbol_list(symbols)), runs), 1)

@@ -68,6 +68,11 @@ def is_blank(text: Column | str) -> Column:
     return word_count(text) == 0
 
 
+def trimmed(text: Column | str) -> Column:
+    """Text without Unicode white space at either end."""
+    return F.trim(_col(text), F.lit(WHITESPACE))
+
+
 def preview(text: Column | str, length: int = PREVIEW_LENGTH) -> Column:
     """First ``length`` characters plus ``...`` where the text has more *bytes* than that."""
     text = _col(text)

@@ -12,72 +12,98 @@ BATCH_SIZE = 16
 SEED = 42
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def windows(tokens: DataFrame, max_seq_len: int = MAX_SEQ_LEN, truncate: bool = False) -> DataFrame:
+    """``tokens`` with ``window_no`` and ``token_ids`` cut into consecutive windows.
+
+    A window has up to ``max_seq_len + 1`` ids and begins with the last id of the one before,
+    so every token and its successor are in exactly one window. A text without a successor has one
+    window. ``truncate`` keeps only the first window of each text.
+    """
+    n_windows = F.greatest(F.ceil((F.size("token_ids") - 1) / max_seq_len), F.lit(1)).cast("int")
+    numbers = F.array(F.lit(0)) if truncate else F.sequence(F.lit(0), n_windows - 1)
+    others = [c for c in tokens.columns if c != "token_ids"]
+    return tokens.select(*others, "token_ids", F.explode(numbers).alias("window_no")).select(
+        *others,
+        "window_no",
+        F.slice("token_ids", F.col("window_no") * max_seq_len + 1, F.lit(max_seq_len + 1)).alias("token_ids"),
+    )
 
 
-def padded(token_ids: Column | str, max_seq_len: int = MAX_SEQ_LEN) -> Column:
-    """First ``max_seq_len + 1`` ids, filled up with PAD."""
-    width = max_seq_len + 1
-    fill = F.array_repeat(F.lit(sy.PAD), width)
-    return F.slice(F.concat(_col(token_ids), fill), 1, width)
+def _shifted(token_ids: Column, max_seq_len: int, by: int) -> Column:
+    """``max_seq_len`` ids from place ``by`` on, filled up with PAD."""
+    fill = F.array_repeat(F.lit(sy.PAD), max_seq_len + by)
+    return F.slice(F.concat(token_ids, fill), 1 + by, max_seq_len)
 
 
 def model_rows(df: DataFrame, max_seq_len: int = MAX_SEQ_LEN) -> DataFrame:
-    """``token_ids`` replaced by ``input`` and ``target``, shifted by one."""
+    """``token_ids`` of windows replaced by ``input`` and ``target``, shifted by one."""
     return (
-        df.withColumn("padded", padded("token_ids", max_seq_len))
-        .withColumn("input", F.slice("padded", 1, max_seq_len))
-        .withColumn("target", F.slice("padded", 2, max_seq_len))
-        .drop("padded", "token_ids")
+        df.withColumn("input", _shifted(F.col("token_ids"), max_seq_len, 0))
+        .withColumn("target", _shifted(F.col("token_ids"), max_seq_len, 1))
+        .drop("token_ids")
     )
 
 
-def batches(
+def batch_windows(
     tokens: DataFrame,
     key: str,
     epoch: int | None = None,
     batch_size: int = BATCH_SIZE,
     max_seq_len: int = MAX_SEQ_LEN,
     seed: int = SEED,
+    truncate: bool = False,
 ) -> DataFrame:
-    """``(epoch, batch_id, row_in_batch, key, input, target)``; the last batch may be short.
+    """``(epoch, batch_id, row_in_batch, key, window_no, token_ids)`` over all windows of all texts.
 
-    With an ``epoch`` rows are reshuffled for it; without, they keep the order of the split.
+    With an ``epoch`` windows are reshuffled for it; without, they keep the order of the split.
     """
     order = seed if epoch is None else f"{seed}:{epoch}"
     position = F.col("rn") - 1
-    return model_rows(
-        shuffled_rank(tokens.select(key, "token_ids"), key, order).select(
-            F.lit(epoch).cast("int").alias("epoch"),
-            F.floor(position / batch_size).alias("batch_id"),
-            (position % batch_size).cast("int").alias("row_in_batch"),
-            key,
-            "token_ids",
-        ),
-        max_seq_len,
+    cut = windows(tokens.select(key, "token_ids"), max_seq_len, truncate)
+    named = cut.withColumn(
+        "window_key", F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("")), "window_no")
     )
+    return shuffled_rank(named, "window_key", order).select(
+        F.lit(epoch).cast("int").alias("epoch"),
+        F.floor(position / batch_size).alias("batch_id"),
+        (position % batch_size).cast("int").alias("row_in_batch"),
+        key,
+        "window_no",
+        "token_ids",
+    )
+
 
+def batches(tokens: DataFrame, key: str, epoch: int | None = None, **options) -> DataFrame:
+    """``(epoch, batch_id, row_in_batch, key, window_no, input, target)``; the last batch may be short."""
+    return model_rows(batch_windows(tokens, key, epoch, **options), options.get("max_seq_len", MAX_SEQ_LEN))
 
-def stacked(batch_rows: DataFrame) -> DataFrame:
-    """One row per batch, ``inputs`` and ``targets`` as matrices; a group is one batch."""
+
+def stacked(windows_of_batches: DataFrame, max_seq_len: int = MAX_SEQ_LEN) -> DataFrame:
+    """One row per batch of ``batch_windows``, ``inputs`` and ``targets`` as matrices.
+
+    Windows move unpadded; a group is one batch, and padding and shifting happen inside it.
+    """
+    ids = F.col("rows.token_ids")
     return (
-        batch_rows.groupBy("epoch", "batch_id")
-        .agg(F.sort_array(F.collect_list(F.struct("row_in_batch", "input", "target"))).alias("rows"))
+        windows_of_batches.groupBy("epoch", "batch_id")
+        .agg(F.sort_array(F.collect_list(F.struct("row_in_batch", "token_ids"))).alias("rows"))
         .select(
             "epoch",
             "batch_id",
             F.size("rows").alias("n_rows"),
-            F.col("rows.input").alias("inputs"),
-            F.col("rows.target").alias("targets"),
+            F.transform(ids, lambda x: _shifted(x, max_seq_len, 0)).alias("inputs"),
+            F.transform(ids, lambda x: _shifted(x, max_seq_len, 1)).alias("targets"),
         )
     )
 
 
 def next_token_pairs(
-    tokens: DataFrame, *keys: str, max_seq_len: int | None = MAX_SEQ_LEN
+    tokens: DataFrame, *keys: str, max_seq_len: int | None = None
 ) -> DataFrame:
-    """``(keys, pos, input, target)``: each token with its successor, PAD left out."""
+    """``(keys, pos, input, target)``: each token with its successor, PAD left out.
+
+    Whole texts; ``max_seq_len`` takes the first pairs of each text instead.
+    """
     ids = F.col("token_ids")
     if max_seq_len is not None:
         ids = F.slice(ids, 1, max_seq_len + 1)

@@ -2,7 +2,9 @@
 
 Rows fall into ordered buckets; a small table of bucket sizes gives each bucket its offset
 and the rank inside a bucket is a window partitioned by bucket. Every row is shuffled once.
-The key must be unique: equal keys cannot be told apart by any order.
+The number of buckets follows the number of rows. Keys must be unique: equal keys cannot be
+told apart by any order. A null key is a key of its own: it is shuffled like an empty one, and comes
+last in key order.
 """
 
 from __future__ import annotations
@@ -12,15 +14,19 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Leading hex digits of the shuffle hash: 65,536 even buckets.
-HASH_BUCKET_DIGITS = 4
-# Quantile buckets for an order by a numeric key.
-KEY_BUCKETS = 4096
+# About so many rows make a bucket, the unit of sorting.
+ROWS_PER_BUCKET = 200_000
 
 
 def shuffle_hash(seed: int | str, key: str) -> Column:
     """md5 of ``seed:key``: an order that depends on neither partitioning nor engine."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return F.md5(F.concat(F.lit(f"{seed}:"), name).cast("binary"))
+
+
+def _hash_digits(n_rows: int) -> int:
+    """Leading hex digits of the hash that give buckets of the wanted size; two at least."""
+    return max(2, math.ceil(math.log(max(n_rows / ROWS_PER_BUCKET, 1), 16)))
 
 
 def _bucket_offsets(df: DataFrame) -> DataFrame:
@@ -33,14 +39,14 @@ def _bucket_offsets(df: DataFrame) -> DataFrame:
     )
 
 
-def _ranked(df: DataFrame, keys: DataFrame, order: list[str], name: str) -> DataFrame:
+def _ranked(df: DataFrame, keys: DataFrame, order: list, name: str) -> DataFrame:
     """``df`` with the 1-based rank ``name``; ``keys`` is the same rows' bucket column only.
 
-    The broadcast side has at most one row per bucket.
+    One row per ROWS_PER_BUCKET rows of the table is joined; Spark broadcasts it while small.
     """
     within = Window.partitionBy("bucket").orderBy(*order)
     return (
-        df.join(F.broadcast(_bucket_offsets(keys)), "bucket")
+        df.join(_bucket_offsets(keys), "bucket")
         .withColumn(name, F.col("offset") + F.row_number().over(within))
         .drop("bucket", "offset")
     )
@@ -48,38 +54,63 @@ def _ranked(df: DataFrame, keys: DataFrame, order: list[str], name: str) -> Data
 
 def shuffled_rank(df: DataFrame, key: str, seed: int | str, name: str = "rn") -> DataFrame:
     """Position of each row in the seeded shuffle, from 1."""
+    digits = _hash_digits(df.select(key).count())
     hashed = lambda rows: rows.withColumn("shuffle_hash", shuffle_hash(seed, key)).withColumn(
-        "bucket", F.substring("shuffle_hash", 1, HASH_BUCKET_DIGITS)
+        "bucket", F.substring("shuffle_hash", 1, digits)
     )
     keys = hashed(df.select(key)).select("bucket")
     return _ranked(hashed(df), keys, ["shuffle_hash", key], name).drop("shuffle_hash")
 
 
-def key_rank(df: DataFrame, key: str, name: str = "rn") -> DataFrame:
-    """Position of each row in ascending order of a numeric ``key``, from 1.
+def _key_bucketizer(df: DataFrame, key: str):
+    """Rows of a table with the number of the quantile range their key is in; nulls come last.
 
-    Buckets end at approximate quantiles, so they stay even for any spread of keys; the
-    ranks are exact whatever the quantiles are.
+    Ranges end at approximate quantiles, one per ROWS_PER_BUCKET rows, so they stay even for any
+    spread of keys; ranks are exact whatever the quantiles are.
     """
-    probabilities = [i / KEY_BUCKETS for i in range(1, KEY_BUCKETS)]
-    inner = sorted(set(df.stat.approxQuantile(key, probabilities, 1 / (2 * KEY_BUCKETS))))
-    splits = [-math.inf, *inner, math.inf]
-    bucketizer = Bucketizer(splits=splits, inputCol="bucket_key", outputCol="bucket")
+    n_buckets = max(16, math.ceil(df.select(key).count() / ROWS_PER_BUCKET))
+    probabilities = [i / n_buckets for i in range(1, n_buckets)]
+    inner = sorted(set(df.stat.approxQuantile(key, probabilities, 1 / (2 * n_buckets))))
+    bucketizer = Bucketizer(
+        splits=[-math.inf, *inner, math.inf], inputCol="bucket_key", outputCol="bucket", handleInvalid="keep"
+    )
 
     def bucketed(rows: DataFrame) -> DataFrame:
-        return bucketizer.transform(
-            rows.withColumn("bucket_key", F.col(key).cast("double"))
-        ).drop("bucket_key")
+        placed = bucketizer.transform(rows.withColumn("bucket_key", F.col(key).cast("double")))
+        return placed.withColumn("bucket", F.coalesce("bucket", F.lit(math.inf))).drop("bucket_key")
 
-    return _ranked(bucketed(df), bucketed(df.select(key)).select("bucket"), [key], name)
+    return bucketed
+
+
+def key_rank(df: DataFrame, key: str, name: str = "rn") -> DataFrame:
+    """Position of each row in ascending order of a numeric ``key``, from 1."""
+    bucketed = _key_bucketizer(df, key)
+    order = [F.col(key).asc_nulls_last()]
+    return _ranked(bucketed(df), bucketed(df.select(key)).select("bucket"), order, name)
 
 
 def get_sample(df: DataFrame, key: str, index: int) -> DataFrame:
-    """The row at 0-based ``index`` in key order; empty beyond the end."""
+    """The row at 0-based ``index`` in key order; empty beyond the end.
+
+    Bucket sizes tell which bucket holds it; only that bucket's rows are ranked.
+    """
+    bucketed = _key_bucketizer(df, key)
+    before = 0
+    # One row per ROWS_PER_BUCKET rows of the table comes to the driver.
+    sizes = sorted(bucketed(df.select(key)).groupBy("bucket").count().collect())
+    for bucket, n in sizes:
+        if before + n > index >= 0:
+            break
+        before += n
+    else:
+        bucket, before = -1.0, 0
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.col(key).asc_nulls_last()))
     return (
-        key_rank(df, key, "sample_idx")
-        .withColumn("sample_idx", F.col("sample_idx") - 1)
+        bucketed(df)
+        .where(F.col("bucket") == bucket)
+        .withColumn("sample_idx", F.lit(before).cast("bigint") + place - 1)
         .where(F.col("sample_idx") == index)
+        .drop("bucket")
     )
 
 
@@ -91,10 +122,11 @@ def train_valid_split(
     The cut is the hash of the last training row. Bucket sizes tell which bucket holds it,
     so only that one bucket is ranked, and labelling the rows is a comparison, not a shuffle.
     """
+    digits = _hash_digits(df.select(key).count())
     keys = df.select(key, shuffle_hash(seed, key).alias("hash")).withColumn(
-        "bucket", F.substring("hash", 1, HASH_BUCKET_DIGITS)
+        "bucket", F.substring("hash", 1, digits)
     )
-    # At most one row per bucket comes to the driver.
+    # One row per bucket comes to the driver.
     sizes = sorted(keys.groupBy("bucket").count().collect())
     total = sum(n for _, n in sizes)
     wanted = math.floor(total * train_ratio)

@@ -1,4 +1,4 @@
-"""Profile of text columns: one scan, partial aggregates, long result tables."""
+"""Profile of text columns: few scans, partial aggregates, long result tables."""
 
 from __future__ import annotations
 
@@ -11,15 +11,6 @@ from glyphmill.sources.corpus import require_text, text_columns
 HISTOGRAM_EDGES = (0, 100, 500, 1000, 5000, 10000, 50000)
 
 
-def upper_median(column: str) -> Column:
-    """Element ``n / 2`` of the sorted values.
-
-    The aggregate keeps a count per distinct value, so its state is bounded by the number
-    of different lengths in the corpus, not by the number of rows.
-    """
-    return F.expr(f"percentile_disc(0.5) within group (order by `{column}` desc)")
-
-
 def text_measures(df: DataFrame, *keys: str, column: str = "text") -> DataFrame:
     """Characters, words and graphemes of every non-null text."""
     return (
@@ -35,52 +26,74 @@ def text_measures(df: DataFrame, *keys: str, column: str = "text") -> DataFrame:
 
 
 def profile(df: DataFrame, *columns: str) -> DataFrame:
-    """``(column, metric, value)`` for the given, or all, text columns."""
+    """``(column, metric, value)`` for the given, or all, text columns.
+
+    One scan counts the rows of each length, per column and measure; that table has a row per
+    distinct length, is summed in parallel before it moves, and every metric comes from it. The
+    median is the upper one: element ``n / 2`` of the sorted lengths, where the running count of
+    rows first passes ``n / 2``.
+    """
     columns = columns or tuple(text_columns(df))
     for name in columns:
         require_text(df, name)
-    measured = df.select(
+    kinds = (("chars", tx.char_count), ("words", tx.word_count), ("graphemes", tx.grapheme_count))
+    measures = F.array(
         *[
-            measure(F.col(f"`{name}`")).alias(f"{kind}_{i}")
-            for i, name in enumerate(columns)
-            for kind, measure in (
-                ("chars", tx.char_count),
-                ("words", tx.word_count),
-                ("graphemes", tx.grapheme_count),
+            F.struct(
+                F.lit(name).alias("column"),
+                F.lit(kind).alias("kind"),
+                measure(F.col(f"`{name}`")).cast("bigint").alias("size"),
             )
+            for name in columns
+            for kind, measure in kinds
         ]
     )
-    aggregates, rows = [F.count("*").alias("rows")], []
-    for i, name in enumerate(columns):
-        chars, words, graphemes = f"chars_{i}", f"words_{i}", f"graphemes_{i}"
-        n = F.count(chars)
-        nulls = F.count("*") - n
-        metrics = {
-            "rows": F.count("*"),
-            "nulls": nulls,
-            "null_pct": tx.percent(nulls, F.count("*")),
-            "n": n,
-            "chars_min": F.min(chars),
-            "chars_max": F.max(chars),
-            "chars_mean": F.avg(chars),
-            "chars_median": upper_median(chars),
-            "words_min": F.min(words),
-            "words_max": F.max(words),
-            "words_mean": F.avg(words),
-            "words_median": upper_median(words),
-            "graphemes_mean": F.avg(graphemes),
-        }
-        for metric, value in metrics.items():
-            alias = f"m{len(rows)}"
-            aggregates.append(value.cast("double").alias(alias))
-            rows.append(
+    counts = df.select(F.inline(measures)).groupBy("column", "kind", "size").agg(F.count("*").alias("rows"))
+    # An empty table has metrics too.
+    none = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(k).alias("kind")) for c in columns for k, _ in kinds])
+    zeros = df.sparkSession.range(1).select(F.inline(none)).select(
+        "column", "kind", F.lit(None).cast("bigint").alias("size"), F.lit(0).cast("bigint").alias("rows")
+    )
+    counts = counts.unionByName(zeros)
+    seen = F.col("size").isNotNull()
+    running = Window.partitionBy("column", "kind").orderBy(F.col("size").asc_nulls_first())
+    every = Window.partitionBy("column", "kind")
+    placed = counts.select(
+        "*",
+        F.sum(F.when(seen, F.col("rows"))).over(running).alias("upto"),
+        F.sum(F.when(seen, F.col("rows"))).over(every).alias("n"),
+    )
+    total = F.sum("rows")
+    present = F.coalesce(F.sum(F.when(seen, F.col("rows"))), F.lit(0))
+    sums = placed.groupBy("column", "kind").agg(
+        total.alias("rows"),
+        present.alias("n"),
+        F.min("size").alias("min"),
+        F.max("size").alias("max"),
+        F.try_divide(F.sum(F.col("size") * F.col("rows")).cast("double"), present.cast("double")).alias("mean"),
+        F.min(F.when(F.col("upto") > F.floor(F.col("n") / 2), F.col("size"))).alias("median"),
+    )
+    metrics = {
+        "chars": ("rows", "nulls", "null_pct", "n", "chars_min", "chars_max", "chars_mean", "chars_median"),
+        "words": ("words_min", "words_max", "words_mean", "words_median"),
+        "graphemes": ("graphemes_mean",),
+    }
+    nulls = F.col("rows") - F.col("n")
+    plain = {"rows": F.col("rows"), "nulls": nulls, "null_pct": tx.percent(nulls, F.col("rows")), "n": F.col("n")}
+
+    def entries(kind: str) -> Column:
+        return F.array(
+            *[
                 F.struct(
-                    F.lit(name).alias("column"),
-                    F.lit(metric).alias("metric"),
-                    F.col(alias).alias("value"),
+                    F.lit(m).alias("metric"),
+                    plain.get(m, F.col(m.rpartition("_")[2] if m not in plain else "n")).cast("double").alias("value"),
                 )
-            )
-    return measured.agg(*aggregates).select(F.inline(F.array(*rows)))
+                for m in metrics[kind]
+            ]
+        )
+
+    chosen = F.when(F.col("kind") == "chars", entries("chars")).when(F.col("kind") == "words", entries("words"))
+    return sums.select("column", F.inline(chosen.otherwise(entries("graphemes"))))
 
 
 def null_counts(df: DataFrame, *columns: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -124,9 +125,9 @@ def complete(
     context_size: int = 1,
     max_new_tokens: int = MAX_NEW_TOKENS,
 ) -> DataFrame:
-    """``(keys, prompt, new_ids, completion)`` for every prompt that is not blank."""
+    """``(keys, prompt, new_ids, completion)`` for every prompt that is not blank, trimmed."""
     encoded = prompts.where(F.col(column).isNotNull() & ~tx.is_blank(column)).select(
-        *keys, F.col(column).alias("prompt"), tokenizer.encode_prompt(column).alias("token_ids")
+        *keys, tx.trimmed(column).alias("prompt"), tokenizer.encode_prompt(column).alias("token_ids")
     )
     return continuations(encoded, best, context_size, max_new_tokens).select(
         *keys,
@@ -143,16 +144,19 @@ def cross_entropy(logits: Column | str, target: Column | str) -> Column:
     scores = logits.cast("array<double>")
     top = F.array_max(scores)
     total = F.aggregate(scores, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
-    return F.ln(total) + top - F.get(scores, target)
+    own = F.get(scores, target)
+    # A target that no score belongs to is an error, not a term to leave out.
+    wrong = F.raise_error(F.concat(F.lit("target outside the logits: "), F.coalesce(target.cast("string"), F.lit("null"))))
+    return F.ln(total) + top - F.coalesce(own, wrong.cast("double"))
 
 
 def masked_loss(scored: DataFrame, *by: str, logits: str = "logits", target: str = "target"):
-    """Loss per group; PAD targets contribute nothing.
+    """Loss per group; PAD targets contribute nothing, a null or unknown target is an error.
 
     ``loss_nonpad`` divides by the counted positions, ``loss_all`` by all of them. Terms
     are summed as decimals, so the result does not depend on the partitioning.
     """
-    counted = F.col(target) != sy.PAD
+    counted = F.coalesce(F.col(target) != sy.PAD, F.lit(True))
     term = F.when(counted, cross_entropy(logits, target)).cast("decimal(30,12)")
     total = F.coalesce(F.sum("term"), F.lit(0)).cast("double")
     return (
@@ -186,3 +190,56 @@ def score_with(
             yield part.assign(logits=scorer(part["token_ids"]))
 
     return kept.mapInPandas(run, f"{fields}, logits {logits_type}")
+
+
+def scored_tokens(
+    tokens: DataFrame,
+    make_scorer: Callable[[], Callable[[pd.Series], pd.Series]],
+    *keys: str,
+) -> DataFrame:
+    """``(keys, pos, logits, target)``: the caller's scores of what follows each token.
+
+    The scorer gets the inputs of a text, its ids but the last, and gives one list of scores per
+    place; the target of a place is the next id. This is the table ``masked_loss`` sums.
+    """
+    n = F.greatest(F.size("token_ids") - 1, F.lit(0))
+    inputs = tokens.withColumn("targets", F.slice("token_ids", F.lit(2), n)).withColumn(
+        "token_ids", F.slice("token_ids", F.lit(1), n)
+    )
+    scored = score_with(inputs, make_scorer, *keys, "targets", logits_type="array<array<double>>")
+    pairs = F.posexplode(F.arrays_zip(F.col("logits"), F.col("targets").alias("target")))
+    return scored.select(*keys, pairs.alias("pos", "step")).select(*keys, "pos", "step.logits", "step.target")
+
+
+def continue_with(
+    prompts: DataFrame,
+    make_scorer: Callable[[], Callable[[pd.Series], pd.Series]],
+    *keys: str,
+    max_new_tokens: int = MAX_NEW_TOKENS,
+) -> DataFrame:
+    """``(keys, new_ids)``: greedy completion of ``token_ids`` by the caller's model.
+
+    Each step scores the open sequences of a batch and appends the best id after their last
+    place, of equal scores the lowest; a sequence closes with EOS, which is left out.
+    """
+    eos = sy.EOS
+    kept = prompts.select(*keys, "token_ids")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "token_ids")
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = make_scorer()
+        for part in parts:
+            ids = [list(x) for x in part["token_ids"]]
+            new, live = [[] for _ in ids], [i for i, x in enumerate(ids) if x]
+            for _ in range(max_new_tokens):
+                if not live:
+                    break
+                scores = scorer(pd.Series([ids[i] for i in live]))
+                best = {i: int(np.argmax(np.asarray(s[-1], dtype=float))) for i, s in zip(live, scores)}
+                live = [i for i in live if best[i] != eos]
+                for i in live:
+                    ids[i].append(best[i])
+                    new[i].append(best[i])
+            yield part[list(keys)].assign(new_ids=new)
+
+    return kept.mapInPandas(run, f"{fields}, new_ids array<int>")

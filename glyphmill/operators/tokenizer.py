@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -17,12 +17,6 @@ from glyphmill.sources.corpus import texts
 DEFAULT_VOCAB_SIZE = 10_000
 INVALID = "<INVALID>"
 
-# Up to this many rules a text is encoded by nested ``replace`` in generated code.
-MAX_INLINE_RULES = 32
-# Bounds of the broadcast part of a dictionary join.
-HOT_WORDS = 4096
-HOT_WORD_BYTES = 1024
-
 # Ships the worker code with the UDF, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(merging)
 
@@ -39,13 +33,13 @@ MERGES_SCHEMA = T.StructType(
 
 
 def _encoder(rules: list[str]):
-    """Arrow UDF: words separated by single spaces -> token ids."""
+    """Arrow UDF: lists of words -> token ids, words joined by the space token."""
 
-    @F.pandas_udf("array<int>")
-    def encode_words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        memo = merging.Memo(rules)
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def encode_words(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        merger = merging.Merger(rules)
         for batch in batches:
-            yield batch.map(memo.encode, na_action="ignore")
+            yield merging.encode_lists(batch, merger, sy.SPACE_ID)
 
     return encode_words
 
@@ -61,6 +55,12 @@ class Tokenizer:
     merges: tuple[tuple[bytes, bytes], ...] = ()
     vocab_size: int = DEFAULT_VOCAB_SIZE
     freqs: tuple[int, ...] = field(default=(), compare=False)
+    #: The names of padding, unknown, begin and end, ids 0 to 3.
+    special_tokens: tuple[str, ...] = sy.SPECIAL_TOKENS
+
+    def __post_init__(self):
+        if len(set(self.special_tokens)) != len(sy.SPECIAL_TOKENS):
+            raise ValueError("special tokens are four different names")
 
     # -- rules ---------------------------------------------------------------
 
@@ -98,7 +98,7 @@ class Tokenizer:
     def tokens(self) -> list[bytes]:
         """Token bytes by id."""
         return (
-            [t.encode() for t in sy.SPECIAL_TOKENS]
+            [t.encode() for t in self.special_tokens]
             + [bytes([b]) for b in range(256)]
             + [left + right for left, right in self.merges]
         )
@@ -130,7 +130,7 @@ class Tokenizer:
     def vocabulary(self, spark: SparkSession) -> DataFrame:
         """``(id, token, kind)``: special tokens, bytes and merges."""
         specials = spark.createDataFrame(
-            list(enumerate(sy.SPECIAL_TOKENS)), "id int, token string"
+            list(enumerate(self.special_tokens)), "id int, token string"
         ).select("id", F.col("token").cast("binary").alias("token"), F.lit("special").alias("kind"))
         single = spark.range(256).select(
             (F.col("id") + sy.FIRST_BYTE_ID).cast("int").alias("id"),
@@ -144,18 +144,18 @@ class Tokenizer:
 
     # -- encode --------------------------------------------------------------
 
-    def encode(self, text: Column | str, inline: bool | None = None) -> Column:
+    def encode(self, text: Column | str) -> Column:
         """``ARRAY<INT>`` of token ids, words joined by one space token; null for null.
 
-        A map either way, without a shuffle: few rules run as generated code, many through
-        an Arrow UDF that merges each distinct word of its task once. ``inline`` overrides
-        the choice.
+        A map without a shuffle, the same for any vocabulary: whole Arrow columns of words, of
+        which each distinct one of a batch is merged once.
         """
-        joined = F.array_join(tx.words(text), " ")
-        if len(self.rules) <= MAX_INLINE_RULES if inline is None else inline:
-            symbols = sy.apply_rules(sy.byte_symbols(joined), self.rules)
-            return sy.symbol_ids(symbols, len(self.tokens))
-        return _encoder(self.rules)(joined)
+        return _encoder(self.rules)(tx.words(text))
+
+    def encode_word(self, word: Column | str) -> Column:
+        """Ids of a column that holds one word per row."""
+        word = F.col(word) if isinstance(word, str) else word
+        return _encoder(self.rules)(F.when(word.isNotNull(), F.array(word)))
 
     def encode_prompt(self, text: Column | str) -> Column:
         """Ids after BOS, open at the end."""
@@ -191,7 +191,7 @@ class Tokenizer:
 
 def encode_words(word_freq: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """Dictionary ``(word, freq, token_ids)``: each distinct word encoded once."""
-    return word_freq.select("word", "freq", tokenizer.encode("word").alias("token_ids"))
+    return word_freq.select("word", "freq", tokenizer.encode_word("word").alias("token_ids"))
 
 
 def token_rows(df: DataFrame, tokenizer: Tokenizer, *keys: str, column: str = "text") -> DataFrame:
@@ -216,30 +216,6 @@ def round_trip(df: DataFrame, tokenizer: Tokenizer, *keys: str, column: str = "t
     )
 
 
-def occurrence_ids(occurrences: DataFrame, dictionary: DataFrame, tokenizer: Tokenizer) -> DataFrame:
-    """``occurrences`` (with ``word``) plus ``token_ids`` looked up in the word dictionary.
-
-    The most frequent words are joined by broadcast, so the shuffled rest holds no word
-    with more than ``1 / (HOT_WORDS + 1)`` of the rows. Overlong words, which could make
-    the broadcast large, are encoded in place instead of looked up.
-    """
-    is_long = F.octet_length("word") > HOT_WORD_BYTES
-    hot = (
-        dictionary.where(~is_long)
-        .orderBy(F.desc("freq"), "word")
-        .limit(HOT_WORDS)
-        .select("word", F.col("token_ids").alias("hot_ids"))
-    )
-    looked_up = occurrences.join(F.broadcast(hot), "word", "left")
-    found = F.col("hot_ids").isNotNull() | is_long
-    direct = looked_up.where(found).select(
-        *occurrences.columns,
-        F.coalesce("hot_ids", F.when(is_long, tokenizer.encode("word"))).alias("token_ids"),
-    )
-    cold = (
-        looked_up.where(~found)
-        .select(*occurrences.columns)
-        .join(dictionary.where(~is_long).select("word", "token_ids"), "word")
-        .select(*occurrences.columns, "token_ids")
-    )
-    return direct.unionByName(cold)
+def occurrence_ids(occurrences: DataFrame, tokenizer: Tokenizer) -> DataFrame:
+    """``occurrences`` (with ``word``) plus ``token_ids``: a map, as equal words of a batch meet there."""
+    return occurrences.withColumn("token_ids", tokenizer.encode_word("word"))

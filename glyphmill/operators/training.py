@@ -9,14 +9,16 @@ candidate pairs per round, never words.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from glyphmill.functions import symbols as sy
 from glyphmill.operators.merge_batch import CANDIDATES, NEIGHBOURS, Vocabulary, take_batch
 from glyphmill.operators.tokenizer import DEFAULT_VOCAB_SIZE, Tokenizer
 from glyphmill.operators.words import symbol_table, word_frequency
-from glyphmill.session import scratch_path
+from glyphmill.session import drop_folder, scratch_path
 
+ROUNDS_SCHEMA = "rank int, left string, right string, freq bigint"
 # The most merges of one round.
 MAX_BATCH = 32
 # Merges applied on the fly before the tables are written anew.
@@ -46,11 +48,18 @@ class _State:
     still being read is never touched. A lost executor costs one step from those tables.
     """
 
-    def __init__(self, words: DataFrame, prefix: str):
+    def __init__(self, words: DataFrame, prefix: str, done: list[str] | None = None):
+        """``done`` are rules to apply first, from a training that went before."""
         self.spark, self.prefix, self.writes = words.sparkSession, prefix, 0
         self.pending: list[str] = []
         partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         self.words = self._written(words.repartition(partitions), "words")
+        for start in range(0, len(done or []), MAX_PENDING):
+            self.writes += 1
+            rules = done[start : start + MAX_PENDING]
+            self.words = self._written(
+                self.words.select("freq", sy.apply_rules(F.col("symbols"), rules).alias("symbols")), "words"
+            )
         self.trigrams = self._written(_summed(_trigrams(self.words)), "trigrams")
 
     def _written(self, df: DataFrame, name: str) -> DataFrame:
@@ -115,30 +124,69 @@ def _candidates(trigrams: DataFrame, token_hex: list[str]) -> list:
     ).collect()
 
 
+def merges_so_far(spark: SparkSession, folder: str) -> DataFrame | None:
+    """``(rank, left, right, freq)`` written by a training in ``folder``, also while it runs."""
+    try:
+        return spark.read.schema(ROUNDS_SCHEMA).parquet(f"{folder}/rounds").orderBy("rank")
+    except AnalysisException:
+        return None
+
+
 def learn_merges(
-    word_freq: DataFrame, vocab_size: int = DEFAULT_VOCAB_SIZE, max_batch: int = MAX_BATCH
+    word_freq: DataFrame,
+    vocab_size: int = DEFAULT_VOCAB_SIZE,
+    max_batch: int = MAX_BATCH,
+    folder: str | None = None,
+    max_rounds: int | None = None,
 ) -> Tokenizer:
     """Learn merges from ``(word, freq)`` until the vocabulary is full or no pair is left.
 
     Ties go to the pair with the smaller left bytes, then right bytes. ``max_batch=1`` is
     the plain one-merge-per-round loop with the same result.
+
+    With a ``folder`` every round adds its merges to a table there, and a training that finds
+    such a table applies its merges and goes on from them; ``max_rounds`` ends one early. The
+    tables of words are removed at the end.
     """
+    spark = word_freq.sparkSession
     wanted = max(vocab_size - sy.FIRST_MERGE_ID, 0)
     if wanted == 0:
         return Tokenizer((), vocab_size)
-    state = _State(symbol_table(word_freq), scratch_path(word_freq.sparkSession, "merges"))
-    vocabulary = Vocabulary()
-    while (missing := wanted - len(vocabulary.merges)) > 0:
+    vocabulary, done = Vocabulary(), []
+    before = merges_so_far(spark, folder) if folder else None
+    if before is not None:
+        # At most one row per merge of the vocabulary.
+        for row in before.where(F.col("rank") < wanted).collect():
+            pair = "".join(vocabulary.symbol_of[bytes.fromhex(x)] for x in (row.left, row.right))
+            done.append(pair + vocabulary.add(pair, row.freq)[0])
+    if len(done) == wanted:
+        return Tokenizer(tuple(vocabulary.merges), vocab_size, tuple(vocabulary.freqs))
+    work = scratch_path(spark, "merges")
+    state = _State(symbol_table(word_freq), work, done)
+    rounds = 0
+    while (missing := wanted - len(vocabulary.merges)) > 0 and rounds != max_rounds:
         candidates = _candidates(state.current_trigrams(), vocabulary.token_hex)
+        first = len(vocabulary.merges)
         rules = take_batch(candidates, vocabulary, min(max_batch, missing))
         if not rules:
             break
+        rounds += 1
+        if folder:
+            rows = [
+                (first + i, left.hex(), right.hex(), freq)
+                for i, ((left, right), freq) in enumerate(zip(vocabulary.merges[first:], vocabulary.freqs[first:]))
+            ]
+            spark.createDataFrame(rows, ROUNDS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/rounds")
         if len(rules) < missing:
             state.apply(rules)
+    drop_folder(spark, work)
     return Tokenizer(tuple(vocabulary.merges), vocab_size, tuple(vocabulary.freqs))
 
 
 def train_tokenizer(
-    corpus: DataFrame, column: str = "text", vocab_size: int = DEFAULT_VOCAB_SIZE
+    corpus: DataFrame,
+    column: str = "text",
+    vocab_size: int = DEFAULT_VOCAB_SIZE,
+    folder: str | None = None,
 ) -> Tokenizer:
-    return learn_merges(word_frequency(corpus, column), vocab_size)
+    return learn_merges(word_frequency(corpus, column), vocab_size, folder=folder)

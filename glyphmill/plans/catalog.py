@@ -20,35 +20,39 @@ from glyphmill.operators.tokenizer import (
 )
 from glyphmill.operators.training import learn_merges, train_tokenizer
 from glyphmill.plans.corpus import build_training_set, complete_prompts, train_on_chunks
-from glyphmill.session import scratch_path
+from glyphmill.session import scratch_path, shared_folder
 from glyphmill.sources import tokenizer_files as tf
-from glyphmill.sources.corpus import describe_schema, read_corpus, spread
-from glyphmill.sources.token_table import token_table
+from glyphmill.sources.corpus import describe_schema, read_corpus
+from glyphmill.sources.report import write_report
+from glyphmill.sources.token_table import source_fingerprint, token_table
 from glyphmill.streaming import jobs
 
 MERGES = 24
 VOCAB_SIZE = sy.FIRST_MERGE_ID + MERGES
-COMPLETION_STEPS = 8
-LARGE_VOCAB_SIZE = sy.FIRST_MERGE_ID + 100
-
-_tokenizers: dict[tuple, Tokenizer] = {}
+COMPLETION_STEPS = sc.MAX_NEW_TOKENS
+LARGE_VOCAB_SIZE = sy.FIRST_MERGE_ID + 300
+SAMPLE_ROWS = 50
+# A session setting: deal the rows of every scan out anew. Unset, scans stay as files are split.
+PARTITIONS = "spark.glyphmill.scanPartitions"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return read_corpus(spark, f"{folder}/{name}.parquet")
+    partitions = spark.conf.get(PARTITIONS, None)
+    return read_corpus(spark, f"{folder}/{name}.parquet", partitions=partitions and int(partitions))
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents, spread over the cores for the work their texts take."""
-    return spread(table(spark, folder, "documents"))
+    return table(spark, folder, "documents")
 
 
 def trained(spark: SparkSession, folder: str, vocab_size: int = VOCAB_SIZE) -> Tokenizer:
-    """The tokenizer of the folder's documents, learned once per application."""
-    at = (spark.sparkContext.applicationId, folder, vocab_size)
-    if at not in _tokenizers:
-        _tokenizers[at] = train_tokenizer(documents(spark, folder), vocab_size=vocab_size)
-    return _tokenizers[at]
+    """The tokenizer of the folder's documents, found by their texts' fingerprint or learned.
+
+    Merges are kept in the shared folder; changed documents have another fingerprint.
+    """
+    docs = documents(spark, folder)
+    kept = f"{shared_folder(spark)}/glyphmill-tokenizers/{source_fingerprint(docs, 'text')}-{vocab_size}"
+    return train_tokenizer(docs, vocab_size=vocab_size, folder=kept)
 
 
 def _ids(column: Column | str) -> Column:
@@ -162,10 +166,7 @@ def word_token_ids(spark, folder):
 
 def occurrences(spark, folder):
     docs, tokenizer = documents(spark, folder), trained(spark, folder)
-    path = scratch_path(spark, "dictionary")
-    encode_words(wd.word_frequency(docs), tokenizer).write.parquet(path)
-    dictionary = spark.read.parquet(path)
-    return _with_ids(occurrence_ids(wd.word_positions(docs, "doc_id"), dictionary, tokenizer))
+    return _with_ids(occurrence_ids(wd.word_positions(docs, "doc_id"), tokenizer))
 
 
 def encode_documents(spark, folder):
@@ -174,13 +175,6 @@ def encode_documents(spark, folder):
     return _with_ids(encoded.withColumn("n_tokens", F.size("token_ids")))
 
 
-def encode_by_dictionary(spark, folder):
-    """The encoder of large vocabularies on a small one."""
-    ids = trained(spark, folder).encode("text", inline=False)
-    encoded = documents(spark, folder).select("doc_id", ids.alias("token_ids"))
-    return _with_ids(encoded.withColumn("n_tokens", F.size("token_ids")))
-
-
 def encode_large_vocabulary(spark, folder):
     ids = trained(spark, folder, LARGE_VOCAB_SIZE).encode_with_special("text")
     encoded = documents(spark, folder).select("doc_id", ids.alias("token_ids"))
@@ -195,9 +189,9 @@ def encode_prompts(spark, folder):
 def stored_tokens(spark, folder):
     """The token table from its store: computed and written, then found and read."""
     docs, tokenizer = documents(spark, folder), trained(spark, folder)
-    scan, store = table(spark, folder, "documents"), scratch_path(spark, "tokens")
-    token_table(docs, tokenizer, store, "doc_id", source=scan)
-    return _with_ids(token_table(docs, tokenizer, store, "doc_id", source=scan))
+    store = scratch_path(spark, "tokens")
+    token_table(docs, tokenizer, store, "doc_id")
+    return _with_ids(token_table(docs, tokenizer, store, "doc_id"))
 
 
 def decode_documents(spark, folder):
@@ -209,7 +203,7 @@ def lossy_decode(spark, folder):
     """Every token decoded on its own with its predecessor, cutting characters apart."""
     tokenizer = trained(spark, folder)
     return (
-        bt.next_token_pairs(_tokens(spark, folder), max_seq_len=None)
+        bt.next_token_pairs(_tokens(spark, folder))
         .groupBy("input", "target")
         .agg(F.count("*").alias("freq"))
         .withColumn("decoded", tokenizer.decode(F.array("input", "target")))
@@ -254,7 +248,6 @@ def _training_set(spark, folder):
         store,
         "doc_id",
         vocab_size=VOCAB_SIZE,
-        source=table(spark, folder, "documents"),
     )
 
 
@@ -273,7 +266,7 @@ def stacked_batches(spark, folder):
         rows = F.transform(name, lambda row: F.array_join(row.cast("array<string>"), " "))
         return F.array_join(rows, "|").alias(name)
 
-    stacked = bt.stacked(_training_set(spark, folder).train_batches("doc_id", 1))
+    stacked = bt.stacked(_training_set(spark, folder).train_windows("doc_id", 1))
     return stacked.select(
         "epoch", "batch_id", "n_rows", rows_as_text("inputs"), rows_as_text("targets")
     )
@@ -333,38 +326,93 @@ def loss_by_split(spark, folder):
     return _rounded(sc.masked_loss(scored, "split", logits="embedding", target="label"))
 
 
+def loss_by_epoch(spark, folder):
+    scored = table(spark, folder, "embeddings").withColumn("epoch", (F.col("vec_id") % 3).cast("int"))
+    return _rounded(sc.masked_loss(scored, "epoch", logits="embedding", target="label"))
+
+
+def _toy_scorer(n_tokens: int):
+    """A stand-in for a model: scores that a formula gives for the last id, so SQL can follow."""
+
+    def make():
+        import numpy as np
+
+        def score(sequences):
+            return sequences.map(
+                lambda ids: [((31 * int(i) + 17 * np.arange(n_tokens)) % 101 / 10.0).tolist() for i in ids]
+            )
+
+        return score
+
+    return make
+
+
+def _prompt_tokens(spark, folder, tokenizer):
+    prompts = table(spark, folder, "benchmark").where(F.col("text").isNotNull())
+    return prompts.select("item_id", tokenizer.encode_with_special("text").alias("token_ids"))
+
+
+def scorer_loss(spark, folder):
+    """Scores of a caller's model per place, and the loss over them."""
+    tokenizer = trained(spark, folder)
+    scored = sc.scored_tokens(_prompt_tokens(spark, folder, tokenizer), _toy_scorer(VOCAB_SIZE), "item_id")
+    return _rounded(sc.masked_loss(scored, "item_id"))
+
+
+def scorer_completion(spark, folder):
+    tokenizer = trained(spark, folder)
+    prompts = table(spark, folder, "benchmark").where(F.col("text").isNotNull())
+    open_ids = prompts.select("item_id", tokenizer.encode_prompt("text").alias("token_ids"))
+    new = sc.continue_with(open_ids, _toy_scorer(VOCAB_SIZE), "item_id", max_new_tokens=COMPLETION_STEPS)
+    return _with_ids(new, "new_ids")
+
+
+def decode_with_unknown(spark, folder):
+    """Texts whose ids hold padding, unknown ones and ids beyond the vocabulary."""
+    tokenizer = trained(spark, folder)
+    odd = F.array(*map(F.lit, (sy.PAD, sy.UNK, len(tokenizer.tokens), -1)))
+    rows = _tokens(spark, folder).select("doc_id", F.concat("token_ids", odd).alias("token_ids"))
+    return rows.select("doc_id", tokenizer.decode("token_ids").alias("decoded"))
+
+
+def report_file(spark, folder):
+    """A report table after a round trip through JSON."""
+    path = scratch_path(spark, "report")
+    report = pf.length_histogram(documents(spark, folder))
+    write_report(report, path, "json")
+    return spark.read.schema(report.schema).json(path)
+
+
 # -- streaming -----------------------------------------------------------------
 
 
 def _stream(spark, folder):
-    schema = table(spark, folder, "documents").schema
-    cores = spark.sparkContext.defaultParallelism
-    return jobs.read_stream(spark, f"{folder}/documents*.parquet", schema, partitions=cores)
+    """The documents as files that arrive in three batches or more."""
+    docs, arriving = table(spark, folder, "documents"), scratch_path(spark, "arriving")
+    docs.repartition(3, "doc_id").write.parquet(arriving)
+    return jobs.read_stream(spark, arriving, docs.schema, files_per_trigger=1)
 
 
-def _run_stream(spark, start: Callable, name: str) -> DataFrame:
+def _run_stream(spark, start: Callable, name: str) -> str:
     out = scratch_path(spark, name)
-    start(f"{out}/result", f"{out}/progress").awaitTermination()
-    return spark.read.parquet(f"{out}/result")
+    start(f"{out}/out", f"{out}/progress").awaitTermination()
+    return f"{out}/out"
 
 
 def stream_word_frequency(spark, folder):
     stream = _stream(spark, folder)
-    return _run_stream(spark, lambda o, c: jobs.stream_word_frequency(stream, o, c), "stream-words")
+    return jobs.latest(spark, _run_stream(spark, lambda o, c: jobs.stream_word_frequency(stream, o, c), "stream-words"))
 
 
 def stream_profile(spark, folder):
     stream = _stream(spark, folder)
-    return _run_stream(spark, lambda o, c: jobs.stream_profile(stream, o, c), "stream-profile")
+    return jobs.latest(spark, _run_stream(spark, lambda o, c: jobs.stream_profile(stream, o, c), "stream-profile"))
 
 
 def stream_tokens(spark, folder):
     stream, tokenizer = _stream(spark, folder), trained(spark, folder)
-    return _with_ids(
-        _run_stream(
-            spark, lambda o, c: jobs.stream_tokens(stream, tokenizer, o, c, "doc_id"), "stream-tokens"
-        )
-    )
+    out = _run_stream(spark, lambda o, c: jobs.stream_tokens(stream, tokenizer, o, c, "doc_id"), "stream-tokens")
+    return _with_ids(spark.read.parquet(out))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -380,7 +428,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "char_frequency": on_documents(lambda df: pf.char_frequency(df, "text")),
         "top_chars": on_documents(pf.top_chars),
         "char_frequency_first_rows": on_documents(
-            lambda df: pf.char_frequency(df, "text", sample_rows=1000, key="doc_id")
+            lambda df: pf.char_frequency(df, "text", sample_rows=SAMPLE_ROWS, key="doc_id")
         ),
         "length_histogram": on_documents(pf.length_histogram),
         "sample_texts": on("documents", lambda df: pf.sample_texts(df, "doc_id")),
@@ -404,7 +452,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "word_token_ids": word_token_ids,
         "occurrence_ids": occurrences,
         "encode_documents": encode_documents,
-        "encode_by_dictionary": encode_by_dictionary,
         "encode_large_vocabulary": encode_large_vocabulary,
         "encode_prompts": encode_prompts,
         "token_rows": lambda spark, folder: _with_ids(_tokens(spark, folder)),
@@ -430,6 +477,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "blank_texts_skipped": blank_texts_skipped,
         "masked_loss": masked_loss,
         "loss_by_split": loss_by_split,
+        "loss_by_epoch": loss_by_epoch,
+        "scorer_loss": scorer_loss,
+        "scorer_completion": scorer_completion,
+        "decode_with_unknown": decode_with_unknown,
+        "report_file": report_file,
         "stream_word_frequency": stream_word_frequency,
         "stream_profile": stream_profile,
         "stream_tokens": stream_tokens,

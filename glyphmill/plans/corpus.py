@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from glyphmill.operators import profile as pf
-from glyphmill.operators.batches import BATCH_SIZE, MAX_SEQ_LEN, SEED, batches
+from glyphmill.operators.batches import BATCH_SIZE, MAX_SEQ_LEN, SEED, batch_windows, batches
 from glyphmill.operators.ordering import train_valid_split
 from glyphmill.operators.scoring import best_next, complete, next_token_counts
 from glyphmill.operators.tokenizer import DEFAULT_VOCAB_SIZE, Tokenizer
@@ -35,10 +35,13 @@ def profile_corpus(df: DataFrame, key: str, out: str | None = None) -> dict[str,
 
 
 def train_on_chunks(
-    chunks: list[DataFrame], column: str = "text", vocab_size: int = DEFAULT_VOCAB_SIZE
+    chunks: list[DataFrame],
+    column: str = "text",
+    vocab_size: int = DEFAULT_VOCAB_SIZE,
+    folder: str | None = None,
 ) -> Tokenizer:
     """One tokenizer from several inputs. A failed task is retried, so no chunk is lost."""
-    return learn_merges(word_frequency_of(chunks, column), vocab_size)
+    return learn_merges(word_frequency_of(chunks, column), vocab_size, folder=folder)
 
 
 @dataclass(frozen=True)
@@ -50,6 +53,9 @@ class TrainingSet:
     def train_batches(self, key: str, epoch: int, **options) -> DataFrame:
         return batches(self.train, key, epoch, **options)
 
+    def train_windows(self, key: str, epoch: int, **options) -> DataFrame:
+        return batch_windows(self.train, key, epoch, **options)
+
     def valid_batches(self, key: str, **options) -> DataFrame:
         return batches(self.valid, key, None, **options)
 
@@ -63,12 +69,11 @@ def build_training_set(
     vocab_size: int | None = None,
     train_ratio: float = TRAIN_RATIO,
     seed: int = SEED,
-    source: DataFrame | None = None,
 ) -> TrainingSet:
     """Check the vocabulary, store or find the token table, split it."""
     if vocab_size is not None:
         tokenizer.require_size(vocab_size)
-    tokens = token_table(df, tokenizer, folder, key, column=column, source=source)
+    tokens = token_table(df, tokenizer, folder, key, column=column)
     labelled = train_valid_split(tokens, key, train_ratio, seed)
     return TrainingSet(
         tokens,

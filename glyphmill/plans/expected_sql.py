@@ -7,8 +7,8 @@ nothing learned by Spark enters the SQL.
 from __future__ import annotations
 
 MERGES = 24
-MORE_MERGES = 100
-COMPLETION_STEPS = 8
+MORE_MERGES = 300
+COMPLETION_STEPS = 50
 SEQ_LEN = 512
 
 # The Unicode White_Space code points as a regex class.
@@ -191,15 +191,17 @@ SPLIT = """ranked AS MATERIALIZED (SELECT doc_id, rn,
 
 def batch_rows(split: str, order: str, epoch: str) -> str:
     return f"""batch AS MATERIALIZED (SELECT {epoch}::INT AS epoch, ((rn - 1) // 16)::BIGINT AS batch_id,
-        ((rn - 1) % 16)::INT AS row_in_batch, doc_id, p[1:{SEQ_LEN}] AS input, p[2:{SEQ_LEN + 1}] AS target
-    FROM (SELECT doc_id, row_number() OVER (ORDER BY {order}, doc_id) AS rn,
-            list_resize(ids[1:{SEQ_LEN + 1}], {SEQ_LEN + 1}, 0) AS p
-          FROM tok JOIN ranked USING (doc_id) WHERE split = '{split}'))"""
+        ((rn - 1) % 16)::INT AS row_in_batch, doc_id, w AS window_no,
+        p[1:{SEQ_LEN}] AS input, p[2:{SEQ_LEN + 1}] AS target
+    FROM (SELECT doc_id, w, row_number() OVER (ORDER BY {order}, doc_id, w) AS rn,
+            list_resize(ids[w * {SEQ_LEN} + 1:w * {SEQ_LEN} + {SEQ_LEN + 1}], {SEQ_LEN + 1}, 0) AS p
+          FROM (SELECT doc_id, ids, unnest(range(0, greatest(ceil((len(ids) - 1) / {SEQ_LEN}), 1)::INT))::INT AS w
+                FROM tok) JOIN ranked USING (doc_id) WHERE split = '{split}'))"""
 
 
-PAIR_ROWS = f"""steps AS MATERIALIZED (SELECT doc_id, (p - 1)::INT AS pos, t[p] AS input, t[p + 1] AS target
+PAIR_ROWS = """steps AS MATERIALIZED (SELECT doc_id, (p - 1)::INT AS pos, t[p] AS input, t[p + 1] AS target
     FROM (SELECT doc_id, t, unnest(range(1, len(t))) AS p
-          FROM (SELECT doc_id, ids[1:{SEQ_LEN + 1}] AS t FROM tok)))"""
+          FROM (SELECT doc_id, ids AS t FROM tok)))"""
 COUNTS = """counts AS MATERIALIZED (
     SELECT ids[p] AS context, ids[p + 1] AS next, count(*) AS freq
     FROM (SELECT ids, unnest(range(1, len(ids))) AS p FROM tok) GROUP BY ALL)"""
@@ -207,6 +209,9 @@ BEST = """best AS MATERIALIZED (SELECT context, next FROM counts
     QUALIFY row_number() OVER (PARTITION BY context ORDER BY freq DESC, next) = 1)"""
 
 
+TRIMMED = f"regexp_replace(text, '^{WS}+|{WS}+$', '', 'g')"
+
+
 def completions(steps: int = COMPLETION_STEPS) -> str:
     walk = [
         "c0 AS (SELECT item_id, text, ([2] || ids)[-1] AS last, []::INT[] AS ids "
@@ -235,8 +240,8 @@ def completions(steps: int = COMPLETION_STEPS) -> str:
         SELECT item_id, unnest(ids) AS t, generate_subscripts(ids, 1) AS p FROM c{steps})
         LEFT JOIN merges m ON m.id = t GROUP BY item_id)""",
         )
-        + f"""SELECT item_id, text AS prompt, {joined('ids')} AS new_ids,
-        lower(hex(encode(text))) || lower(coalesce(x, '')) AS completion_hex
+        + f"""SELECT item_id, {TRIMMED} AS prompt, {joined('ids')} AS new_ids,
+        lower(hex(encode({TRIMMED}))) || lower(coalesce(x, '')) AS completion_hex
     FROM c{steps} LEFT JOIN bytes USING (item_id)"""
     )
 
@@ -251,6 +256,51 @@ LOSS_COLUMNS = """count(*) AS n_all, count(*) FILTER (label <> 0) AS n_nonpad,
     round(coalesce(sum(term), 0)::DOUBLE / count(*), 6) AS loss_all"""
 
 
+# Prompts, their places (id and next id), and the stand-in model's scores after each id.
+SCORED = (
+    WORD_FREQ_WITH_PROMPTS,
+    *training(),
+    DICT,
+    encoded_texts("benchmark", "item_id", "penc"),
+    """places AS (SELECT item_id, ids[p] AS x, ids[p + 1] AS y FROM (
+        SELECT item_id, ids, unnest(range(1, len(ids))) AS p FROM (
+            SELECT item_id, [2] || ids || [3] AS ids FROM penc)))""",
+    f"""scores AS MATERIALIZED (SELECT t, list_transform(range({260 + MERGES}),
+        lambda j: ((31 * t + 17 * j) % 101)::DOUBLE / 10.0::DOUBLE) AS s FROM range({260 + MERGES}) r(t))""",
+)
+
+# Well-formed UTF-8 in hex, and the longest beginnings of it that are cut short.
+_TAIL = "[89ab]."
+UTF8_GOOD = "|".join(
+    (
+        "[0-7].",
+        f"(?:c[2-9a-f]|d.){_TAIL}",
+        f"e0[ab].{_TAIL}",
+        f"e[1-9abcef]{_TAIL}{_TAIL}",
+        f"ed[89].{_TAIL}",
+        f"f0[9ab].{_TAIL}{_TAIL}",
+        f"f[1-3]{_TAIL}{_TAIL}{_TAIL}",
+        f"f48.{_TAIL}{_TAIL}",
+    )
+)
+UTF8_PIECES = UTF8_GOOD + "|" + "|".join(
+    (
+        "e0[ab].",
+        f"e[1-9abcef]{_TAIL}",
+        "ed[89].",
+        f"f0[9ab].(?:{_TAIL})?",
+        f"f[1-3]{_TAIL}(?:{_TAIL})?",
+        f"f48.(?:{_TAIL})?",
+        "..",
+    )
+)
+
+
+def token_hex(merges: str, token: str) -> str:
+    return f"""(CASE WHEN {token} = 1 THEN lower(hex(encode('<UNK>'))) WHEN {token} < 4 THEN ''
+        WHEN {token} < 260 THEN printf('%02x', ({token} - 4)::INT) ELSE {merges}.merged END)"""
+
+
 def statements() -> dict[str, str]:
     merge_list = with_(WORD_FREQ, *training())
     merges_out = """SELECT rank, l AS "left", r AS "right", merged, id, f AS freq FROM merges"""
@@ -285,7 +335,7 @@ def statements() -> dict[str, str]:
         "top_chars": "\nUNION ALL ".join(
             top_chars(char_counts("documents", c)) for c in TEXT_COLUMNS["documents"]
         ),
-        "char_frequency_first_rows": char_counts("documents", "text", "ORDER BY doc_id LIMIT 1000"),
+        "char_frequency_first_rows": char_counts("documents", "text", "ORDER BY doc_id LIMIT 50"),
         "length_histogram": "\nUNION ALL ".join(
             histogram("documents", c) for c in TEXT_COLUMNS["documents"]
         ),
@@ -334,8 +384,6 @@ def statements() -> dict[str, str]:
         + f"""SELECT doc_id, pos, word, {joined('ids')} AS token_ids FROM occ JOIN dict USING (word)""",
         "encode_documents": text_encoding
         + f"SELECT doc_id, {joined('ids')} AS token_ids, len(ids)::INT AS n_tokens FROM enc",
-        "encode_by_dictionary": text_encoding
-        + f"SELECT doc_id, {joined('ids')} AS token_ids, len(ids)::INT AS n_tokens FROM enc",
         "encode_large_vocabulary": with_(
             WORD_FREQ, *training(MORE_MERGES), DICT, encoded_texts(), TOKENS
         )
@@ -362,13 +410,13 @@ def statements() -> dict[str, str]:
         "sample_at_index": """SELECT doc_id, text, sample_idx FROM (SELECT doc_id, text,
             row_number() OVER (ORDER BY doc_id) - 1 AS sample_idx FROM documents) WHERE sample_idx = 137""",
         "sample_index": "SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn FROM documents",
-        "train_batches": with_tokens(SPLIT, batch_rows("train", "md5('42:1:' || doc_id)", "1"))
-        + f"""SELECT epoch, batch_id, row_in_batch, doc_id, {joined('input')} AS input,
+        "train_batches": with_tokens(SPLIT, batch_rows("train", "md5('42:1:' || doc_id || ':' || w)", "1"))
+        + f"""SELECT epoch, batch_id, row_in_batch, doc_id, window_no, {joined('input')} AS input,
             {joined('target')} AS target FROM batch""",
-        "valid_batches": with_tokens(SPLIT, batch_rows("valid", "md5('42:' || doc_id)", "NULL"))
-        + f"""SELECT epoch, batch_id, row_in_batch, doc_id, {joined('input')} AS input,
+        "valid_batches": with_tokens(SPLIT, batch_rows("valid", "md5('42:' || doc_id || ':' || w)", "NULL"))
+        + f"""SELECT epoch, batch_id, row_in_batch, doc_id, window_no, {joined('input')} AS input,
             {joined('target')} AS target FROM batch""",
-        "stacked_batches": with_tokens(SPLIT, batch_rows("train", "md5('42:1:' || doc_id)", "1"))
+        "stacked_batches": with_tokens(SPLIT, batch_rows("train", "md5('42:1:' || doc_id || ':' || w)", "1"))
         + f"""SELECT epoch, batch_id, count(*)::INT AS n_rows,
             string_agg({joined('input')}, '|' ORDER BY row_in_batch) AS inputs,
             string_agg({joined('target')}, '|' ORDER BY row_in_batch) AS targets
@@ -393,6 +441,34 @@ def statements() -> dict[str, str]:
                 FROM embeddings)""",
         )
         + f"SELECT split, {LOSS_COLUMNS} FROM terms JOIN parts USING (vec_id) GROUP BY split",
+        "loss_by_epoch": with_(LOSS)
+        + f"SELECT (vec_id % 3)::INT AS epoch, {LOSS_COLUMNS} FROM terms GROUP BY ALL",
+        "scorer_loss": with_(
+            *SCORED,
+            """terms AS (SELECT item_id, y AS label, CASE WHEN y <> 0 THEN
+                (ln(list_sum(list_transform(s, lambda v: exp(v - list_max(s))))) + list_max(s) - s[y + 1]
+                )::DECIMAL(30, 12) END AS term FROM (SELECT item_id, y, s FROM places JOIN scores ON x = t))""",
+        )
+        + f"SELECT item_id, {LOSS_COLUMNS} FROM terms GROUP BY item_id",
+        "scorer_completion": with_(
+            *SCORED,
+            """best AS MATERIALIZED (SELECT t, list_position(s, list_max(s)) - 1 AS next FROM scores)""",
+        ).replace("WITH ", "WITH RECURSIVE ", 1)
+        + f""", walk AS (SELECT item_id, ([2] || ids)[-1] AS last, []::INT[] AS new_ids, 0 AS n FROM penc
+            UNION ALL SELECT item_id, next, new_ids || [next::INT], n + 1 FROM walk JOIN best ON last = t
+            WHERE next <> 3 AND n < {COMPLETION_STEPS})
+            SELECT item_id, array_to_string(max_by(new_ids, n), ' ') AS new_ids FROM walk GROUP BY item_id""",
+        "decode_with_unknown": f"""SELECT doc_id, array_to_string({words('text')}, ' ') || '<UNK>' AS decoded
+            FROM documents""",
+        "report_file": histogram("documents", "text")
+        + "".join("\nUNION ALL " + histogram("documents", c) for c in TEXT_COLUMNS["documents"][1:]),
+        "lossy_decode": with_tokens(PAIR_ROWS)
+        + f"""SELECT input, target, freq, decode(unhex(array_to_string(list_transform(
+                regexp_extract_all(h, '{UTF8_PIECES}'),
+                lambda x: CASE WHEN regexp_full_match(x, '{UTF8_GOOD}') THEN x ELSE 'efbfbd' END), ''))) AS decoded
+            FROM (SELECT input, target, freq, {token_hex('a', 'input')} || {token_hex('b', 'target')} AS h
+                FROM (SELECT input, target, count(*) AS freq FROM steps GROUP BY ALL)
+                LEFT JOIN merges a ON a.id = input LEFT JOIN merges b ON b.id = target)""",
         # streaming
         "stream_word_frequency": word_count,
         "stream_profile": f"""SELECT count(*) AS n_rows, count(*) - count(c) AS nulls,

@@ -9,8 +9,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared folder of ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which driver and executors share.
 
     A session inside one JVM (``local`` or ``local[n]``, never ``local-cluster``) may go
     without that setting: its driver is its only executor, and it gets a temporary folder.
@@ -20,4 +20,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = f"file://{tempfile.gettempdir()}"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared store with all it holds."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -5,24 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
-def read_corpus(spark: SparkSession, *paths: str, text: str | None = None) -> DataFrame:
-    """Parquet files as a DataFrame; with ``text``, that column must exist and be a string."""
+def read_corpus(
+    spark: SparkSession, *paths: str, text: str | None = None, partitions: int | None = None
+) -> DataFrame:
+    """Parquet files as a DataFrame; with ``text``, that column must exist and be a string.
+
+    The scan stays as the files are split. ``partitions`` deals the rows out anew, which
+    moves every text once: it is for inputs of fewer splits than there are cores.
+    """
     df = spark.read.parquet(*paths)
+    if partitions is not None:
+        df = df.repartition(partitions)
     if text is not None:
         require_text(df, text)
     return df
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A plain scan, over all cores even if its files give fewer splits than there are cores.
-
-    Such an input is at most one split per core, so the shuffle stays small; a larger one is
-    read as it lies.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() <= cores else scan
-
-
 def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
 

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 
 
 def write_report(report: DataFrame, path: str, format: str = "parquet") -> None:
-    """Store a (small) result table as ``parquet``, ``json`` or any Spark format."""
-    report.coalesce(1).write.mode("overwrite").format(format).save(path)
+    """Store a result table as ``parquet``, ``json`` or any Spark format."""
+    report.write.mode("overwrite").format(format).save(path)
 
 
 def with_progress(df: DataFrame, observation, **metrics) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,26 +12,21 @@ from glyphmill.operators.tokenizer import Tokenizer, token_rows
 
 
 def source_fingerprint(df: DataFrame, *columns: str) -> str:
-    """Identity of the rows behind ``df``, independent of their order.
+    """Identity of the rows of ``df``, independent of their order.
 
-    For file sources it is taken from the files' path, size and time, so no column is
-    read; other DataFrames are hashed over ``columns`` (all by default).
+    Every row is hashed over ``columns`` (all by default): what is encoded decides, not the
+    file it came from.
     """
-    try:
-        parts = df.select(
-            F.xxhash64(
-                "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"
-            ).alias("h")
+    row = (
+        df.select(F.xxhash64(*(columns or df.columns)).alias("h"))
+        .agg(
+            F.count("*").alias("n"),
+            F.sum(F.col("h").cast("decimal(38,0)")).alias("total"),
+            F.bit_xor("h").alias("mixed"),
         )
-    except AnalysisException:
-        parts = df.select(F.xxhash64(*(columns or df.columns)).alias("h"))
-    row = parts.agg(
-        F.count("*").alias("n"),
-        F.sum(F.col("h").cast("decimal(38,0)")).alias("total"),
-        F.bit_xor("h").alias("mixed"),
-    ).first()
-    digest = f"{row.n}:{row.total}:{row.mixed}"
-    return df.sparkSession.range(1).select(F.md5(F.lit(digest).cast("binary"))).first()[0][:16]
+        .first()
+    )
+    return hashlib.md5(f"{row.n}:{row.total}:{row.mixed}".encode()).hexdigest()[:16]
 
 
 def _load(spark: SparkSession, path: str, schema) -> DataFrame | None:
@@ -48,16 +45,14 @@ def token_table(
     folder: str,
     *keys: str,
     column: str = "text",
-    source: DataFrame | None = None,
 ) -> DataFrame:
-    """``token_rows`` read from ``folder`` when stored there for this tokenizer and source.
+    """``token_rows`` read from ``folder`` when stored there for this tokenizer and these rows.
 
     The manifest is written after the table; a table without one counts as absent, and an
-    unreadable one is computed again. ``source`` is the scan ``df`` was made from, where
-    that is not ``df`` itself.
+    unreadable one is computed again.
     """
     spark = df.sparkSession
-    identity = source_fingerprint(df if source is None else source, *keys, column)
+    identity = source_fingerprint(df, *keys, column)
     path = f"{folder.rstrip('/')}/{tokenizer.fingerprint}-{identity}-{'-'.join((*keys, column))}"
     fresh = token_rows(df, tokenizer, *keys, column=column)
     stored = _load(spark, path, fresh.schema)

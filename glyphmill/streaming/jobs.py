@@ -9,38 +9,54 @@ from glyphmill.functions import text as tx
 from glyphmill.operators.profile import HISTOGRAM_EDGES
 from glyphmill.operators.tokenizer import Tokenizer, token_rows
 from glyphmill.operators.words import word_frequency
+from glyphmill.session import drop_folder
 
 
 def read_stream(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    files_per_trigger: int = 100,
-    partitions: int | None = None,
+    spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 100
 ) -> DataFrame:
-    """Files below ``path`` as they arrive. ``partitions`` spreads the rows of each batch,
-    for files too few or too large to keep all cores busy."""
-    stream = (
+    """Files below ``path`` as they arrive, split as they lie."""
+    return (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_trigger)
         .parquet(path)
     )
-    return stream if partitions is None else stream.repartition(partitions)
+
+
+def latest(spark: SparkSession, out: str) -> DataFrame:
+    """The last complete result of a job that replaces its result with every batch."""
+    versions = spark.read.parquet(f"{out}/versions")
+    last = versions.agg({"version": "max"}).first()[0]
+    return spark.read.parquet(f"{out}/result-{last}")
 
 
 def _replace_each_batch(result: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Keep the latest full result in ``out``; writing a batch again gives the same table."""
+    """Write the full result of each batch as a version of its own, then list that version.
 
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+    A reader sees the last listed version at any time; the one before it stays, for those still
+    reading, and older ones go. Writing a batch again gives the same table.
+    """
 
-    return (
-        result.writeStream.outputMode("complete")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(replace)
-        .start()
-    )
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{out}/result-{batch_id}")
+        spark.createDataFrame([(batch_id,)], "version bigint").coalesce(1).write.mode("append").parquet(f"{out}/versions")
+        drop_folder(spark, f"{out}/result-{batch_id - 2}")
+
+    # Counts of many words are kept on disk, not in the executors' heap.
+    conf, name = result.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(name)
+    conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        return (
+            result.writeStream.outputMode("complete")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .foreachBatch(replace)
+            .start()
+        )
+    finally:
+        conf.set(name, before)
 
 
 def stream_word_frequency(

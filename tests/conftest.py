@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -17,6 +18,7 @@ def make_session() -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='glyphmill-')}")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

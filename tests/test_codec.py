@@ -12,7 +12,7 @@ from glyphmill.operators.tokenizer import (
     round_trip,
     token_rows,
 )
-from glyphmill.operators import tokenizer as tk, words as wd
+from glyphmill.operators import words as wd
 from glyphmill.sources import tokenizer_files as tf
 
 TEXTS = [
@@ -42,12 +42,19 @@ def df(spark):
     return spark.createDataFrame(list(enumerate(TEXTS)), "id int, text string")
 
 
-@pytest.mark.parametrize("inline", [True, False])
-def test_encode_equals_brute_force(df, tokenizer, inline):
-    rows = df.select("id", tokenizer.encode("text", inline).alias("ids")).collect()
+def many_rules(n):
+    counts = brute.word_counts([" ".join(f"w{i * i % 977}x{i % 13}" for i in range(400)), *TEXTS])
+    return tuple((left, right) for left, right, _ in brute.train(counts, n))
+
+
+@pytest.mark.parametrize("n_rules", [0, 1, 33, 65, 300])
+def test_encode_equals_brute_force(df, n_rules):
+    merges = many_rules(n_rules)
+    assert len(merges) == n_rules
+    rows = df.select("id", Tokenizer(merges).encode("text").alias("ids")).collect()
     for row in rows:
         text = TEXTS[row.id]
-        assert row.ids == (None if text is None else brute.encode(MERGES, text))
+        assert row.ids == (None if text is None else brute.encode(merges, text))
 
 
 def test_decode_gives_back_the_words(df, tokenizer):
@@ -99,15 +106,15 @@ def test_word_merging_follows_rank_order_for_any_rule_list():
     for _ in range(2000):
         pool = [b"a", b"b", b"c"]
         merges = []
-        for _ in range(rng.randint(1, 12)):
+        for _ in range(rng.choice([rng.randint(1, 12), rng.randint(60, 90)])):
             left, right = rng.choice(pool), rng.choice(pool)
             merges.append((left, right))
             if len(left + right) < 7 and left + right not in pool:
                 pool.append(left + right)
         tokenizer = Tokenizer(tuple(merges))
-        memo = merging.Memo(tokenizer.rules)
+        merger = merging.Merger(tokenizer.rules)
         text = "".join(rng.choice("abc") for _ in range(rng.randint(1, 20)))
-        assert [ord(c) + 4 for c in memo[text]] == brute.encode(merges, text)
+        assert [ord(c) + 4 for c in merger.merge(text)] == brute.encode(merges, text)
 
 
 def test_symbols_step_over_surrogates(spark):
@@ -121,12 +128,19 @@ def test_symbols_step_over_surrogates(spark):
     assert row.pairs == [text[i : i + 2] for i in range(len(text) - 1)]
 
 
-def test_occurrences_are_looked_up_in_hot_cold_and_long_words(df, tokenizer, monkeypatch):
-    monkeypatch.setattr(tk, "HOT_WORDS", 2)
-    monkeypatch.setattr(tk, "HOT_WORD_BYTES", 100)
+def test_special_tokens_can_be_named(spark):
+    named = Tokenizer((), special_tokens=("<p>", "<u>", "<b>", "<e>"))
+    assert [bytes(r.token) for r in named.vocabulary(spark).where("kind = 'special'").orderBy("id").collect()] == [b"<p>", b"<u>", b"<b>", b"<e>"]
+    row = spark.range(1).select(named.decode(F.array(F.lit(1), F.lit(2))).alias("t"), named.id_to_string(F.lit(3)).alias("s"))
+    assert tuple(row.first()) == ("<u>", "<e>")
+    with pytest.raises(ValueError, match="four different"):
+        Tokenizer((), special_tokens=("a", "a", "b", "c"))
+
+
+def test_occurrences_are_encoded_in_place(df, tokenizer):
     texts = df.where("text is not null")
-    dictionary = encode_words(wd.word_frequency(texts), tokenizer)
-    got = occurrence_ids(wd.word_positions(texts, "id"), dictionary, tokenizer).collect()
+    assert encode_words(wd.word_frequency(texts), tokenizer).where("token_ids is null").count() == 0
+    got = occurrence_ids(wd.word_positions(texts, "id"), tokenizer).collect()
     assert len(got) == sum(len(brute.words(t)) for t in TEXTS if t)
     for row in got:
         assert row.word == brute.words(TEXTS[row.id])[row.pos]

@@ -23,9 +23,9 @@ def test_word_counts_and_profile_grow_with_arriving_files(spark, tmp_path):
         for name, start in run.items():
             start(stream, str(tmp_path / name), str(tmp_path / f"{name}-progress")).awaitTermination()
         texts = [t for _, t in seen]
-        counted = spark.read.parquet(str(tmp_path / "words")).collect()
+        counted = jobs.latest(spark, str(tmp_path / "words")).collect()
         assert {r.word: r.freq for r in counted} == brute.word_counts(texts)
-        row = spark.read.parquet(str(tmp_path / "profile")).first()
+        row = jobs.latest(spark, str(tmp_path / "profile")).first()
         lengths = [len(t) for t in texts if t is not None]
         assert (row.n_rows, row.nulls) == (len(texts), 1)
         assert (row.chars_min, row.chars_max) == (min(lengths), max(lengths))

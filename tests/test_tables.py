@@ -51,17 +51,47 @@ def test_split_has_the_exact_size_and_follows_the_shuffle(tokens, ratio):
     assert len(rows) == N and train == set(shuffled(range(N), 42)[: math.floor(N * ratio)])
 
 
-def test_batches(tokens):
-    rows = bt.batches(tokens, "doc_id", 3, batch_size=4, max_seq_len=5).collect()
-    order = shuffled(range(N), "42:3")
-    assert len(rows) == N and max(r.batch_id for r in rows) == (N - 1) // 4
+def cut(ids, width):
+    """Windows of a text: every token and its successor in exactly one."""
+    return [ids[a : a + width + 1] for a in range(0, max(len(ids) - 1, 1), width)]
+
+
+@pytest.mark.parametrize("width", [2, 5])
+def test_batches_hold_every_pair_once(tokens, width):
+    rows = bt.batches(tokens, "doc_id", 3, batch_size=4, max_seq_len=width).collect()
+    texts = {i: [2, *range(10, 10 + i % 7), 3] for i in range(N)}
+    keys = [f"{i}:{w}" for i, ids in texts.items() for w in range(len(cut(ids, width)))]
+    order = shuffled(keys, "42:3")
+    assert len(rows) == len(keys) and max(r.batch_id for r in rows) == (len(keys) - 1) // 4
     for r in rows:
-        assert order[r.batch_id * 4 + r.row_in_batch] == r.doc_id and r.epoch == 3
-        full = ([2, *range(10, 10 + r.doc_id % 7), 3] + [0] * 6)[:6]
-        assert (r.input, r.target) == (full[:5], full[1:])
-    stacked = bt.stacked(bt.batches(tokens, "doc_id", None, 4, 5)).collect()
-    assert sum(r.n_rows for r in stacked) == N
-    assert all(len(r.inputs) == len(r.targets) == r.n_rows for r in stacked)
+        assert order[r.batch_id * 4 + r.row_in_batch] == f"{r.doc_id}:{r.window_no}" and r.epoch == 3
+        full = (cut(texts[r.doc_id], width)[r.window_no] + [0] * (width + 1))[: width + 1]
+        assert (r.input, r.target) == (full[:-1], full[1:])
+    assert sum(t != 0 for r in rows for t in r.target) == sum(len(t) - 1 for t in texts.values())
+    stacked = bt.stacked(bt.batch_windows(tokens, "doc_id", 3, 4, width), width).collect()
+    by_batch = {}
+    for r in sorted(rows, key=lambda r: (r.batch_id, r.row_in_batch)):
+        by_batch.setdefault(r.batch_id, []).append((r.input, r.target))
+    assert {r.batch_id: list(zip(r.inputs, r.targets)) for r in stacked} == by_batch
+    first = bt.batches(tokens, "doc_id", 3, max_seq_len=width, truncate=True).collect()
+    assert len(first) == N and {r.window_no for r in first} == {0}
+
+
+def test_null_keys_keep_their_rows(spark):
+    df = spark.createDataFrame([(None, [2, 5, 3]), (4, [2, 3]), (1, [2, 6, 3])], "k long, token_ids array<int>")
+    assert ordering.shuffled_rank(df, "k", 42).count() == 3
+    assert [r.k for r in ordering.key_rank(df, "k").orderBy("rn").collect()] == [1, 4, None]
+    assert ordering.get_sample(df, "k", 2).first().k is None
+    assert sorted(r.split for r in ordering.train_valid_split(df, "k", 0.5).collect()) == ["train", "valid", "valid"]
+    assert bt.batches(df, "k", 1, max_seq_len=4).count() == 3
+
+
+def test_many_buckets(tokens, monkeypatch):
+    monkeypatch.setattr(ordering, "ROWS_PER_BUCKET", 3)
+    rows = ordering.key_rank(tokens, "doc_id").collect()
+    assert all(r.rn == r.doc_id + 1 for r in rows) and len(rows) == N
+    for i in (0, 50, N - 1):
+        assert ordering.get_sample(tokens, "doc_id", i).first().doc_id == i
 
 
 def test_next_token_pairs_leave_out_padding(tokens):
@@ -91,7 +121,7 @@ def greedy(samples, prompt, size, steps):
 @pytest.mark.parametrize("size, steps", [(1, 13), (2, 6)])
 def test_completion_equals_step_by_step(spark, size, steps):
     texts = ["abc abd abc", "cab", "bca bd", "abcd abce"]
-    prompts = ["ab", "  ", "zq", "c", None]
+    prompts = ["ab", "  ", " zq\u3000", "c", None]
     tokenizer = Tokenizer(((b"a", b"b"),), 261)
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     asked = spark.createDataFrame(list(enumerate(prompts)), "id int, text string")
@@ -129,6 +159,33 @@ def test_masked_loss(spark):
     assert only_pad.loss_nonpad is None and only_pad.loss_all == 0
 
 
+def test_a_target_without_a_score_is_an_error(spark):
+    df = spark.createDataFrame([([0.1, 0.2], 1), ([0.1, 0.2], 7)], "logits array<double>, target int")
+    with pytest.raises(Exception, match="target outside the logits: 7"):
+        sc.masked_loss(df).collect()
+
+
+def test_scores_per_place_and_greedy_completion(tokens):
+    def echo_scorer():
+        """Prefers the id after the last one; equal scores for two ids."""
+        import pandas as pd
+
+        return lambda sequences: pd.Series(
+            [[[1.0 if j in (i + 1, i + 2) else 0.0 for j in range(20)] for i in ids] for ids in sequences]
+        )
+
+    few = tokens.where("doc_id < 7")
+    rows = sc.scored_tokens(few, echo_scorer, "doc_id").collect()
+    for r in rows:
+        ids = [2, *range(10, 10 + r.doc_id % 7), 3]
+        assert r.target == ids[r.pos + 1] and r.logits[ids[r.pos] + 1] == 1.0
+    assert len(rows) == sum(i + 1 for i in range(7))
+    assert sc.masked_loss(sc.scored_tokens(few, echo_scorer, "doc_id")).first().n_all == len(rows)
+    open_ids = few.selectExpr("doc_id", "array(5, 6) as token_ids").unionByName(few.selectExpr("doc_id + 100", "array(2)").toDF("doc_id", "token_ids"))
+    new = {r.doc_id: r.new_ids for r in sc.continue_with(open_ids, echo_scorer, "doc_id", max_new_tokens=3).collect()}
+    assert new[0] == [7, 8, 9] and new[100] == []
+
+
 def test_scoring_with_a_callers_model(tokens):
     def make_scorer():
         return lambda sequences: pd.Series([[float(len(s)), 1.0] for s in sequences])
@@ -164,6 +221,16 @@ def test_token_table_is_stored_once_per_tokenizer_and_source(spark, tmp_path, mo
     assert tt.source_fingerprint(in_memory) != tt.source_fingerprint(in_memory.union(in_memory))
 
 
+def test_token_table_follows_what_is_encoded(spark, tmp_path):
+    path = str(tmp_path / "corpus")
+    spark.createDataFrame([(i, f"text {i}") for i in range(10)], "id int, text string").write.parquet(path)
+    df, store, tokenizer = spark.read.parquet(path), str(tmp_path / "store"), Tokenizer(())
+    inputs = [df, df.withColumn("text", F.upper("text")), df.where("id < 4"), df.where("id >= 6")]
+    for given in inputs:
+        got = {r.id: r.token_ids for r in tt.token_table(given, tokenizer, store, "id").collect()}
+        assert got == {r.id: [2, *brute.encode((), r.text), 3] for r in given.collect()}
+
+
 def test_training_set(spark, tmp_path):
     df = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "id int, text string")
     built = build_training_set(df, Tokenizer(()), str(tmp_path), "id", vocab_size=260)
@@ -188,5 +255,6 @@ def test_scratch_folder_is_the_shared_one():
     assert scratch_path(given, "x").startswith("/shared/place/x-")
     assert scratch_path(given, "x") != scratch_path(given, "x")
     assert "x-" in scratch_path(_Session(spark_master="local[2]"), "x")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_path(_Session(spark_master="yarn"), "x")
+    for master in ("yarn", "local-cluster[2,1,1024]", ""):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_path(_Session(spark_master=master), "x")
