@@ -87,12 +87,13 @@ def _sketches(n: int, trees: int, depth: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array([_set_id(s) for s in sets], pa.int64()),
                     pa.array(sizes, pa.int32()),
                     pa.array(list(signed(np.ascontiguousarray(labels))), pa.list_(pa.int64())),
                     pa.array([row.tobytes() for row in sketch], pa.binary()),
                 ],
-                names=["key", "id", "n", "labels", "sketch"],
+                names=["key", "tk", "id", "n", "labels", "sketch"],
             )
 
     return run
@@ -245,9 +246,7 @@ def _spanning(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(a, np.int64), np.array(b, np.int64)
 
 
-def joined(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = NGRAM, threshold: float = THRESHOLD, target: float = TARGET_RECALL
-) -> DataFrame:
+def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``(key, class_id, copy_id, n_links, n_linked_texts)`` per row of ``docs``.
 
     ``class_id`` is the smallest key among all rows connected by links, ``copy_id`` that among
@@ -256,20 +255,37 @@ def joined(
     one n-gram. Null and empty texts have no n-grams: they are copies of each other and linked to
     nothing else. Rows with a null key take part; repeated rows are copies.
     """
+    return _classed(docs, key, text, **options).select(
+        F.col("key").alias(key), F.col("first.key").alias("class_id"), F.col("rep.key").alias("copy_id"), "n_links", "n_linked_texts"
+    )
+
+
+def _text_hash(text: str):
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def _classed(
+    docs: DataFrame, key: str, text: str, n: int = NGRAM, threshold: float = THRESHOLD, target: float = TARGET_RECALL
+) -> DataFrame:
+    """``(key, tk, rep, first, n_links, n_linked_texts)`` per row; ``tk`` is a hash of the text.
+
+    ``rep`` and ``first`` are the rows that stand for the n-gram set and for the class, as
+    ``(none, key, tk)``: the smallest key, null after all, then the smallest hash.
+    """
     depth = prefix_length(threshold, target=target)
     values = TREES * depth
     needed = int(values * threshold - DEVIATIONS * (values * threshold * (1 - threshold)) ** 0.5)
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).alias("key"), _text_hash(text).alias("tk"), F.col(text).alias("text"))
     key_type = rows.schema["key"].dataType.simpleString()
     sketches = stored(
         rows.mapInArrow(
-            _sketches(n, TREES, depth), f"key {key_type}, id bigint, n int, labels array<bigint>, sketch binary"
+            _sketches(n, TREES, depth), f"key {key_type}, tk bigint, id bigint, n int, labels array<bigint>, sketch binary"
         ),
         "sketches",
     )
     classes = stored(
         sketches.groupBy("id").agg(
-            F.min("key").alias("copy_id"), F.count("*").alias("m"), F.first(F.struct("n", "labels", "sketch")).alias("s")
+            F.min(F.struct(F.col("key").isNull().alias("none"), "key", "tk")).alias("rep"), F.count("*").alias("m"), F.first(F.struct("n", "labels", "sketch")).alias("s")
         ),
         "classes",
     )
@@ -283,10 +299,10 @@ def joined(
     clusters = components(links)
     sized = clusters.groupBy("root").agg(F.count("*").alias("n_cluster"))
     chosen = stored(
-        clusters.join(sized, "root").join(classes.select("id", "m", "copy_id"), "id"), "clusters"
+        clusters.join(sized, "root").join(classes.select("id", "m", "rep"), "id"), "clusters"
     )
     side = small_side(chosen)
-    picked = rows.join(side, rows["key"].eqNullSafe(side["copy_id"])).select(
+    picked = rows.join(side, rows["key"].eqNullSafe(side["rep.key"]) & (rows["tk"] == side["rep.tk"])).select(
         "id", "text", "root", "n_cluster", F.col("m").cast("bigint").alias("m")
     )
 
@@ -310,40 +326,46 @@ def joined(
     )
     groups = components(found.select(F.col("id").alias("a"), F.col("to").alias("b")))
     lowest = (
-        groups.join(classes.select("id", "copy_id"), "id").groupBy("root").agg(F.min("copy_id").alias("class_id"))
+        groups.join(classes.select("id", "rep"), "id").groupBy("root").agg(F.min("rep").alias("first"))
     )
     counts = found.groupBy("id").agg(F.sum("documents").alias("documents"), F.sum("classes").alias("classes"))
-    per_class = groups.join(lowest, "root").join(counts, "id").select("id", "class_id", "documents", "classes")
+    per_class = groups.join(lowest, "root").join(counts, "id").select("id", "first", "documents", "classes")
     table = stored(
         classes.join(per_class, "id", "left").select(
             "id",
-            "copy_id",
-            F.coalesce("class_id", "copy_id").alias("class_id"),
+            "rep",
+            F.coalesce("first", "rep").alias("first"),
             (F.col("m") - 1 + F.coalesce("documents", F.lit(0))).alias("n_links"),
             F.coalesce("classes", F.lit(0)).alias("n_linked_texts"),
         ),
         "near-classes",
     )
-    return sketches.select("key", "id").join(table, "id").select(
-        F.col("key").alias(key), "class_id", "copy_id", "n_links", "n_linked_texts"
+    return sketches.select("key", "tk", "id").join(table, "id").select(
+        "key", "tk", "rep", "first", "n_links", "n_linked_texts"
     )
 
 
 def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each class the smallest key stays, once.
+    """The rows of ``docs`` without near duplicates: of each class one row stays.
 
-    Texts do not move unless the keys to drop outgrow a broadcast. Null and empty texts are one
-    class, and rows with a null key go if any row of their class has a key.
+    It is the one with the smallest key, a null key after all others, then the smallest hash of
+    the text; of rows that repeat it, one. Texts do not move unless the keys of what goes, or of
+    what is repeated, outgrow a broadcast. Null and empty texts are one class.
     """
-    found = joined(docs, key, text).where("n_links > 0").select(F.col(key).alias("key"), "class_id")
-    gone = small_side(stored(found.where("not (key <=> class_id)").select("key").distinct(), "duplicates"))
-    left = docs.join(gone, docs[key].eqNullSafe(gone["key"]), "left_anti")
-    # Rows that repeat the key of the one that stays: one of them stays.
-    twice = stored(docs.groupBy(key).agg(F.count("*").alias("times")).where("times > 1").select(F.col(key).alias("key")), "repeated")
-    repeated = small_side(twice)
-    same = left[key].eqNullSafe(repeated["key"])
-    once = left.join(repeated, same, "left_semi").dropDuplicates([key, text])
-    return left.join(repeated, same, "left_anti").unionByName(once)
+    found = _classed(docs, key, text).where("n_links > 0")
+    other = ~(F.col("key").eqNullSafe(F.col("first.key")) & (F.col("tk") == F.col("first.tk")))
+    gone = small_side(stored(found.where(other).select("key", "tk").distinct(), "duplicates"))
+    again = found.where(~other).groupBy("key", "tk").agg(F.count("*").alias("times")).where("times > 1")
+    twice = small_side(stored(again.select("key", "tk"), "repeated"))
+    names = docs.columns
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(key).alias("key"), _text_hash(text).alias("tk"))
+
+    def same(side: DataFrame):
+        return rows["key"].eqNullSafe(side["key"]) & (rows["tk"] == side["tk"])
+
+    left = rows.join(gone, same(gone), "left_anti")
+    once = left.join(twice, same(twice), "left_semi").dropDuplicates(["key", "tk"])
+    return left.join(twice, same(twice), "left_anti").unionByName(once).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

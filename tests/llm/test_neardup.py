@@ -67,9 +67,13 @@ def test_against_all_pairs(spark, monkeypatch, blocks):
 def test_one_of_each_class_stays(spark):
     rows = [(i, t) for i, t in enumerate(near_copies(6, 60, 1))] + [(10, "solo text"), (11, None), (12, ""), (13, "solo  text"), (10, "solo text")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = sorted(tuple(r) for r in neardup.first_of_each(docs).collect())
+    kept = sorted((tuple(r) for r in neardup.first_of_each(docs).collect()), key=repr)
     want = {c for _, c, _ in plain(rows)}
     assert {k for k, _ in kept} == want and len(kept) == len(want)
+    nulls = [(None, rows[0][1]), (None, "a text of its own"), (None, "another one"), (None, "another one"), *rows[:2]]
+    kept = neardup.first_of_each(spark.createDataFrame(nulls, docs.schema)).collect()
+    assert sorted(r.text for r in kept) == sorted(["a text of its own", "another one", rows[0][1]])
+    assert [r.doc_id for r in kept if r.text == rows[0][1]] == [0]
     assert neardup.joined(docs.limit(0)).count() == 0
 
 
