@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from array import array
 
 import ahocorasick
 import numpy as np
@@ -21,14 +22,17 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tokenizers import Regex, normalizers, pre_tokenizers
 
-#: Words remembered by a worker; beyond, it starts afresh.
-REMEMBERED = 300_000
-#: Remembered words are at most so many characters long; longer ones are encoded each time.
+from glyphmill.llm.plan import small_batches
+
+#: Pieces of text and pairs of tokens remembered by a task; beyond, it starts afresh.
+REMEMBERED = 400_000
+#: Remembered pieces are at most so many characters long; longer ones are encoded each time.
 REMEMBERED_LENGTH = 64
 
-_SPACES = regex.compile(r"\p{White_Space}+")
-# Separators that Python's split takes for white space and the vocabulary's pattern does not.
-_ODD = re.compile("[\x1c-\x1f]")
+# What is neither ASCII nor a Latin-1 letter, and the default pattern for texts without any.
+_OTHER = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ÿ]")
+_SIMPLE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-zß-öø-ÿ0-9]+")
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def byte_letters() -> list[str]:
@@ -70,7 +74,7 @@ class Vocabulary:
 
 
 class Encoder(dict):
-    """Words to token ids; also the table of words already encoded (raw text to packed ids).
+    """Texts to token ids; also the table of pieces already encoded, to packed ids.
 
     A symbol is a byte within a word or, with the end suffix, a word's last byte; symbols are
     single characters here, so a token is a string and a word is matched as text.
@@ -78,6 +82,8 @@ class Encoder(dict):
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
+        if vocabulary.pattern != _PATTERN:
+            raise ValueError("texts are split by another pattern than this encoder knows")
         self.piece = regex.compile(vocabulary.pattern)
         self.added = vocabulary.added
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
@@ -115,6 +121,7 @@ class Encoder(dict):
                 automaton.add_word(text, (i, len(text)))
         automaton.make_automaton()
         self.automaton = automaton
+        self.by_text = {text: i for text, i in self.by_text.items() if len(text) == 1 or self.rank[i] >= 0}
         # The longest proper prefix of each token that is a token, or -1.
         self.shorter = [-1] * n
         for text, i in self.by_text.items():
@@ -124,6 +131,8 @@ class Encoder(dict):
                     self.shorter[i] = j
                     break
         self.compatible: dict[tuple[int, int], bool] = {}
+        self.widest = max(map(len, self.by_text))
+        self.letters = dict(enumerate(self.inner))
 
     def fits(self, a: int, b: int) -> bool:
         """Whether the merges keep token ``a`` next to token ``b`` apart.
@@ -148,67 +157,88 @@ class Encoder(dict):
                 limit, x = rx, self.right[x]
             else:
                 limit, y = ry + 1, self.left[y]
-        if len(self.compatible) > 4_000_000:
+        if len(self.compatible) >= REMEMBERED:
             self.compatible.clear()
         self.compatible[a, b] = good
         return good
 
     def encode_symbols(self, word: str) -> list[int]:
-        longest = [-1] * len(word)
-        for end, (token, size) in self.automaton.iter(word):
-            longest[end - size + 1] = token
+        """Longest matches from the left if all of them fit, else by backtracking."""
+        out, known = [], self.compatible
+        last = -1
+        for _, (token, _) in self.automaton.iter_long(word):
+            if last >= 0 and not (known[last, token] if (last, token) in known else self.fits(last, token)):
+                return self._backtrack(word)
+            out.append(token)
+            last = token
+        return out
+
+    def _longest(self, word: str, at: int) -> int:
+        """The longest token that starts at a place: down the trie, then back to a token's end."""
+        rest = word[at : at + self.widest]
+        size = self.automaton.longest_prefix(rest)
+        tokens = self.by_text
+        while (token := tokens.get(rest[:size], -1)) < 0:
+            size -= 1
+        return token
+
+    def _backtrack(self, word: str) -> list[int]:
         out: list[int] = []
+        sizes, shorter, known = self.sizes, self.shorter, self.compatible
         at, end, alive = 0, len(word), bytearray(b"\1") * (len(word) + 1)
-        token = longest[0]
+        token = self._longest(word, 0)
         while at < end:
             last = out[-1] if out else -1
             while token >= 0:
-                stop = at + self.sizes[token]
-                if alive[stop] and (last < 0 or self.fits(last, token)):
-                    break
-                token = self.shorter[token]
+                stop = at + sizes[token]
+                if alive[stop]:
+                    if last < 0:
+                        break
+                    fit = known.get((last, token))
+                    if self.fits(last, token) if fit is None else fit:
+                        break
+                token = shorter[token]
             if token >= 0:
                 out.append(token)
                 at = stop
-                token = longest[at] if at < end else -1
+                if at < end:
+                    token = self._longest(word, at)
             else:
                 alive[at] = 0
                 token = out.pop()
-                at -= self.sizes[token]
+                at -= sizes[token]
         return out
 
     def encode_piece(self, piece: str) -> list[int]:
-        raw = piece.encode("utf-8")
-        return self.encode_symbols("".join([self.inner[b] for b in raw[:-1]]) + self.last[raw[-1]])
-
-    def packed(self, word: str) -> bytes:
-        """Packed ids of text without white space: normalised, split by the pattern, encoded."""
-        if word.isascii():
-            pieces = self.piece.findall(word.lower())
+        if piece.isascii():
+            word = piece[:-1].translate(self.letters) + self.last[ord(piece[-1])]
         else:
-            pieces = self._pieces(unicodedata.normalize("NFC", word))
-        ids: list[int] = []
-        for piece in pieces:
-            ids += self.encode_piece(piece)
-        return np.array(ids, np.uint32).tobytes()
+            raw = piece.encode("utf-8")
+            word = raw[:-1].decode("latin-1").translate(self.letters) + self.last[raw[-1]]
+        return self.encode_symbols(word)
 
-    def _pieces(self, word: str) -> list[str]:
-        """Lower case and split. Letters are lower-cased one by one: no final sigma.
+    def __missing__(self, piece: str) -> bytes:
+        ids = array("I", self.encode_piece(piece)).tobytes()
+        if len(piece) <= REMEMBERED_LENGTH:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+    def _pieces(self, text: str) -> list[str]:
+        """A text normalised, in lower case, split by the pattern.
 
-        Characters newer than Python's tables are classed by the library's own splitter.
+        Letters are lower-cased one by one: no final sigma. Texts of ASCII and Latin-1 letters take
+        the same steps with Python's faster matcher; characters newer than Python's tables are
+        classed by the library's own splitter.
         """
-        if "Cn" not in set(map(unicodedata.category, word)):
-            return self.piece.findall(word.replace("Σ", "σ").lower())
+        if not _OTHER.search(text):
+            return _SIMPLE.findall(text.lower())
+        text = unicodedata.normalize("NFC", text)
+        if "Cn" not in set(map(unicodedata.category, set(text))):
+            return self.piece.findall(text.replace("Σ", "σ").lower())
         split = pre_tokenizers.Split(Regex(self.piece.pattern), "removed", invert=True)
-        return [p for p, _ in split.pre_tokenize_str(normalizers.Lowercase().normalize_str(word))]
-
-    def __missing__(self, word: str) -> bytes:
-        out = self.packed(word)
-        if len(word) <= REMEMBERED_LENGTH:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = out
-        return out
+        return [p for p, _ in split.pre_tokenize_str(normalizers.Lowercase().normalize_str(text))]
 
     def encode(self, text: str) -> bytes:
         """Packed ids of a text; the vocabulary's added tokens are found in it as they stand."""
@@ -221,8 +251,7 @@ class Encoder(dict):
         return self._plain(text)
 
     def _plain(self, text: str) -> bytes:
-        words = filter(None, _SPACES.split(text)) if _ODD.search(text) else text.split()
-        return b"".join(map(self.__getitem__, words))
+        return b"".join(map(self.__getitem__, self._pieces(text)))
 
 
 class Decoder:
@@ -280,7 +309,7 @@ def decode(vocabulary: Vocabulary, ids: Column | str) -> Column:
     @F.arrow_udf(T.StringType())
     def run(column: pa.Array) -> pa.Array:
         decoder = _decoder(vocabulary)
-        return pa.array([decoder.decode(x).decode("utf-8") if len(x) else "" for x in _lists(column)], pa.string())
+        return pa.array([decoder.decode(x) if len(x) else b"" for x in _lists(column)], pa.binary()).view(pa.string())
 
     return run(ids)
 
@@ -297,7 +326,7 @@ def tokenised(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> Da
     Null and empty texts have no ids. Rows are a map: repeated rows each give one, extra columns
     stay inside ``row``.
     """
-    rows = docs.select(
+    rows = small_batches(docs).select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), encode(vocabulary, F.col(text)).alias("ids")
     )
     return rows.select("row", "ids", decode(vocabulary, F.col("ids")).alias("decoded"))

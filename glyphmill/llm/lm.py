@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from glyphmill.llm.plan import small_batches
 from glyphmill.llm.tokens import Words, mix, signed, slices
 
 #: Held out: documents whose crc32(key as text) has this remainder.
@@ -242,7 +243,7 @@ def scored(
     training texts every token is unknown. Arcs below ``min_count`` are left out of the model, so a state's
     arcs sum to one at most.
     """
-    rows = docs.select(
+    rows = small_batches(docs).select(
         F.col(key).alias("key"), held_out(F.col(key)).alias("held_out"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
     key_type = rows.schema["key"].dataType.simpleString()

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from glyphmill.llm.components import components
-from glyphmill.llm.plan import small_side, stored
+from glyphmill.llm.plan import small_batches, small_side, stored
 from glyphmill.llm.tokens import Words, mix, runs, seeded, signed, slices
 
 NGRAM = 5
@@ -275,7 +275,7 @@ def _classed(
     depth = prefix_length(threshold, target=target)
     values = TREES * depth
     needed = int(values * threshold - DEVIATIONS * (values * threshold * (1 - threshold)) ** 0.5)
-    rows = docs.select(F.col(key).alias("key"), _text_hash(text).alias("tk"), F.col(text).alias("text"))
+    rows = small_batches(docs).select(F.col(key).alias("key"), _text_hash(text).alias("tk"), F.col(text).alias("text"))
     key_type = rows.schema["key"].dataType.simpleString()
     sketches = stored(
         rows.mapInArrow(

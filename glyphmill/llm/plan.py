@@ -21,6 +21,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after asking its session for Arrow batches of a few MB.
+
+    Texts differ in length by orders of magnitude; batches of thousands of rows would decide how much
+    memory a Python worker and its executor need. A session with lower limits keeps them.
+    """
+    conf = df.sparkSession.conf
+    for name, most in (("maxRecordsPerBatch", 2_000), ("maxBytesPerBatch", 4 << 20)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = conf.get(key).rstrip("bB")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            conf.set(key, str(most))
+    return df
+
+
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A written table, marked for broadcast if it has at most ``rows`` rows."""
     return F.broadcast(df) if df.count() <= rows else df

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from glyphmill.llm.plan import small_side, stored, text_key
+from glyphmill.llm.plan import small_batches, small_side, stored, text_key
 from glyphmill.llm.tokens import Words, signed, slices
 
 KINDS = ("email", "ip", "card", "phone")
@@ -159,7 +159,7 @@ def revealing_terms(
     must stand beside the entity in ``min_contexts`` different contexts, so copies of one text
     are one piece of evidence.
     """
-    texts = docs.select(*text_key(F.col(text)), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    texts = small_batches(docs).select(*text_key(F.col(text)), F.coalesce(F.col(text), F.lit("")).alias("text"))
     beside = stored(
         texts.mapInArrow(_contexts, "k1 bigint, k2 bigint, entity bigint, context bigint, term bigint"),
         "beside",
