@@ -8,6 +8,7 @@ through once from left to right, carrying the state and adding up the arcs it ta
 The automaton grows with the corpus, so it is never in one place. Documents are dealt to blocks;
 each block asks for the arcs its own texts can take, the counts are summed where all requests
 for one n-gram meet, and the answers, the block's slice of the automaton, are joined to its texts.
+Counts of one n-gram above 2**31 - 1 are answered as that.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from glyphmill.llm.plan import small_batches
@@ -32,6 +34,7 @@ OWN_WEIGHT = 0.1
 BLOCK_CHARS = 6_000_000
 _END = np.uint64(0xE0D)
 _NEXT = np.uint64(0x9E3779B97F4A7C15)
+_MOST = 2**31 - 1
 
 
 def held_out(key: Column) -> Column:
@@ -84,73 +87,83 @@ def training_totals(docs: DataFrame, text: str, train: Column) -> dict[str, floa
     return row.asDict()
 
 
-def _requests(buckets: int):
-    """A block's n-grams with their training counts, as one packed row per bucket of ids."""
+_REQUESTS = "bucket bigint, block bigint, words array<bigint>, word_n array<int>, pairs array<bigint>, pair_n array<int>"
+_ANSWERS = "bucket bigint, block bigint, word_n array<int>, pair_n array<int>"
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        text = table.column("text").chunk(0)
-        ids, sizes = _tokens(text)
-        train = np.repeat(~table.column("held_out").to_numpy(), sizes)
-        pairs, at = _bigrams(ids, sizes)
-        out: dict[int, list] = {}
-        for kind, (values, counts) in enumerate(
-            [_summed(ids, train), _summed(pairs, train[at])]
-        ):
-            bucket = (values % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            values, counts, bucket = values[order], counts[order], bucket[order]
-            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-            for b in np.flatnonzero(np.diff(cuts)).tolist():
-                row = out.setdefault(b, [[], [], [], []])
-                row[2 * kind] = signed(values[cuts[b] : cuts[b + 1]])
-                row[2 * kind + 1] = counts[cuts[b] : cuts[b + 1]]
-        return _packed(list(out), [table.column("block")[0].as_py()] * len(out), list(out.values()))
 
-    return run
+class _Grams:
+    """The distinct n-grams of a block in the order of its requests: by bucket, count, then id.
 
+    The order is a function of the block's texts, so answers need not repeat the ids; and as
+    equal counts lie together, counts take next to no room in an exchange.
+    """
 
-def _summed(ids: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    values, inverse = np.unique(ids, return_inverse=True)
-    return values, np.bincount(inverse, weights=weight, minlength=len(values)).astype(np.int64)
+    def __init__(self, ids: np.ndarray, weight: np.ndarray, buckets: int):
+        values, inverse = np.unique(ids, return_inverse=True)
+        counts = np.bincount(inverse, weights=weight, minlength=len(values)).astype(np.int32)
+        bucket = (values % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((values, counts, bucket))
+        self.ids, self.counts = values[order], counts[order]
+        self.cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
 
+    def lists(self, values: np.ndarray, chosen: np.ndarray, kind: pa.DataType) -> pa.Array:
+        """One list per chosen bucket; buckets that were not chosen have none of the values."""
+        ends = np.append(self.cuts[chosen], len(values)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, kind))
 
-_PACKED = "bucket bigint, block bigint, words array<bigint>, word_n array<bigint>, pairs array<bigint>, pair_n array<bigint>"
 
+def _grams(table: pa.Table, buckets: int):
+    """Tokens of a block's texts, and its words and pairs with their training counts."""
+    table = table.combine_chunks()
+    column = table.column("text").chunk(0) if table.num_rows else pa.array([], pa.string())
+    ids, sizes = _tokens(column)
+    train = np.repeat(~table.column("held_out").to_numpy(), sizes)
+    pairs, at = _bigrams(ids, sizes)
+    return ids, sizes, _Grams(ids, train, buckets), _Grams(pairs, train[at], buckets)
 
-def _packed(buckets: list[int], blocks: list[int], rows: list[list]) -> pa.Table:
-    lists = [pa.array([r[i] for r in rows], pa.list_(pa.int64())) for i in range(4)]
-    return pa.Table.from_arrays(
-        [pa.array(buckets, pa.int64()), pa.array(blocks, pa.int64()), *lists],
-        names=["bucket", "block", "words", "word_n", "pairs", "pair_n"],
-    )
 
+def _requests(buckets: int):
+    """A block's n-grams with their training counts, as one packed row per bucket of ids."""
 
-def _flat(table: pa.Table, name: str) -> np.ndarray:
-    return table.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    def run(table: pa.Table) -> pa.Table:
+        _, _, words, pairs = _grams(table, buckets)
+        chosen = np.flatnonzero((np.diff(words.cuts) > 0) | (np.diff(pairs.cuts) > 0))
+        return pa.Table.from_arrays(
+            [
+                pa.array(chosen, pa.int64()),
+                pa.array(np.full(len(chosen), table.column("block")[0].as_py()), pa.int64()),
+                words.lists(signed(words.ids), chosen, pa.int64()),
+                words.lists(words.counts, chosen, pa.int32()),
+                pairs.lists(signed(pairs.ids), chosen, pa.int64()),
+                pairs.lists(pairs.counts, chosen, pa.int32()),
+            ],
+            names=["bucket", "block", "words", "word_n", "pairs", "pair_n"],
+        )
 
+    return run
 
-def _sizes(table: pa.Table, name: str) -> np.ndarray:
-    return np.array([len(x) for x in table.column(name)], np.int64)
+
+def _flat(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
 
 
 def _answers(min_count: int):
-    """All blocks' requests for a bucket of n-grams, answered with the totals of those in the model."""
+    """All blocks' requests for a bucket of n-grams, answered with totals in the order asked.
+
+    A total below ``min_count`` (1 for words) is 0: not in the model.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        n = table.num_rows
-        columns = []
-        for name, least in (("words", 1), ("pairs", min_count)):
-            ids, counts = _flat(table, name), _flat(table, "word_n" if name == "words" else "pair_n")
-            owner = np.repeat(np.arange(n), _sizes(table, name))
-            _, inverse = np.unique(ids, return_inverse=True)
-            total = np.bincount(inverse, weights=counts).astype(np.int64)[inverse] if len(ids) else counts
-            keep = total >= least
-            ids, total, owner = ids[keep], total[keep], owner[keep]
-            cuts = np.searchsorted(owner, np.arange(n + 1))
-            columns.append([(ids[a:b], total[a:b]) for a, b in zip(cuts, cuts[1:])])
-        rows = [[w[0], w[1], p[0], p[1]] for w, p in zip(*columns)]
-        return _packed(table.column("bucket").to_pylist(), table.column("block").to_pylist(), rows)
+        columns = [table.column(x).combine_chunks() for x in ("bucket", "block")]
+        for name, n, least in (("words", "word_n", 1), ("pairs", "pair_n", min_count)):
+            ids, counts = _flat(table, name), _flat(table, n)
+            values, inverse = np.unique(ids, return_inverse=True)
+            total = np.bincount(inverse, weights=counts, minlength=len(values)).astype(np.int64)
+            total = np.where(total >= least, np.minimum(total, _MOST), 0).astype(np.int32)[inverse]
+            sizes = pc.list_value_length(table.column(name).combine_chunks()).to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(total, pa.int32())))
+        return pa.Table.from_arrays(columns, names=["bucket", "block", "word_n", "pair_n"])
 
     return run
 
@@ -158,9 +171,9 @@ def _answers(min_count: int):
 class Automaton:
     """A block's slice of the automaton: word arcs of the empty state, and bigram arcs."""
 
-    def __init__(self, table: pa.Table, totals: dict[str, float], own_weight: float):
-        self.words, self.word_n = self._sorted(table, "words", "word_n")
-        self.pairs, self.pair_n = self._sorted(table, "pairs", "pair_n")
+    def __init__(self, words: tuple, pairs: tuple, totals: dict[str, float], own_weight: float):
+        """``words`` and ``pairs`` are ids with their training counts."""
+        (self.words, self.word_n), (self.pairs, self.pair_n) = self._sorted(*words), self._sorted(*pairs)
         self.totals, self.own_weight = totals, own_weight
         tokens, types = max(totals["tokens"], 1), max(totals["types"], 1)
         # Absolute discounting; what it frees is the unknown token's.
@@ -169,8 +182,8 @@ class Automaton:
         self.tokens, self.unknown = tokens, self.discount * types / tokens if totals["tokens"] else 1.0
 
     @staticmethod
-    def _sorted(table: pa.Table, name: str, counts: str) -> tuple[np.ndarray, np.ndarray]:
-        ids, n = _flat(table, name).view(np.uint64), _flat(table, counts)
+    def _sorted(ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids, n = ids[n > 0], n[n > 0].astype(np.int64)
         order = np.argsort(ids)
         return ids[order], n[order]
 
@@ -203,14 +216,14 @@ class Automaton:
         return known, np.log10(weight)
 
 
-def _scores(totals: dict[str, float], own_weight: float, key_type: pa.DataType):
+def _scores(totals: dict[str, float], own_weight: float, buckets: int):
     floor = math.log10(totals["tokens"] + totals["types"] + 1)
 
-    def run(texts: pa.Table, arcs: pa.Table) -> pa.Table:
-        texts = texts.combine_chunks()
-        column = texts.column("text").chunk(0) if texts.num_rows else pa.array([], pa.string())
-        ids, sizes = _tokens(column)
-        known, weight = Automaton(arcs, totals, own_weight).traverse(ids, sizes)
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        ids, sizes, words, pairs = _grams(texts, buckets)
+        answers = answers.sort_by("bucket")
+        arcs = Automaton((words.ids, _flat(answers, "word_n")), (pairs.ids, _flat(answers, "pair_n")), totals, own_weight)
+        known, weight = arcs.traverse(ids, sizes)
         starts = np.cumsum(sizes) - sizes
         add = lambda x: np.add.reduceat(x, starts) if len(starts) else np.zeros(0)
         return pa.Table.from_arrays(
@@ -253,13 +266,13 @@ def scored(
     blocks = max(least, math.ceil(chars / block_chars))
     # Repeated keys are dealt apart by their text.
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("key", F.substring("text", 1, 64)), F.lit(blocks)))
-    requests = dealt.groupBy("block").applyInArrow(_requests(blocks), _PACKED)
-    answers = requests.groupBy("bucket").applyInArrow(_answers(min_count), _PACKED)
+    requests = dealt.groupBy("block").applyInArrow(_requests(blocks), _REQUESTS)
+    answers = requests.groupBy("bucket").applyInArrow(_answers(min_count), _ANSWERS)
     out = (
         dealt.groupBy("block")
         .cogroup(answers.groupBy("block"))
         .applyInArrow(
-            _scores(totals, own_weight, None),
+            _scores(totals, own_weight, blocks),
             f"key {key_type}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double",
         )
     )
