@@ -31,7 +31,7 @@ MIN_COUNT = 2
 #: Weight of a state's own arcs; the failure arc has the rest.
 OWN_WEIGHT = 0.1
 #: Characters of a block, about.
-BLOCK_CHARS = 6_000_000
+BLOCK_CHARS = 12_000_000
 _END = np.uint64(0xE0D)
 _NEXT = np.uint64(0x9E3779B97F4A7C15)
 _MOST = 2**31 - 1
