@@ -19,7 +19,7 @@ SYMBOLS = "#*$%&|<>"
 #: A line is frequent above this share of its host's documents, and above MIN_DOCUMENTS.
 MAX_LINE_SHARE = 0.10
 MIN_DOCUMENTS = 10
-#: A document is depleted if it keeps fewer words than MIN_WORDS or than this share.
+#: A document is depleted if it keeps a smaller share of its words.
 MIN_KEPT_SHARE = 0.30
 
 def _repeated_words(ws: Column) -> Column:
@@ -76,8 +76,8 @@ def _measures(text: Column) -> Column:
 def _document_lines(docs: DataFrame, text: str, host: str) -> DataFrame:
     """``(host, k1, k2, line, words)``: a row per document text and distinct normalised line.
 
-    Exact copies within a host are one document: their lines meet in one row each, and
-    ``words`` is divided by the number of ``copies`` later.
+    Exact copies within a host are one document: their lines meet in one row each, where all
+    have as many words.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     normal = F.trim(F.regexp_replace(F.lower("piece"), f"[{SPACE}]+", " "))
@@ -117,16 +117,7 @@ def depleted_documents(docs: DataFrame, frequent: DataFrame, text: str = "text",
         lines["host"], "k1", "k2", "w", F.when(F.col("lost"), 0).otherwise(F.col("w")).alias("left_w")
     )
     sums = marked.groupBy("host", "k1", "k2").agg(F.sum("w").alias("w"), F.sum("left_w").alias("left_w"))
-    copies = (
-        docs.select(F.col(host).alias("host"), *text_key(F.col(text)))
-        .groupBy("host", "k1", "k2")
-        .agg(F.count("*").alias("copies"))
-    )
-    some = sums.where("left_w < w").alias("s")
-    c = copies.alias("c")
-    on = F.expr("s.host <=> c.host and s.k1 = c.k1 and s.k2 = c.k2")
-    short = (F.col("left_w") < MIN_WORDS * F.col("copies")) | (F.col("left_w") < MIN_KEPT_SHARE * F.col("w"))
-    return stored(some.join(c, on).where(short).select("s.host", "s.k1", "s.k2"), "depleted")
+    return stored(sums.where(F.col("left_w") < MIN_KEPT_SHARE * F.col("w")).select("host", "k1", "k2"), "depleted")
 
 
 def judged(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
@@ -195,6 +186,6 @@ WITH d AS (
 )
 SELECT b.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
     NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-        AND NOT coalesce(left_w < w AND (left_w < 50 OR left_w < 0.30 * w), FALSE) AS kept
+        AND NOT coalesce(left_w < 0.30 * w, FALSE) AS kept
 FROM base b LEFT JOIN left_over USING (doc_id)
 """
