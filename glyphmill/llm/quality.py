@@ -1,22 +1,26 @@
 """Quality rules: counts inside each document, and lines that many documents of a host share.
 
 Lines are normalised and hashed; a line is frequent if more distinct documents of its host
-have it than a limit allows. Frequent lines are removed, and a document that keeps too
-little is rejected.
+have it than a limit allows. A document that keeps too little without them is rejected.
+
+``judged`` gives the verdict alone, under a limit that is a share of the host, and leaves texts as
+they are. ``kept_documents`` removes the frequent lines from what it keeps; its limit is a number
+of documents, the same for a host of any size.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from glyphmill.llm.plan import SPACE, let, small_side, stored, text_key, words
+from glyphmill.llm.plan import BROADCAST_ROWS, SPACE, let, small_side, stored, text_key, words
 
 MIN_WORDS = 50
 #: Rejected if more than this percentage of the words lies in repeated windows.
 MAX_REPEATED_PERCENT = 50
 WINDOW_WORDS = 3
 SYMBOLS = "#*$%&|<>"
-#: A line is frequent above this share of its host's documents, and above MIN_DOCUMENTS.
+#: A line is frequent above this share of its host's documents, and above MIN_DOCUMENTS;
+#: where lines are removed, above MIN_DOCUMENTS alone.
 MAX_LINE_SHARE = 0.10
 MIN_DOCUMENTS = 10
 #: A document is depleted if it keeps a smaller share of its words.
@@ -73,6 +77,10 @@ def _measures(text: Column) -> Column:
     )
 
 
+def _normal(line: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(line), f"[{SPACE}]+", " "))
+
+
 def _document_lines(docs: DataFrame, text: str, host: str) -> DataFrame:
     """``(host, k1, k2, line, words)``: a row per document text and distinct normalised line.
 
@@ -80,10 +88,9 @@ def _document_lines(docs: DataFrame, text: str, host: str) -> DataFrame:
     have as many words.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    normal = F.trim(F.regexp_replace(F.lower("piece"), f"[{SPACE}]+", " "))
     return (
         docs.select(F.col(host).alias("host"), *text_key(F.col(text)), F.explode(F.split(body, "\n")).alias("piece"))
-        .select("host", "k1", "k2", normal.alias("piece"))
+        .select("host", "k1", "k2", _normal(F.col("piece")).alias("piece"))
         .where("piece <> ''")
         .select("host", "k1", "k2", F.xxhash64("piece").alias("line"), F.size(F.split("piece", " ")).alias("w"))
         .groupBy("host", "k1", "k2", "line")
@@ -109,17 +116,46 @@ def frequent_lines(
     return stored(found.select(common["host"], "line", "n_documents"), "frequent-lines")
 
 
-def depleted_documents(docs: DataFrame, frequent: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """``(host, k1, k2)`` of the texts that keep too little without the frequent lines, written."""
+def _marked_lines(docs: DataFrame, frequent: DataFrame, text: str, host: str) -> DataFrame:
+    """The rows of ``_document_lines``, with ``lost`` true for frequent lines, else null."""
     lines, lost = _document_lines(docs, text, host), small_side(frequent.withColumn("lost", F.lit(True)))
     same = lines["host"].eqNullSafe(lost["host"]) & (lines["line"] == lost["line"])
-    marked = lines.join(lost, same, "left").select(
-        lines["host"], "k1", "k2", "w", F.when(F.col("lost"), 0).otherwise(F.col("w")).alias("left_w")
-    )
-    sums = marked.groupBy("host", "k1", "k2").agg(F.sum("w").alias("w"), F.sum("left_w").alias("left_w"))
+    return lines.join(lost, same, "left").select(lines["host"], "k1", "k2", lines["line"], "w", "lost")
+
+
+def _word_sums() -> list[Column]:
+    left = F.when(F.col("lost"), 0).otherwise(F.col("w"))
+    return [F.sum("w").alias("w"), F.sum(left).alias("left_w")]
+
+
+def depleted_documents(docs: DataFrame, frequent: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+    """``(host, k1, k2)`` of the texts that keep too little without the frequent lines, written."""
+    sums = _marked_lines(docs, frequent, text, host).groupBy("host", "k1", "k2").agg(*_word_sums())
     return stored(sums.where(F.col("left_w") < MIN_KEPT_SHARE * F.col("w")).select("host", "k1", "k2"), "depleted")
 
 
+def shortened_documents(docs: DataFrame, frequent: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+    """``(host, k1, k2, depleted, lines)`` of the texts with frequent lines, written.
+
+    ``lines`` are the hashes of those lines; a depleted text has none, as it goes as a whole.
+    """
+    sums = (
+        _marked_lines(docs, frequent, text, host)
+        .groupBy("host", "k1", "k2")
+        .agg(*_word_sums(), F.collect_set(F.when(F.col("lost"), F.col("line"))).alias("lines"))
+        .where(F.size("lines") > 0)
+        .withColumn("depleted", F.col("left_w") < MIN_KEPT_SHARE * F.col("w"))
+    )
+    lines = F.when(F.col("depleted"), F.slice("lines", 1, 0)).otherwise(F.col("lines"))
+    return stored(sums.select("host", "k1", "k2", "depleted", lines.alias("lines")), "shortened")
+
+
+def _base_failed(m: str) -> Column:
+    return (F.col(f"{m}.n_words") < MIN_WORDS) | (
+        100 * F.col(f"{m}.n_repeat_words") > MAX_REPEATED_PERCENT * F.col(f"{m}.n_words")
+    )
+
+
 def judged(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """``(row, quality)``: each row of ``docs`` as a struct, and its counts with the verdict.
 
@@ -136,17 +172,47 @@ def judged(docs: DataFrame, text: str = "text", host: str = "source") -> DataFra
         _measures(F.coalesce(F.col(text), F.lit(""))).alias("m"),
     )
     on = rows["host"].eqNullSafe(lost["host"]) & (rows["k1"] == lost["k1"]) & (rows["k2"] == lost["k2"])
-    failed = (F.col("m.n_words") < MIN_WORDS) | (
-        100 * F.col("m.n_repeat_words") > MAX_REPEATED_PERCENT * F.col("m.n_words")
-    )
+    failed = _base_failed("m")
     kept = ~failed & F.col("depleted").isNull()
     quality = F.struct("m.*", failed.alias("base_failed"), kept.alias("kept"))
     return rows.join(lost, on, "left").select("row", quality.alias("quality"))
 
 
 def kept_documents(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """The rows of ``docs`` that pass, with their columns as they are."""
-    return judged(docs, text, host).where("quality.kept").select("row.*")
+    """The rows of ``docs`` that pass, without frequent lines in ``text``; ``n_chars``, if there, follows.
+
+    A line is frequent in more than MIN_DOCUMENTS distinct texts of its host. A text passes if
+    the base rule holds for it as it came, and if without its frequent lines it has MIN_WORDS
+    words and MIN_KEPT_SHARE of what it had. Other lines and blank ones stay as they are.
+    """
+    shortened = shortened_documents(docs, frequent_lines(docs, text, host, max_share=0.0), text, host)
+    hashes = shortened.agg(F.sum(F.size("lines") + 1)).first()[0] or 0
+    side = F.broadcast(shortened) if hashes <= BROADCAST_ROWS else shortened
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(host).alias("host"),
+        *text_key(F.col(text)),
+        _measures(F.coalesce(F.col(text), F.lit(""))).alias("m"),
+    ).where(~_base_failed("m"))
+    on = rows["host"].eqNullSafe(side["host"]) & (rows["k1"] == side["k1"]) & (rows["k2"] == side["k2"])
+    stays = F.filter(
+        F.split(F.col(f"row.`{text}`"), "\n"), lambda x: ~F.array_contains(F.col("lines"), F.xxhash64(_normal(x)))
+    )
+    left = (
+        rows.join(side, on, "left")
+        .where(F.coalesce(~F.col("depleted"), F.lit(True)))
+        .select("row", F.when(F.col("lines").isNotNull(), F.array_join(stays, "\n")).alias("now"))
+        .where(F.col("now").isNull() | (F.size(words(F.col("now"))) >= MIN_WORDS))
+    )
+    columns = []
+    for c in docs.columns:
+        value = F.col(f"row.`{c}`")
+        if c == text:
+            value = F.coalesce("now", value)
+        elif c == "n_chars":
+            value = F.when(F.col("now").isNotNull(), F.length("now")).otherwise(value).cast(docs.schema[c].dataType)
+        columns.append(value.alias(c))
+    return left.select(*columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

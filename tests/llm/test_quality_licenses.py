@@ -43,6 +43,29 @@ def test_copies_are_one_document(spark):
     assert quality.kept_documents(docs).count() == 40
 
 
+def test_stage_removes_frequent_lines_whatever_the_hosts_size(spark):
+    """11 of 400 texts of a host share a line, which is below a tenth; the base rule keeps all."""
+    own = lambda i, n: " ".join(f"own{i}.{k}" for k in range(n))
+    menu = "\n".join(" ".join(f"menu{i}.{k}" for k in range(6)) for i in range(12))
+    rows = {i: own(i, 60) for i in range(360)}
+    rows |= {1000 + i: f"{own(i, 30)}x\n\n  Home  | About Us |\tContact\n{own(-i - 1, 30)}y\n" for i in range(11)}
+    rows |= {2000 + i: f"{menu}\nonly words {i}" for i in range(11)}  # a small share stays
+    rows |= {3000 + i: f"home | about us | contact\n{own(3000 + i, 48)}" for i in range(9)}  # 48 words stay
+    rows |= {4000 + i: f"Ten have this one\n{own(4000 + i, 60)}" for i in range(10)}
+    docs = spark.createDataFrame(
+        [(k, t, "h", len(t)) for k, t in rows.items()] + [(1000, rows[1000], "other", 7), (1000, rows[1000], None, 7)],
+        "doc_id long, text string, source string, n_chars long",
+    )
+    assert not any(r.quality.base_failed for r in quality.judged(docs).collect())
+    got = {(r.doc_id, r.source): r for r in quality.kept_documents(docs).collect()}
+    assert {k for k, host in got if host == "h"} == {k for k in rows if k < 2000 or k >= 4000}
+    for k, text in rows.items():
+        if (k, "h") in got:
+            want = "\n".join(x for x in text.split("\n") if "About Us" not in x)
+            assert (got[k, "h"].text, got[k, "h"].n_chars) == (want, len(want))
+    assert got[1000, "other"].text == got[1000, None].text == rows[1000] and got[1000, "other"].n_chars == 7
+
+
 def test_license_edge_rows(spark):
     mit = "MIT License\n\nCopyright (c) 2020 Someone\n\n" + licenses.KNOWN[0][1].replace("sublicense", "sub-license").upper()
     rows = [
