@@ -3,14 +3,17 @@
 A text is brought into canonical form (lower case, copyright lines out, equivalent spellings
 made one, punctuation as spaces) and its digest looked up. The texts looked up are each whole
 document and each of its lines, so a licence file, and a one-line notice within other text,
-are both entire texts.
+are both entire texts. A long text is also found inside a document: at each place where four
+words begin a known text, the digest of as many words as that text has is looked up, so
+headings, comment marks and the way lines are broken do not matter.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from glyphmill.llm.plan import text_key
+from glyphmill.llm.license_digests import LONG, WHOLE
+from glyphmill.llm.plan import let, text_key
 
 # Public licence texts and notices.
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this
@@ -75,11 +78,19 @@ SPELLINGS = (
 )
 #: Lines that name a right holder: they differ from copy to copy of one licence.
 COPYRIGHT_LINE = "(?m)^[^a-z\\n]*(copyright|\\(c\\)|©)[^\\n]*$"
+#: Words that say where a long text may begin.
+HEAD_WORDS = 4
+#: Every long text has one of these; texts without are not searched.
+MARKS = ("warrant", "lesser")
 
 
 def canonical(text: Column) -> Column:
     """Lower case, no copyright lines, one spelling, words separated by one space."""
-    out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, " ")
+    return _plain_words(F.regexp_replace(F.lower(text), COPYRIGHT_LINE, " "))
+
+
+def _plain_words(lower: Column) -> Column:
+    out = lower
     for pattern, replacement in SPELLINGS:
         out = F.regexp_replace(out, pattern, replacement)
     return F.trim(F.regexp_replace(out, "[^a-z0-9]+", " "))
@@ -91,17 +102,56 @@ def known_digests(spark, known=KNOWN) -> DataFrame:
     return rows.select(F.sha2(canonical(F.col("body")), 256).alias("digest"), "license").distinct()
 
 
-def scanned(docs: DataFrame, key: str = "doc_id", text: str = "text", known: DataFrame | None = None) -> DataFrame:
+def whole_rows(spark, bodies) -> list[tuple[str, str]]:
+    """``(license, digest)`` of texts that a whole document is compared with."""
+    return sorted((r.license, r.digest) for r in known_digests(spark, bodies).collect())
+
+
+def long_rows(spark, bodies) -> list[tuple[str, int, str, str]]:
+    """``(license, n_words, head, digest)`` of texts to find inside documents.
+
+    The bodies need at least HEAD_WORDS words, one of MARKS, and no copyright lines.
+    """
+    form = _plain_words(F.lower("body"))
+    words = F.split(form, " ")
+    rows = spark.createDataFrame(list(bodies), "license string, body string").select(
+        "license", F.size(words).alias("n"), F.array_join(F.slice(words, 1, HEAD_WORDS), " ").alias("head"), F.sha2(form, 256).alias("digest")
+    )
+    return sorted(tuple(r) for r in rows.distinct().collect())
+
+
+def _inside(text: Column, long) -> Column:
+    """Digests of the stretches of a text that begin and are as long as a known long text."""
+    sizes: dict[str, set[int]] = {}
+    for _, n, head, _ in long:
+        sizes.setdefault(head, set()).add(n)
+    firsts = F.array(*[F.lit(x) for x in sorted({head.split(" ")[0] for head in sizes})])
+    known = F.array(*[F.struct(F.lit(h).alias("head"), F.lit(n).alias("n")) for h in sorted(sizes) for n in sorted(sizes[h])])
+
+    def stretches(ws):
+        places = F.filter(F.sequence(F.lit(1), F.size(ws)), lambda i: F.array_contains(firsts, F.get(ws, i - 1)))
+        return F.flatten(F.transform(places, lambda i: let(F.array_join(F.slice(ws, i, HEAD_WORDS), " "), lambda head: F.transform(
+            F.filter(known, lambda k: (k["head"] == head) & (i + k["n"] - 1 <= F.size(ws))),
+            lambda k: F.sha2(F.array_join(F.slice(ws, i, k["n"]), " "), 256),
+        ))))
+
+    return F.array_distinct(let(F.split(_plain_words(F.lower(text)), " "), stretches))
+
+
+def scanned(docs: DataFrame, key: str = "doc_id", text: str = "text", known: DataFrame | None = None, long=LONG) -> DataFrame:
     """``(key, whole, n_lines, licenses)`` per row of ``docs``.
 
     ``whole`` is the licence that the entire document is, else null; ``n_lines`` counts its lines
-    that are a known text; ``licenses`` lists all found, sorted and comma-joined. A null or empty
-    text has none; repeated rows each give a row. Pass a larger table of digests as ``known``:
-    it is broadcast only while Spark's size estimate allows.
+    that are a known text; ``licenses`` lists all found, also inside the text, sorted and
+    comma-joined. A null or empty text has none; repeated rows each give a row. Pass a larger table
+    of digests as ``known``: it is broadcast only while Spark's size estimate allows. ``long`` are
+    rows of ``long_rows``.
     """
     spark = docs.sparkSession
-    # The built-in list has a fixed length, so its broadcast has a fixed size.
-    digests = F.broadcast(known_digests(spark)) if known is None else known
+    # The built-in lists have a fixed length, so their broadcasts have a fixed size.
+    if known is None:
+        texts = spark.createDataFrame([(d, name) for name, d in WHOLE], "digest string, license string")
+        known = F.broadcast(known_digests(spark).union(texts).distinct())
     body = F.coalesce(F.col(text), F.lit(""))
     pieces = F.concat(
         F.array(F.struct(F.lit(True).alias("whole"), body.alias("piece"))),
@@ -112,8 +162,19 @@ def scanned(docs: DataFrame, key: str = "doc_id", text: str = "text", known: Dat
         .select("k1", "k2", "p.whole", canonical(F.col("p.piece")).alias("form"))
         .where("form <> ''")
         .select("k1", "k2", "whole", F.sha2("form", 256).alias("digest"))
-        .join(digests, "digest")
-        .groupBy("k1", "k2")
+        .join(known, "digest")
+        .select("k1", "k2", "whole", "license")
+    )
+    if long:
+        names = spark.createDataFrame([(d, name) for name, _, _, d in long], "digest string, license string").distinct()
+        inside = (
+            docs.where(F.lower(F.col(text)).rlike("|".join(MARKS)))
+            .select(*text_key(F.col(text)), F.explode(_inside(F.col(text), long)).alias("digest"))
+            .join(F.broadcast(names), "digest")
+        )
+        found = found.union(inside.select("k1", "k2", F.lit(None).cast("boolean").alias("whole"), "license"))
+    found = (
+        found.groupBy("k1", "k2")
         .agg(
             F.min(F.when(F.col("whole"), F.col("license"))).alias("whole"),
             F.count(F.when(~F.col("whole"), 1)).alias("lines"),

@@ -1,5 +1,7 @@
 """Quality rules and license scans: the SQL on the documents, and edge rows."""
 
+from pathlib import Path
+
 import duckdb
 import pytest
 from glyphmill.llm import licenses, quality
@@ -81,3 +83,57 @@ def test_license_edge_rows(spark):
         key=repr,
     )
     assert licenses.scanned(docs.limit(0)).count() == 0
+
+
+BSD_2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+
+def test_long_licenses_inside_texts(spark):
+    mit, cut = licenses.KNOWN[0][1], "We give no warranty. " + licenses.KNOWN[0][1][:400]
+    comments = "\n".join("// " + x for x in BSD_2.split("\n"))
+    rows = [
+        (1, f"# Tool\n\nSome words first.\n\nMIT License\n\nCopyright (c) 2020 Me\n\n{mit}\n\n## More\nwords", None, "MIT"),
+        (2, "intro " + mit.replace("\n", " ") + " outro", None, "MIT"),
+        (3, f"// Copyright 2021 Me\n{comments}\nint main() {{}}\n{mit}", None, "BSD-2-Clause,MIT"),
+        (4, cut, None, ""),
+        (5, mit.replace("free of charge", "for a fee"), None, ""),
+    ]
+    docs = spark.createDataFrame([r[:2] for r in rows] + [rows[0][:2]], "doc_id long, text string")
+    got = {(r.doc_id, r.whole, r.n_lines, r.licenses) for r in licenses.scanned(docs).collect()}
+    assert got == {(i, whole, 0, names) for i, _, whole, names in rows}
+
+
+@pytest.mark.skipif(not Path("/usr/share/common-licenses/GPL-3").exists(), reason="no licence texts on this machine")
+def test_whole_public_licenses(spark):
+    def text(name):
+        return Path(f"/usr/share/common-licenses/{name}").read_text()
+
+    apache = text("Apache-2.0")
+    rows = [("GPL-2.0", text("GPL-2")), ("GPL-3.0", text("GPL-3")), ("LGPL-3.0", text("LGPL-3")), ("MPL-2.0", text("MPL-2.0"))]
+    rows += [("CC0-1.0", text("CC0-1.0")), ("Apache-2.0", apache), ("Apache-2.0", apache[: apache.index("   APPENDIX")])]
+    rows += [("Apache-2.0", apache[apache.index("TERMS AND CONDITIONS") :]), ("BSD-3-Clause", text("BSD"))]
+    rows += [("BSD-2-Clause", "BSD 2-Clause License\n\nCopyright (c) 2020, Me\nAll rights reserved.\n\n" + BSD_2)]
+    docs = [(i, t) for i, (_, t) in enumerate(rows)] + [(100 + i, f"See below.\n\n{t}\n\nThe end.") for i, (_, t) in enumerate(rows)]
+    got = {r.doc_id: r for r in licenses.scanned(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, (name, _) in enumerate(rows):
+        assert got[i].whole == name and name in got[i].licenses.split(",")
+        assert got[100 + i].whole is None and name in got[100 + i].licenses.split(",")
