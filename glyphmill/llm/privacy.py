@@ -3,8 +3,8 @@
 The values that the patterns find (addresses, numbers) are the protected entities. How
 strongly a term beside an entity reveals it is read off the corpus: of the texts that have the
 term, what share has the entity near it? ``-log2`` of that share is what stays unknown of the
-entity once the term is seen. A term that leaves less than a bit unknown is a span of its own,
-and is generalised when texts are rewritten.
+entity once the term is seen. A term that leaves less than a bit unknown is a span of its own in
+every text that has it, with the entity or without, and is generalised when texts are rewritten.
 """
 
 from __future__ import annotations
@@ -18,17 +18,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from glyphmill.llm.plan import small_batches, small_side, stored, text_key
-from glyphmill.llm.tokens import Words, signed, slices
+from glyphmill.llm.plan import BROADCAST_ROWS, small_batches, small_side, stored, text_key
+from glyphmill.llm.tokens import Words, runs, signed, slices
 
 KINDS = ("email", "ip", "card", "phone")
 #: What takes the place of a span.
 GENERAL = {"email": "<email>", "ip": "<ip>", "card": "<card>", "phone": "<phone>", "term": "<term>"}
 #: Words on each side of an entity that count as beside it.
 CONTEXT = 5
-#: Bits of the entity that must stay unknown, and how many different contexts must agree.
+#: Bits of the entity that must stay unknown, and how many different texts must agree.
 MIN_BITS = 1.0
 MIN_CONTEXTS = 3
+#: Words in a row whose smallest hash, outside an entity's context, stands for a text and its near copies.
+EVIDENCE_WORDS = 4
 
 #: Taken off both ends of a word to get its term.
 MARKS = ".,;:!?()[]{}\"'|*&$%#<>"
@@ -111,8 +113,28 @@ def _places(text: str) -> list[tuple[int, int, int]]:
     return list(zip(begins[words.starts].tolist(), begins[words.ends].tolist(), signed(words.ids()).tolist()))
 
 
+def _evidence(words: list[int]):
+    """A function from a context's words, ``lo`` to ``hi``, to a number that stands for the text around it.
+
+    The smallest hash of words in a row outside the context: texts that differ have different
+    ones however alike their contexts are, and near copies mostly the same.
+    """
+    n = max(len(words) - EVIDENCE_WORDS + 1, 0)
+    ids = np.array(words, np.int64).view(np.uint64)
+    hashes = signed(runs(ids, EVIDENCE_WORDS, np.zeros(len(ids), np.int64))[0])
+    before, after = np.minimum.accumulate(hashes), np.minimum.accumulate(hashes[::-1])[::-1]
+
+    def of(lo: int, hi: int) -> int:
+        ends = lo - EVIDENCE_WORDS
+        found = [int(before[ends])] if ends >= 0 else []
+        found += [int(after[hi])] if hi < n else []
+        return min(found) if found else _id(repr(words))
+
+    return of
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(k1, k2, entity, context, term)``: the terms beside each entity of a text."""
+    """``(k1, k2, entity, evidence, term)``: the terms beside each entity of a text, once a text."""
     for batch in slices(batches):
         rows = []
         for k1, k2, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
@@ -120,18 +142,42 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not spans:
                 continue
             words = _places(text)
-            starts, ends = [w[0] for w in words], [w[1] for w in words]
+            starts, ends, ids = [w[0] for w in words], [w[1] for w in words], [w[2] for w in words]
+            evidence, terms = {}, {}
+            of = _evidence(ids)
             for kind, s, e in spans:
                 first, after = bisect_right(ends, s), bisect_left(starts, e)
-                beside = [w[2] for w in words[max(first - CONTEXT, 0) : first] + words[after : after + CONTEXT]]
-                entity, context = _id(f"{kind}:{text[s:e].lower()}"), _id(repr(beside))
-                rows += [(k1, k2, entity, context, t) for t in set(beside)]
+                lo, hi = max(first - CONTEXT, 0), min(after + CONTEXT, len(ids))
+                entity, mine = _id(f"{kind}:{text[s:e].lower()}"), of(lo, hi)
+                evidence[entity] = min(mine, evidence.get(entity, mine))
+                terms.setdefault(entity, set()).update(ids[lo:first] + ids[after:hi])
+            rows += [(k1, k2, entity, evidence[entity], t) for entity, own in terms.items() for t in own]
         columns = list(zip(*rows)) or [()] * 5
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()) for c in columns], names=["k1", "k2", "entity", "context", "term"]
+            [pa.array(c, pa.int64()) for c in columns], names=["k1", "k2", "entity", "evidence", "term"]
         )
 
 
+def _terms_of_texts(wanted: np.ndarray | None):
+    """A map to ``(k1, k2, term)``: the distinct terms of each text, of ``wanted`` if given (sorted)."""
+
+    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            words = Words(batch.column(2), lower=True, trim=MARKS)
+            ids, doc = signed(words.ids()), words.doc
+            if wanted is not None:
+                at = np.minimum(np.searchsorted(wanted, ids), len(wanted) - 1)
+                hit = wanted[at] == ids
+                ids, doc = ids[hit], doc[hit]
+            pairs = np.unique(np.stack([doc.astype(np.int64), ids], 1), axis=0) if len(ids) else np.zeros((0, 2), np.int64)
+            of = pa.array(pairs[:, 0])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(of), batch.column(1).take(of), pa.array(pairs[:, 1])], names=["k1", "k2", "term"]
+            )
+
+    return terms
+
+
 def _holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(term, n)``: how many texts of a batch have each term."""
     for batch in batches:
@@ -153,19 +199,19 @@ def _holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def revealing_terms(
     docs: DataFrame, text: str = "text", min_bits: float = MIN_BITS, min_contexts: int = MIN_CONTEXTS
 ) -> DataFrame:
-    """``(k1, k2, terms)``: per text with entities, the terms in it that give one away; written.
+    """``(k1, k2, terms)``: per text, the terms in it that give an entity away; written.
 
     The share of an entity among the texts of a term is counted over the whole corpus. A term
-    must stand beside the entity in ``min_contexts`` different contexts, so copies of one text
-    are one piece of evidence.
+    must stand beside the entity in ``min_contexts`` different texts; copies and near copies of
+    one text are one piece of evidence, texts with one constant signature are many.
     """
     texts = small_batches(docs).select(*text_key(F.col(text)), F.coalesce(F.col(text), F.lit("")).alias("text"))
     beside = stored(
-        texts.mapInArrow(_contexts, "k1 bigint, k2 bigint, entity bigint, context bigint, term bigint"),
+        texts.mapInArrow(_contexts, "k1 bigint, k2 bigint, entity bigint, evidence bigint, term bigint"),
         "beside",
     )
     together = (
-        beside.groupBy("entity", "term", "context")
+        beside.groupBy("entity", "term", "evidence")
         .agg(F.count("*").alias("n_texts"))
         .groupBy("entity", "term")
         .agg(F.sum("n_texts").alias("together"), F.count("*").alias("contexts"))
@@ -173,8 +219,13 @@ def revealing_terms(
     )
     holders = texts.select("text").mapInArrow(_holders, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
     bits = -F.log2(F.least(F.col("together") / F.col("n"), F.lit(1.0)))
-    revealing = stored(together.join(holders, "term").where(bits < min_bits).select("entity", "term"), "revealing")
-    found = beside.select("k1", "k2", "entity").distinct().join(revealing, "entity")
+    revealing = stored(together.join(holders, "term").where(bits < min_bits).select("term").distinct(), "revealing")
+    schema = "k1 bigint, k2 bigint, term bigint"
+    if revealing.count() <= BROADCAST_ROWS:
+        wanted = np.array(sorted(r.term for r in revealing.toLocalIterator()), np.int64)
+        found = texts.mapInArrow(_terms_of_texts(wanted), schema) if len(wanted) else texts.sparkSession.createDataFrame([], schema)
+    else:
+        found = texts.mapInArrow(_terms_of_texts(None), schema).join(revealing, "term")
     return stored(found.groupBy("k1", "k2").agg(F.collect_set("term").alias("terms")), "terms-of-texts")
 
 

@@ -55,3 +55,22 @@ def test_documents_and_terms(spark):
     assert clean[1003] == "note 3 from <term> <term> a3 b3 <email> c3 d3 <term> end3"
     assert clean[2000] is None and clean[2002] == "from nobody in particular"
     assert privacy.found(docs.limit(0)).count() == 0
+
+
+def test_terms_of_a_constant_signature_and_of_texts_without_the_entity(spark):
+    """One context in ten different texts is ten pieces of evidence; near copies of one text are not."""
+    def own(name, n):
+        return " ".join(f"{name}x{k}" for k in range(n))
+
+    sign = "Yours truly Zorblat Quux Manager zq@example.com Phone desk nine floor two"
+    rows = [(i, f"{own(f't{i}', 40)} {sign}") for i in range(10)]
+    rows += [(100 + i, f"{own(f'u{i}', 30)} met Zorblat yesterday") for i in range(4)]
+    copied = own("c", 400) + " from Blenk Morv ab@example.com beside the door " + own("d", 400)
+    rows += [(200 + i, f"{copied} tail{i}") for i in range(3)]
+    got = {
+        r.row.doc_id: {r.row.text[s.s : s.e] for s in r.every if s.kind == "term"}
+        for r in privacy.found(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    }
+    assert all({"Zorblat", "Quux"} <= got[i] for i in range(10))
+    assert all(got[100 + i] == {"Zorblat"} for i in range(4))
+    assert not any(got[200 + i] for i in range(3))
