@@ -10,8 +10,11 @@ word costs time linear in its length, and the result is exactly that of the merg
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
+import sys
+import types
 import unicodedata
 from array import array
 
@@ -53,6 +56,7 @@ class Vocabulary:
 
     def __init__(self, tokens: list[str], merges: list[tuple[str, str]], suffix: str, pattern: str, added: dict[str, int]):
         self.tokens, self.merges, self.suffix, self.pattern, self.added = tokens, merges, suffix, pattern, added
+        self.fingerprint = hashlib.sha256(repr((tokens, merges, suffix, pattern, sorted(added.items()))).encode()).hexdigest()
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -68,10 +72,6 @@ class Vocabulary:
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         return cls(tokens, merges, model.get("end_of_word_suffix") or "", split["pattern"]["Regex"], added)
 
-    def __getstate__(self):
-        """Without what a task has built from it."""
-        return {k: v for k, v in self.__dict__.items() if k not in ("encoder", "decoder")}
-
 
 class Encoder(dict):
     """Texts to token ids; also the table of pieces already encoded, to packed ids.
@@ -273,16 +273,17 @@ class Decoder:
         return self.data[index][:-1].tobytes()
 
 
-def _encoder(vocabulary: Vocabulary) -> Encoder:
-    if not hasattr(vocabulary, "encoder"):
-        vocabulary.encoder = Encoder(vocabulary)
-    return vocabulary.encoder
+#: Where a worker process keeps what it has built; outlives the functions a task unpickles.
+_KEPT = "glyphmill_worker_codecs"
 
 
-def _decoder(vocabulary: Vocabulary) -> Decoder:
-    if not hasattr(vocabulary, "decoder"):
-        vocabulary.decoder = Decoder(vocabulary)
-    return vocabulary.decoder
+def _codec(vocabulary: Vocabulary) -> tuple[Encoder, Decoder]:
+    """Encoder and decoder of a vocabulary, built once per worker process; one vocabulary is kept."""
+    kept = sys.modules.setdefault(_KEPT, types.ModuleType(_KEPT)).__dict__
+    if kept.get("fingerprint") != vocabulary.fingerprint:
+        kept["codec"] = Encoder(vocabulary), Decoder(vocabulary)
+        kept["fingerprint"] = vocabulary.fingerprint
+    return kept["codec"]
 
 
 def _lists(column: pa.Array) -> list[np.ndarray]:
@@ -290,15 +291,26 @@ def _lists(column: pa.Array) -> list[np.ndarray]:
     return [values[a:b] for a, b in zip(column.offsets.to_numpy()[:-1], column.offsets.to_numpy()[1:])]
 
 
-def encode(vocabulary: Vocabulary, text: Column | str) -> Column:
-    """Token ids of a text as ``array<int>``; null is the empty text."""
+def encode(vocabulary: Vocabulary, text: Column | str, packed: bool = False, decoded: bool = True) -> Column:
+    """``struct<ids, decoded>`` of a text: its token ids and the text they decode to; null is the empty text.
+
+    Ids are an ``array<int>``, or with ``packed`` a binary of little-endian unsigned 32-bit integers.
+    One function gives both, so that no plan encodes a text twice; without ``decoded`` that field is null.
+    """
+    id_type = T.BinaryType() if packed else T.ArrayType(T.IntegerType())
 
-    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    @F.arrow_udf(T.StructType([T.StructField("ids", id_type), T.StructField("decoded", T.StringType())]))
     def run(texts: pa.Array) -> pa.Array:
-        encoder = _encoder(vocabulary)
+        encoder, decoder = _codec(vocabulary)
         parts = [encoder.encode(t.as_py() or "") for t in texts]
-        offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), np.int32)))
+        lists = [np.frombuffer(p, np.dtype("<u4")) for p in parts]
+        back = [(decoder.decode(x) if len(x) else b"") if decoded else None for x in lists]
+        if packed:
+            ids = pa.array(parts, pa.binary())
+        else:
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), np.int32)))
+        return pa.StructArray.from_arrays([ids, pa.array(back, pa.binary()).cast(pa.string())], ["ids", "decoded"])
 
     return run(text)
 
@@ -308,28 +320,23 @@ def decode(vocabulary: Vocabulary, ids: Column | str) -> Column:
 
     @F.arrow_udf(T.StringType())
     def run(column: pa.Array) -> pa.Array:
-        decoder = _decoder(vocabulary)
+        decoder = _codec(vocabulary)[1]
         return pa.array([decoder.decode(x) if len(x) else b"" for x in _lists(column)], pa.binary()).view(pa.string())
 
     return run(ids)
 
 
-@F.arrow_udf(T.BinaryType())
-def packed_ids(column: pa.Array) -> pa.Array:
-    """Ids as little-endian unsigned 32-bit integers."""
-    return pa.array([x.astype("<u4").tobytes() for x in _lists(column)], pa.binary())
-
-
-def tokenised(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
+def tokenised(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", packed: bool = False) -> DataFrame:
     """``(row, ids, decoded)``: each row as a struct, its token ids and the text they decode to.
 
     Null and empty texts have no ids. Rows are a map: repeated rows each give one, extra columns
-    stay inside ``row``.
+    stay inside ``row``, whatever their names; an empty table gives an empty one.
     """
     rows = small_batches(docs).select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), encode(vocabulary, F.col(text)).alias("ids")
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        encode(vocabulary, F.col(f"`{text}`"), packed).alias("coded"),
     )
-    return rows.select("row", "ids", decode(vocabulary, F.col("ids")).alias("decoded"))
+    return rows.select("row", "coded.ids", "coded.decoded")
 
 
 def default_vocabulary() -> Vocabulary:
@@ -341,12 +348,12 @@ def default_vocabulary() -> Vocabulary:
 def digests(rows: DataFrame) -> DataFrame:
     return rows.select(
         "row.doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(packed_ids("ids"), 256).alias("ids_sha256"),
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return digests(tokenised(docs, default_vocabulary()))
+    return digests(tokenised(docs, default_vocabulary(), packed=True))

@@ -48,9 +48,31 @@ def test_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     more = docs.unionByName(spark.createDataFrame([(9000, None), (9001, ""), (9002, "a"), (9002, "a")], docs.schema))
     texts = {r.doc_id: r.text or "" for r in more.collect()}
-    rows = bpe.digests(bpe.tokenised(more.withColumn("ids", bpe.F.lit(1)), VOCABULARY)).collect()
+    rows = bpe.digests(bpe.tokenised(more.withColumn("ids", bpe.F.lit(1)), VOCABULARY, packed=True)).collect()
     assert len(rows) == len(texts) + 1
     for r in rows:
         ids = LIBRARY.encode(texts[r.doc_id], add_special_tokens=False).ids
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(LIBRARY.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_a_text_is_encoded_once(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    stage = corpus_pipeline.encode(spark, docs, None)
+    for rows in (bpe.query(spark, "/root/testdata/sf0.001"), stage):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("run(text") == 1, plan
+    ids = {r.doc_id: list(r.token_ids) for r in stage.select("doc_id", "token_ids").collect()}
+    for r in docs.collect():
+        assert ids[r.doc_id] == LIBRARY.encode(r.text, add_special_tokens=False).ids
+
+
+def test_long_text_and_empty_table(spark):
+    text = "Lorem ipsum, 42 dolor's sit. " * 60_000
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = bpe.tokenised(docs, VOCABULARY).first()
+    ids = LIBRARY.encode(text, add_special_tokens=False).ids
+    assert list(row.ids) == ids and row.decoded == LIBRARY.decode(ids, skip_special_tokens=False)
+    assert bpe.digests(bpe.tokenised(docs.where("false"), VOCABULARY, packed=True)).count() == 0
