@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glyphmill.llm import bpe, infilling, licenses, lm, mixing, neardup, privacy, quality, repeats, secrets, winnowing
+from glyphmill.llm import bpe, infilling, lattice, licenses, lm, mixing, neardup, privacy, quality, repeats, secrets, winnowing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ngram_jaccard_join": neardup.query,
         "op9_secret_scan": secrets.query,
         "op10_long_repeats": repeats.query,
+        "op11_embedding_near_dedup": lattice.query,
         "op12_fill_in_middle": infilling.query,
     }
 
