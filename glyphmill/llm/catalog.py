@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glyphmill.llm import bpe, infilling, lattice, licenses, lm, mixing, neardup, privacy, quality, repeats, secrets, winnowing
+from glyphmill.llm import bpe, collocations, infilling, lattice, licenses, lm, mixing, neardup, privacy, quality, repeats, secrets, winnowing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_long_repeats": repeats.query,
         "op11_embedding_near_dedup": lattice.query,
         "op12_fill_in_middle": infilling.query,
+        "op13_collocations": collocations.query,
     }
 
 
@@ -31,4 +32,5 @@ def statements() -> dict[str, str]:
         "op6_license_scan": licenses.SQL,
         "op7_quality_rules": quality.SQL,
         "op12_fill_in_middle": infilling.SQL,
+        "op13_collocations": collocations.SQL,
     }
