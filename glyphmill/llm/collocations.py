@@ -27,10 +27,12 @@ LEAST = 10
 COVERED = 50
 #: Phrases returned for each language.
 FIRST = 2000
+#: About so much text is one shard, whose n-grams are sorted together; a longer text is one of its own.
+SHARD_BYTES = 8 << 20
 #: About so much text gives the n-grams of one prefix range.
-RANGE_BYTES = 8 << 20
+RANGE_BYTES = 16 << 20
 #: A task writes automata for at most so many ranges at a time; more are reached by steps.
-FAN_OUT = 1024
+FAN_OUT = 512
 #: Automata of about so many bytes are united in one task of a step.
 STEP_BYTES = 64 << 20
 #: Rows are dealt to so many parts before the first of each language are taken of all.
@@ -119,25 +121,22 @@ class Counts:
         code = mix(self.labels[self.first] * np.uint64(0x9E3779B97F4A7C15) + mix(self.labels[self.second]))
         return ((code >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
 
-    def chosen(self, pairs: np.ndarray) -> Counts:
-        """The phrases that begin with the given pairs (numbers in order)."""
-        new = np.full(len(self.first), -1, np.int64)
-        new[pairs] = np.arange(len(pairs))
-        kept = np.flatnonzero(new[self.owner] >= 0)
-        used = np.unique(np.concatenate([self.first[pairs], self.second[pairs], self.third[kept]]))
-        place = lambda x: np.searchsorted(used, x)
-        return Counts(
-            self.labels[used], place(self.first[pairs]), place(self.second[pairs]), self.weight[pairs],
-            new[self.owner[kept]], place(self.third[kept]), self.longer[kept],
-        )
-
     def parts(self, ranges: int) -> Iterator[tuple[int, Counts]]:
         """The counts of each prefix range that has any."""
         at = self.range_of(ranges)
         order = np.argsort(at, kind="stable")
-        edges = np.flatnonzero(np.diff(at[order])) + 1
-        for pairs in np.split(order, edges) if len(order) else []:
-            yield int(at[pairs[0]]), self.chosen(pairs)
+        place = np.zeros(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        owner = place[self.owner]
+        arcs = np.argsort(owner, kind="stable")
+        owner, third, longer = owner[arcs], self.third[arcs], self.longer[arcs]
+        at, first, second, weight = at[order], self.first[order], self.second[order], self.weight[order]
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1]) if len(at) else np.zeros(0, np.int64)
+        stops = np.append(starts[1:], len(at))[: len(starts)]
+        for s, e, a, b in zip(starts, stops, *np.searchsorted(owner, [starts, stops])):
+            used, where = np.unique(np.concatenate([first[s:e], second[s:e], third[a:b]]), return_inverse=True)
+            n = e - s
+            yield int(at[s]), Counts(self.labels[used], where[:n], where[n : 2 * n], weight[s:e], owner[a:b] - s, where[2 * n :], longer[a:b])
 
 
 class Automaton:
@@ -177,15 +176,20 @@ class Automaton:
         """The automaton of the counts as compressed bytes."""
         state, sizes, starts = cls.states(counts)
         arcs = np.repeat(starts, sizes) + _within(sizes)
+        # States are numbered as pairs come to them, so the first way to a state needs no number.
+        first = np.zeros(len(state), bool)
+        first[np.unique(state, return_index=True)[1]] = True
+        way = np.where(first & (state > 0), 0, state + 1)
         # Pairs are in order, so the first word is told by how many pairs it begins.
         arrays = [counts.labels, np.bincount(counts.first, minlength=len(counts.labels)), counts.second, counts.weight]
-        arrays += [state, sizes, counts.third[arcs], counts.longer[arcs]]
+        arrays += [way, sizes, counts.third[arcs], counts.longer[arcs]]
         out = io.BytesIO()
         for a in arrays:
             most = int(a.max()) if len(a) else 0
-            width = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
+            width = next(w for w in (1, 2, 3, 4, 5, 6, 7, 8) if most < 1 << 8 * w)
             out.write(np.array([len(a), width], "<i8").tobytes())
-            out.write(a.astype(f"<u{width}").tobytes())
+            # All lowest bytes, then all next ones: like stands with like.
+            out.write(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
         data = out.getvalue()
         return np.array([len(data)], "<i8").tobytes() + pa.compress(data, codec="zstd", asbytes=True)
 
@@ -196,47 +200,83 @@ class Automaton:
         arrays, at = [], 0
         for _ in range(8):
             n, width = map(int, np.frombuffer(data, "<i8", 2, at))
-            arrays.append(np.frombuffer(data, f"<u{width}", n, at + 16).astype(np.int64 if arrays else np.uint64))
+            wide = np.zeros((n, 8), np.uint8)
+            wide[:, :width] = np.frombuffer(data, np.uint8, n * width, at + 16).reshape(width, n).T
+            arrays.append(wide.reshape(-1).view("<u8" if not arrays else "<i8"))
             at += 16 + n * width
-        labels, begins, second, weight, state, sizes, third, longer = arrays
+        labels, begins, second, weight, way, sizes, third, longer = arrays
+        state = np.where(way == 0, np.cumsum(way == 0), way - 1)
         starts = np.cumsum(sizes) - sizes
         each = sizes[state]
         arcs = np.repeat(starts[state], each) + _within(each)
         return Counts(labels, np.repeat(np.arange(len(labels)), begins), second, weight, np.repeat(np.arange(len(state)), each), third[arcs], longer[arcs])
 
 
-_SHARD = "range long, packed binary, id long, lang string, word string, n long"
+def _packed_rows(parts: Iterator[tuple[int, Counts]]) -> dict[str, pa.Array]:
+    rows = [(r, Automaton.pack(c)) for r, c in parts]
+    return {"range": pa.array([r for r, _ in rows], pa.int64()), "packed": pa.array([x for _, x in rows], pa.binary())}
+
+
+def _word_ids(texts: pa.Array, langs: pa.Array) -> tuple[Words, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Words and pieces of texts, each word's 64-bit id, the languages and each word's place among them."""
+    words, piece = phrase_words(texts)
+    langs = langs.dictionary_encode()
+    lang = langs.indices.to_numpy().astype(np.int64)[words.doc]
+    ids = mix(words.ids() + np.array([*_lang_salts(langs.dictionary), 0], np.uint64)[lang])
+    return words, piece, ids, langs.dictionary, lang
+
+
+def _sharded(ranges: int, shard_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Texts to the automata of each prefix range, shard by shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, pieces, size, last = [], [], 0, 0
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict(_packed_rows(Counts.of_words(np.concatenate(ids), np.concatenate(pieces)).parts(ranges)))
+
+        for part in slices(batches):
+            words, piece, own, _, _ = _word_ids(part.column(0), part.column(1))
+            ids.append(own)
+            pieces.append(piece + last)
+            last += int(piece[-1]) + 1 if len(piece) else 0
+            size += len(words.data)
+            if size >= shard_bytes:
+                yield rows()
+                ids, pieces, size, last = [], [], 0, 0
+        if size:
+            yield rows()
+
+    return run
 
 
-def _packed_rows(parts: list[tuple[int, Counts]]) -> dict[str, pa.Array]:
-    return {"range": pa.array([r for r, _ in parts], pa.int64()), "packed": pa.array([Automaton.pack(c) for _, c in parts], pa.binary())}
+_WORDS = pa.schema([("id", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 
 
-def _sharded(ranges: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Texts to the automata of each prefix range, and the words of each language with their counts."""
-    schema = pa.schema([("range", pa.int64()), ("packed", pa.binary()), ("id", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
+def _counted_words(shard_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Texts to the words of each language with their counts, shard by shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices([batch]):
-                words, piece = phrase_words(part.column(0))
-                langs = part.column(1).dictionary_encode()
-                salts = np.array([*_lang_salts(langs.dictionary), 0], np.uint64)
-                lang = langs.indices.to_numpy().astype(np.int64)[words.doc]
-                ids = mix(words.ids() + salts[lang])
-                _, first, inverse, n = np.unique(ids, return_index=True, return_inverse=True, return_counts=True)
-                found = [(r, c) for r, c in Counts.of_words(ids, piece).parts(ranges)]
-                packed = _packed_rows(found)
-                none = lambda kind, size: pa.nulls(size, kind)
-                columns = {
-                    "range": pa.concat_arrays([packed["range"], none(pa.int64(), len(first))]),
-                    "packed": pa.concat_arrays([packed["packed"], none(pa.binary(), len(first))]),
-                    "id": pa.concat_arrays([none(pa.int64(), len(found)), pa.array(signed(ids[first]))]),
-                    "lang": pa.concat_arrays([none(pa.string(), len(found)), langs.dictionary.take(pa.array(lang[first])).cast(pa.string())]),
-                    "word": pa.concat_arrays([none(pa.string(), len(found)), words.texts(first).cast(pa.string())]),
-                    "n": pa.concat_arrays([none(pa.int64(), len(found)), pa.array(n.astype(np.int64))]),
-                }
-                yield pa.RecordBatch.from_arrays([columns[f.name] for f in schema], schema=schema)
+        found, size = [], 0
+
+        def rows() -> pa.RecordBatch:
+            ids, n = (np.concatenate([x[k] for x in found]) for k in (0, 1))
+            _, first, inverse = np.unique(ids, return_index=True, return_inverse=True)
+            total = np.zeros(len(first), np.int64)
+            np.add.at(total, inverse, n)
+            lang, word = (pa.concat_arrays([x[k] for x in found]).take(pa.array(first)) for k in (2, 3))
+            return pa.RecordBatch.from_arrays([pa.array(signed(ids[first])), lang, word, pa.array(total)], schema=_WORDS)
+
+        for part in slices(batches):
+            words, _, ids, langs, lang = _word_ids(part.column(0), part.column(1))
+            distinct, first, n = np.unique(ids, return_index=True, return_counts=True)
+            found.append((distinct, n.astype(np.int64), langs.take(pa.array(lang[first])).cast(pa.string()), words.texts(first).cast(pa.string())))
+            size += len(words.data)
+            if size >= shard_bytes:
+                yield rows()
+                found, size = [], 0
+        if size:
+            yield rows()
 
     return run
 
@@ -255,7 +295,7 @@ def _united(ranges: int) -> Callable[[pa.Table], pa.Table]:
 
     def run(table: pa.Table) -> pa.Table:
         union = Counts.union([Automaton.unpack(x) for x in table.column("packed").to_pylist()])
-        return pa.table(_packed_rows(list(union.parts(ranges))))
+        return pa.table(_packed_rows(union.parts(ranges)))
 
     return run
 
@@ -298,6 +338,8 @@ def _narrowed(automata: DataFrame, ranges: int, coarse: int, fan_out: int) -> Da
     A range's automata meet in groups of about STEP_BYTES, so neither the automata of a
     range nor the ranges of an automaton ever come together in one task.
     """
+    if coarse < ranges:
+        automata = stored(automata, "shard-automata")
     while coarse < ranges:
         finer = min(ranges, coarse * fan_out)
         sized = automata.groupBy("range").agg(F.sum(F.octet_length("packed")).alias("bytes"))
@@ -311,7 +353,7 @@ def _narrowed(automata: DataFrame, ranges: int, coarse: int, fan_out: int) -> Da
 
 def collocations(
     docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, first: int = FIRST,
-    range_bytes: int = RANGE_BYTES, fan_out: int = FAN_OUT,
+    range_bytes: int = RANGE_BYTES, fan_out: int = FAN_OUT, shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """``(lang, rank, phrase, a, l, r, n, score)``: the best phrases of two and three words of each language.
 
@@ -327,12 +369,15 @@ def collocations(
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     ranges = max(1, math.ceil(size / range_bytes))
     coarse = min(ranges, fan_out)
-    shards = stored(small_batches(rows).mapInArrow(_sharded(coarse), _SHARD), "shard-automata")
+    rows = small_batches(rows)
     words = stored(
-        shards.where("packed IS NULL").groupBy("id", "lang", "word").agg(F.sum("n").alias("n")), "phrase-words"
+        rows.mapInArrow(_counted_words(shard_bytes), "id long, lang string, word string, n long")
+        .groupBy("id", "lang", "word")
+        .agg(F.sum("n").alias("n")),
+        "phrase-words",
     )
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    automata = _narrowed(shards.where("packed IS NOT NULL").select("range", "packed"), ranges, coarse, fan_out)
+    automata = _narrowed(rows.mapInArrow(_sharded(coarse, shard_bytes), "range long, packed binary"), ranges, coarse, fan_out)
     phrases = stored(automata.groupBy("range").applyInArrow(_often(least), _PHRASES), "phrases")
 
     # A longer phrase composed with the counts of pairs, on its last two words: the count of these, and

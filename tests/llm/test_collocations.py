@@ -116,7 +116,7 @@ def test_small_tables(spark, monkeypatch):
     assert collect(co.collocations(df)) == want
     # Many ranges reached by steps of few, and bounded groups in each step.
     monkeypatch.setattr(co, "STEP_BYTES", 300)
-    assert collect(co.collocations(df, range_bytes=1000, fan_out=3, first=4)) == [r for r in want if r[1] <= 4]
+    assert collect(co.collocations(df, range_bytes=1000, fan_out=3, shard_bytes=500, first=4)) == [r for r in want if r[1] <= 4]
     assert collect(co.collocations(df.where("false"))) == []
     assert collect(co.collocations(df, least=10**6)) == []
 
