@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -55,6 +56,96 @@ class Merger:
         return "".join(symbols)
 
 
+class Steps:
+    """Merge rules in order, with the word before and after each rule that changes it."""
+
+    def __init__(self, rules: list[str]):
+        self.rules = rules
+        # A pair's rules from the last to the first; almost all pairs have one.
+        self.ranks: dict[tuple[str, str], int] = {}
+        self.earlier: dict[tuple[str, str], list[int]] = {}
+        for rank, rule in enumerate(rules):
+            pair = rule[0], rule[1]
+            if pair in self.ranks:
+                self.earlier.setdefault(pair, []).append(self.ranks[pair])
+            self.ranks[pair] = rank
+
+    def of(self, word: str) -> Iterator[tuple[int, str, str]]:
+        rank, get = -1, self.ranks.get
+        while True:
+            pairs = zip(word, word[1:])
+            ahead = [k for k in map(get, pairs) if k is not None and k > rank]
+            if not ahead:
+                return
+            best = min(ahead)
+            if self.earlier:
+                for pair in set(zip(word, word[1:])) & self.earlier.keys():
+                    best = min([best, *(k for k in self.earlier[pair] if k > rank)])
+            rule = self.rules[best]
+            merged = word.replace(rule[:2], rule[2])
+            yield best, word, merged
+            word, rank = merged, best
+
+    def last(self, word: str) -> str:
+        for _, _, word in self.of(word):  # noqa: B007, PLW2901
+            pass
+        return word
+
+
+#: Entries of changed counts that a task holds before it hands them on.
+HELD = 200_000
+
+
+def changed_pairs(batches: Iterator[pa.RecordBatch], rules: list[str], listed: set[str], fresh: str, edge: str) -> Iterator[pa.RecordBatch]:
+    """``(freq, symbols)`` rows to ``(step, pair, freq)``: how each rule in turn changes the pairs' counts.
+
+    Steps count from 1. Only ``listed`` pairs are told, and those with a symbol from ``fresh`` on.
+    Changes of a task are summed before they leave.
+    """
+    steps, held, entries = Steps(rules), [{} for _ in rules], 0
+
+    def rows() -> pa.RecordBatch:
+        kept = [(step, pair, n) for step, own in enumerate(held, 1) for pair, n in own.items() if n]
+        for own in held:
+            own.clear()
+        columns = list(zip(*kept)) or [[], [], []]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.string(), pa.int64()))], ["step", "pair", "freq"]
+        )
+
+    for batch in batches:
+        for freq, word in zip(*(batch.column(c).to_pylist() for c in ("freq", "symbols"))):
+            # No rule holds an edge mark, so the marks can stay on.
+            for rank, before, after in steps.of(edge + word + edge):
+                rule, own = rules[rank], held[rank]
+                at = before.find(rule[:2])
+                if before.find(rule[:2], at + 1) < 0:
+                    # One place: only pairs that hold one of the two symbols have changed.
+                    before, after = before[at - 1 : at + 3], after[at - 1 : at + 2]  # noqa: PLW2901
+                for sign, symbols in ((-freq, before), (freq, after)):
+                    for a, b in zip(symbols, symbols[1:]):
+                        pair = a + b
+                        if a != edge and b != edge and (pair in listed or a >= fresh or b >= fresh):
+                            if pair in own:
+                                own[pair] += sign
+                            else:
+                                own[pair] = sign
+                                entries += 1
+            if entries >= HELD:
+                yield rows()
+                entries = 0
+    yield rows()
+
+
+def merged_words(batches: Iterator[pa.RecordBatch], rules: list[str]) -> Iterator[pa.RecordBatch]:
+    """``(freq, symbols)`` rows after all rules; words of one symbol left out."""
+    steps = Steps(rules)
+    for batch in batches:
+        words = [steps.last(w) for w in batch.column("symbols").to_pylist()]
+        done = pa.RecordBatch.from_arrays([batch.column("freq"), pa.array(words, pa.string())], ["freq", "symbols"])
+        yield done.filter(pa.array([len(w) > 1 for w in words], pa.bool_()))
+
+
 def symbol_ids(symbols: str) -> np.ndarray:
     """Token ids of a symbol string: its code points, shifted past the special tokens."""
     points = np.frombuffer(symbols.encode("utf-32-le"), dtype=np.int32)

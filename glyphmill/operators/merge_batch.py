@@ -1,17 +1,22 @@
-"""How many merges can be taken from one look at the counts.
-
-The input is the most frequent pairs with, for each, how often its most frequent
-neighbours stood before and after it. From that, counts after a merge are known exactly
-or bounded from above; a batch goes on while the best exact count beats every bound.
+"""Which merges come next: foreseen from one look at the counts, confirmed by exact ones.
+
+The look is the most frequent pairs with, for each, how often its most frequent neighbours
+stood before and after it. From that the driver plays training on, estimating the counts of the
+pairs that merges create or thin out. All words then take these merges in turn and tell how
+each changes the counts; what was the best pair at its step by those counts is a merge, and the
+first one that was not ends the batch. What the others changed is kept: the next look foresees with
+measured effects, so most of a batch is right.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from dataclasses import dataclass, field
+from heapq import heapify, heappop, heappush
 
 from glyphmill.functions import symbols as sy
 
-CANDIDATES = 128
+CANDIDATES = 1024
 NEIGHBOURS = 32
 
 
@@ -43,111 +48,151 @@ class Vocabulary:
         return char, known
 
 
-@dataclass
-class _Pair:
-    """A pair in the running: its count, or a bound on it when not ``exact``."""
-
-    pair: str
-    count: int
-    exact: bool
-    # Counts of the neighbours kept, by (after, symbol); those left out are no higher than
-    # ``rest``. Pairs that a merge of this batch created have none.
-    seen: dict[tuple[bool, str], int] = field(default_factory=dict)
-    rest: int = 0
-    # As listed and untouched by the batch.
-    intact: bool = False
-    # For a created pair: the merged pair, its neighbour and the neighbour's side.
-    origin: tuple | None = None
-
-    def top(self, *sides: bool) -> int:
-        """Bound on the count of any neighbour on these sides."""
-        return max([f for (after, _), f in self.seen.items() if after in sides] + [self.rest])
-
-
-def _listed(row) -> _Pair:
-    seen = {(n.after, n.neighbour): n.freq for n in row.neighbours}
-    rest = min(seen.values()) if len(seen) == NEIGHBOURS else 0
-    return _Pair(row.pair, row.freq, True, seen, rest, intact=True)
-
-
-def _lower(other: _Pair, freq: int, merged: _Pair) -> None:
-    """Take from ``other`` the places where it overlaps ``merged``; ``freq`` is its first count.
-
-    A pair ending where the merged one starts loses the places followed by the merged
-    pair's right symbol, and likewise on the other side.
-    """
-    left, right = merged.pair
-    sides = []
-    if other.pair[1] == left:
-        sides.append((True, right))
-    if other.pair[0] == right:
-        sides.append((False, left))
-    if not sides:
-        return
-    if other.origin or not merged.intact:
-        other.exact = False
-        return
-    losses = [other.seen.get(side, 0) for side in sides]
-    unsure = other.rest > 0 and any(side not in other.seen for side in sides)
-    if unsure or any(losses):
-        # One certain loss from an untouched pair leaves an exact count; else a bound.
-        other.exact = other.exact and other.intact and len(sides) == 1 and not unsure
-        other.count = min(other.count, freq - max(losses))
-        other.intact = False
-
-
-def take_batch(candidates: list, vocabulary: Vocabulary, limit: int) -> list[str]:
-    """Add the merges that one-at-a-time training makes next; returns their rules.
-
-    Why the order is the same: a merge of ``l r`` changes counts in two ways. Pairs that
-    share its border lose the places next to it, which the listed neighbours count. And it
-    creates ``(x, lr)`` and ``(lr, y)``, as often as ``x l r`` and ``l r y`` stood, unless
-    ``x`` or ``y`` went into another merge. No other pair gains. So each pair has an exact
-    count or an upper bound, pairs not listed have at most the last listed count, and a
-    merge is taken only if it is exact and above all bounds (equal exact counts go by
-    bytes). The first candidate always qualifies.
+#: A pair as the bytes of its two tokens.
+Pair = tuple[bytes, bytes]
+
+
+class _Outlook:
+    """Estimated counts of pairs, and of what stands after and before each."""
+
+    def __init__(self, candidates: list, spelled: dict[str, bytes]):
+        self.count: dict[Pair, float] = {}
+        self.after: dict[Pair, dict[bytes, float]] = defaultdict(dict)
+        self.before: dict[Pair, dict[bytes, float]] = defaultdict(dict)
+        for row in candidates:
+            pair = spelled[row.pair[0]], spelled[row.pair[1]]
+            self.count[pair] = row.freq
+            sides = self.after[pair], self.before[pair]
+            for n in row.neighbours:
+                sides[0 if n.after else 1][spelled[n.neighbour]] = n.freq
+
+    def _thin(self, pair: Pair, taken: float, gone: bytes, mine: dict, others: dict) -> float:
+        """Take from a pair the places where ``gone`` stood on one side; returns their share."""
+        share = min(1.0, taken / self.count[pair]) if self.count[pair] > 0 else 1.0
+        self.count[pair] -= taken
+        others[pair].pop(gone, None)
+        mine[pair] = {x: f * (1 - share) for x, f in mine[pair].items()}
+        return share
+
+    def merge(self, pair: Pair, least: float) -> None:
+        """Estimates after ``pair`` became a token; new pairs below ``least`` are not followed."""
+        left, right = pair
+        token = left + right
+        count = max(self.count.pop(pair), 1)
+        after, before = self.after.pop(pair, {}), self.before.pop(pair, {})
+        for near, far, mine, others in ((after, before, self.after, self.before), (before, after, self.before, self.after)):
+            on_right = mine is self.after
+            join = (lambda a, b: (a, b)) if on_right else (lambda a, b: (b, a))
+            for x, freq in near.items():
+                if freq < least:
+                    continue
+                new, old = join(token, x), join(right if on_right else left, x)
+                self.count[new] = self.count.get(new, 0) + freq
+                beyond: dict[bytes, float] = {}
+                if old in self.count:
+                    known = mine[old]
+                    share = self._thin(old, freq, left if on_right else right, mine, others)
+                    beyond = {y: f * share for y, f in known.items() if f * share >= least}
+                mine[new] = beyond
+                others[new] = {y: f * freq / count for y, f in far.items() if f * freq >= least * count}
+                # What stands beyond the neighbour now has the new token on its other side.
+                for y, f in beyond.items():
+                    outer = join(x, y)
+                    gone = right if on_right else left
+                    if outer in self.count and gone in others[outer]:
+                        others[outer][gone] -= f
+                        others[outer][token] = others[outer].get(token, 0) + f
+
+
+def foresee(candidates: list, vocabulary: Vocabulary, limit: int, measured: dict[Pair, dict[Pair, int]] | None = None) -> list[str]:
+    """Rules that training is likely to take next, in order; the first one is certain.
+
+    ``measured`` has, for merges foreseen before, by how much each changed the counts of which pairs;
+    it goes before estimates. The list ends where counts fall below those of the candidates, and
+    after a merge whose bytes are a token already: only that can make a pair not listed more frequent.
     """
     if not candidates:
         return []
-    listed = {row.pair: _listed(row) for row in candidates}
-    freqs = {row.pair: row.freq for row in candidates}
-    floor = candidates[-1].freq if len(candidates) == CANDIDATES else 0
-    pool = dict(listed)
-    ceiling, lefts, rights, rules = 0, set(), set(), []
-
-    def order(entry: _Pair):
-        left, right = entry.pair
-        return -entry.count, vocabulary.token_of[left], vocabulary.token_of[right]
-
-    while len(rules) < limit:
-        best = min((e for e in pool.values() if e.exact), key=order, default=None)
-        bound = max([e.count for e in pool.values() if not e.exact] + [ceiling])
-        if best is None or best.count <= bound or not (best.intact or best.count > floor):
+    least = candidates[-1].freq if len(candidates) == CANDIDATES else 1
+    outlook, measured = _Outlook(candidates, vocabulary.token_of), measured or {}
+    count, symbol_of, rules, used = outlook.count, dict(vocabulary.symbol_of), [], set()
+    heap = [(-n, *pair) for pair, n in count.items()]
+    heapify(heap)
+    while heap and len(rules) < limit:
+        freq, left, right = heappop(heap)
+        pair = left, right
+        if pair in used or -freq != round(count.get(pair, -1)) or left not in symbol_of or right not in symbol_of:
+            continue
+        if rules and -freq < least:
             break
-        del pool[best.pair]
-        left, right = best.pair
-        char, known = vocabulary.add(best.pair, best.count)
-        rules.append(best.pair + char)
-        if known or left == right:
-            # A known symbol's pairs may grow, and overlaps of equal symbols count double.
+        known = left + right in symbol_of
+        char = symbol_of.setdefault(left + right, sy.symbol(sy.FIRST_MERGE_ID + len(vocabulary.merges) + len(rules)))
+        rules.append(symbol_of[left] + symbol_of[right] + char)
+        used.add(pair)
+        if known:
             break
-        for other in pool.values():
-            _lower(other, freqs.get(other.pair, other.count), best)
-        if best.intact:
-            for (after, symbol), freq in best.seen.items():
-                pair = char + symbol if after else symbol + char
-                free = symbol not in (lefts if after else rights)
-                free = free and symbol != (left if after else right)
-                pool[pair] = _Pair(pair, freq, free, origin=(best.pair, symbol, after))
-            ceiling = max(ceiling, best.rest)
-        elif best.origin is None:
-            ceiling = max(ceiling, min(best.count, best.top(True, False)))
-        else:
-            # l r y: what stood before l r, and what came after r y (mirrored for x l r).
-            pair, symbol, after = best.origin
-            inner = listed.get(pair[1] + symbol if after else symbol + pair[0])
-            outer = inner.top(after) if inner else best.count
-            ceiling = max(ceiling, min(best.count, max(listed[pair].top(not after), outer)))
-        lefts.add(left)
-        rights.add(right)
+        before = dict(count)
+        outlook.merge(pair, least)
+        if pair in measured:
+            changed = measured[pair]
+            for other in count.keys() | changed.keys():
+                if other not in used:
+                    count[other] = before.get(other, 0) + changed.get(other, 0)
+        for other, n in count.items():
+            if before.get(other) != n or left + right in other:
+                heappush(heap, (-round(n), *other))
     return rules
+
+
+def effects(rules: list[str], candidates: list, changes: list, vocabulary: Vocabulary) -> dict[Pair, dict[Pair, int]]:
+    """What each foreseen merge changed, for later looks: see ``foresee``."""
+    spelled = dict(vocabulary.token_of)
+    for rule in rules:
+        spelled[rule[2]] = spelled[rule[0]] + spelled[rule[1]]
+    count = {row.pair: row.freq for row in candidates}
+    found: dict[Pair, dict[Pair, int]] = {(spelled[r[0]], spelled[r[1]]): {} for r in rules}
+    for row in sorted(changes, key=lambda row: row.step):
+        rule = rules[row.step - 1]
+        delta = row.freq - count.get(row.pair, 0)
+        count[row.pair] = row.freq
+        found[spelled[rule[0]], spelled[rule[1]]][spelled[row.pair[0]], spelled[row.pair[1]]] = delta
+    return found
+
+
+def confirm(rules: list[str], candidates: list, changes: list, vocabulary: Vocabulary, limit: int) -> list[str]:
+    """Add the merges among ``rules`` that one-at-a-time training makes next; returns their rules.
+
+    ``changes`` has ``(pair, step, freq)``: a pair's exact count after a step, for all listed pairs and
+    all with a new symbol that ever reach the last listed count. Why the order is the same: pairs
+    not listed come after all listed ones as these were, and no merge but the last possible one can
+    add to them unless they hold a new symbol, in which case ``changes`` has them. So the best of the
+    known counts is the best of all if it is above the last listed count, or is a listed one no merge
+    has touched.
+    """
+    floor = candidates[-1].freq if len(candidates) == CANDIDATES else 0
+    count = {row.pair: row.freq for row in candidates}
+    untouched = set(count)
+    by_step: dict[int, list] = {}
+    for row in changes:
+        by_step.setdefault(row.step, []).append(row)
+    spelled = dict(vocabulary.token_of)
+    taken: list[str] = []
+
+    def entry(pair: str):
+        return -count[pair], spelled[pair[0]], spelled[pair[1]], pair
+
+    heap = [entry(pair) for pair in count]
+    heapify(heap)
+    for step, rule in enumerate(rules[:limit], 1):
+        while heap and -heap[0][0] != count[heap[0][3]]:
+            heappop(heap)
+        if not heap or heap[0][3] != rule[:2] or count[rule[:2]] <= (0 if rule[:2] in untouched else floor):
+            break
+        char, _ = vocabulary.add(rule[:2], count[rule[:2]])
+        taken.append(rule[:2] + char)
+        spelled[char] = vocabulary.token_of[char]
+        for row in by_step.get(step, ()):
+            count[row.pair] = row.freq
+            untouched.discard(row.pair)
+            heappush(heap, entry(row.pair))
+    return taken

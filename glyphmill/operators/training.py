@@ -1,28 +1,34 @@
 """Learning BPE merges over the table of distinct words.
 
-The state is two tables in the shared folder: the words as symbols, and the counts of
-three symbols in a row. A round reads both, corrects the counts by the difference on words
-the latest merges change, and takes as many merges as are provably the next ones of the
-one-at-a-time order. The driver sees a fixed number of
-candidate pairs per round, never words.
+The state is a table in the shared folder: the distinct words as symbols, after the merges so far. A
+round foresees a batch of merges on the driver, has all words take them in turn and tell how each
+changes the counts of the pairs in the running, and keeps the merges that are provably the next ones of
+the one-at-a-time order; with about a hundred merges a round, counting pairs anew each round costs
+little per merge. The driver sees a fixed number of candidate pairs per round and their
+counts step by step, never words.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from glyphmill.functions import symbols as sy
-from glyphmill.operators.merge_batch import CANDIDATES, NEIGHBOURS, Vocabulary, take_batch
+from glyphmill.functions import merging, symbols as sy
+from glyphmill.operators.merge_batch import CANDIDATES, NEIGHBOURS, Vocabulary, confirm, effects, foresee
 from glyphmill.operators.tokenizer import DEFAULT_VOCAB_SIZE, Tokenizer
 from glyphmill.operators.words import symbol_table, word_frequency
 from glyphmill.session import drop_folder, scratch_path
 
+# Ships the worker code with its functions, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(merging)
+
 ROUNDS_SCHEMA = "rank int, left string, right string, freq bigint"
-# The most merges of one round.
-MAX_BATCH = 32
-# Merges applied on the fly before the tables are written anew.
-MAX_PENDING = 32
+# The most merges foreseen in one round; the first rounds, of much interplay, look less far ahead.
+MAX_BATCH = 512
+FIRST_BATCH = 48
 
 
 def _trigrams(symbol_rows: DataFrame) -> DataFrame:
@@ -41,58 +47,47 @@ def _summed(trigrams: DataFrame) -> DataFrame:
     return trigrams.groupBy("trigram").agg(F.sum("freq").alias("freq"))
 
 
-class _State:
-    """Words and trigram counts as written tables, plus the rules applied since.
-
-    Two folders per table are overwritten in turn: the space used stays bounded and a table
-    still being read is never touched. A lost executor costs one step from those tables.
-    """
+class _Words:
+    """Words as symbols, written anew after each round; a lost executor costs one step from there."""
 
     def __init__(self, words: DataFrame, prefix: str, done: list[str] | None = None):
         """``done`` are rules to apply first, from a training that went before."""
         self.spark, self.prefix, self.writes = words.sparkSession, prefix, 0
-        self.pending: list[str] = []
         partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        self.words = self._written(words.repartition(partitions), "words")
-        for start in range(0, len(done or []), MAX_PENDING):
-            self.writes += 1
-            rules = done[start : start + MAX_PENDING]
-            self.words = self._written(
-                self.words.select("freq", sy.apply_rules(F.col("symbols"), rules).alias("symbols")), "words"
-            )
-        self.trigrams = self._written(_summed(_trigrams(self.words)), "trigrams")
-
-    def _written(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.prefix}/{name}-{self.writes % 2}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def current_trigrams(self) -> DataFrame:
-        """Counts after the pending rules, corrected on the changed words only."""
-        if not self.pending:
-            return self.trigrams
-        moved = (
-            self.words.select(
-                "freq", "symbols", sy.apply_rules(F.col("symbols"), self.pending).alias("now")
-            )
-            .where("symbols <> now")
-            .selectExpr("inline(array(struct(-freq as freq, symbols), struct(freq, now as symbols)))")
-        )
-        return _summed(self.trigrams.unionByName(_trigrams(moved))).where("freq > 0")
+        self.words = self._written(words.select("freq", "symbols").repartition(partitions))
+        if done:
+            self.apply(done)
 
-    def apply(self, rules: list[str]) -> None:
-        self.pending = self.pending + rules
-        if len(self.pending) < MAX_PENDING:
-            return
+    def _written(self, df: DataFrame) -> DataFrame:
+        """Written beside the table before, which may still be read; the one before that goes."""
         self.writes += 1
-        trigrams = self._written(self.current_trigrams(), "trigrams")
-        words = self._written(
-            self.words.select(
-                "freq", sy.apply_rules(F.col("symbols"), self.pending).alias("symbols")
-            ).where("length(symbols) > 1"),
-            "words",
+        df.write.parquet(f"{self.prefix}/words-{self.writes}")
+        drop_folder(self.spark, f"{self.prefix}/words-{self.writes - 2}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.prefix}/words-{self.writes}")
+
+    def apply(self, rules: list[str]) -> None:
+        run = partial(merging.merged_words, rules=rules)
+        self.words = self._written(self.words.mapInArrow(run, self.words.schema))
+
+    def followed(self, rules: list[str], candidates: list, fresh: str) -> list:
+        """``(pair, step, freq)``: exact counts after each step that changes them.
+
+        Of listed pairs, and of pairs with a symbol from ``fresh`` on that reach the last listed
+        count: their number is bounded by that of the candidates and of the rules, not by the corpus.
+        """
+        floor = candidates[-1].freq if len(candidates) == CANDIDATES else 0
+        listed = self.spark.createDataFrame([(r.pair, r.freq) for r in candidates], "pair string, base long")
+        run = partial(merging.changed_pairs, rules=rules, listed={r.pair for r in candidates}, fresh=fresh, edge=sy.EDGE)
+        so_far = Window.partitionBy("pair").orderBy("step")
+        counted = (
+            self.words.mapInArrow(run, "step int, pair string, freq long")
+            .groupBy("pair", "step")
+            .agg(F.sum("freq").alias("freq"))
+            .join(F.broadcast(listed), "pair", "left")
+            .withColumn("freq", F.coalesce("base", F.lit(0)) + F.sum("freq").over(so_far))
+            .withColumn("most", F.max("freq").over(Window.partitionBy("pair")))
         )
-        self.words, self.trigrams, self.pending = words, trigrams, []
+        return counted.where(F.col("base").isNotNull() | (F.col("most") >= max(floor, 1))).select("pair", "step", "freq").collect()
 
 
 def _candidates(trigrams: DataFrame, token_hex: list[str]) -> list:
@@ -162,15 +157,18 @@ def learn_merges(
     if len(done) == wanted:
         return Tokenizer(tuple(vocabulary.merges), vocab_size, tuple(vocabulary.freqs))
     work = scratch_path(spark, "merges")
-    state = _State(symbol_table(word_freq), work, done)
-    rounds = 0
+    state = _Words(symbol_table(word_freq), work, done)
+    rounds, measured, ahead = 0, {}, FIRST_BATCH
     while (missing := wanted - len(vocabulary.merges)) > 0 and rounds != max_rounds:
-        candidates = _candidates(state.current_trigrams(), vocabulary.token_hex)
+        candidates = _candidates(_summed(_trigrams(state.words)), vocabulary.token_hex)
         first = len(vocabulary.merges)
-        rules = take_batch(candidates, vocabulary, min(max_batch, missing))
-        if not rules:
+        foreseen = foresee(candidates, vocabulary, min(max_batch, missing, ahead), measured)
+        if not foreseen:
             break
-        rounds += 1
+        followed = state.followed(foreseen, candidates, sy.symbol(sy.FIRST_MERGE_ID + first))
+        measured = effects(foreseen, candidates, followed, vocabulary)
+        rules = confirm(foreseen, candidates, followed, vocabulary, missing)
+        rounds, ahead = rounds + 1, max(FIRST_BATCH, 3 * len(rules))
         if folder:
             rows = [
                 (first + i, left.hex(), right.hex(), freq)
