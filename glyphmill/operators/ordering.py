@@ -1,21 +1,25 @@
 """Row ranks over a whole table without a global sort in one task.
 
-Rows fall into ordered buckets; a small table of bucket sizes gives each bucket its offset
-and the rank inside a bucket is a window partitioned by bucket. Every row is shuffled once.
-The number of buckets follows the number of rows. Keys must be unique: equal keys cannot be
-told apart by any order. A null key is a key of its own: it is shuffled like an empty one, and comes
-last in key order.
+Rows are range partitioned and sorted by any order, and written with their place in their part; a
+table of part sizes, summed up, gives each part its offset. Every row is shuffled once, and what is
+summed has one row per part. Keys must be unique: equal keys cannot be told apart by any order. A
+null key is a key of its own: it is shuffled like an empty one, and comes last in key order. Columns of
+the rows may have any name.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# About so many rows make a bucket, the unit of sorting.
-ROWS_PER_BUCKET = 200_000
+from glyphmill.session import scratch_path
+
+# Bits of a place that count rows within a part.
+_PLACE_BITS = 33
+# Hex digits of the hash that one pass of the split looks at: 256 counts come to the driver.
+_DIGITS, _HASH_DIGITS = 2, 32
 
 
 def shuffle_hash(seed: int | str, key: str) -> Column:
@@ -24,94 +28,56 @@ def shuffle_hash(seed: int | str, key: str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), name).cast("binary"))
 
 
-def _hash_digits(n_rows: int) -> int:
-    """Leading hex digits of the hash that give buckets of the wanted size; two at least."""
-    return max(2, math.ceil(math.log(max(n_rows / ROWS_PER_BUCKET, 1), 16)))
-
-
-def _bucket_offsets(df: DataFrame) -> DataFrame:
-    """``(bucket, offset)``. The running sum sees one row per bucket, whatever the data."""
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        df.groupBy("bucket")
-        .agg(F.count("*").alias("n"))
-        .select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    )
-
-
-def _ranked(df: DataFrame, keys: DataFrame, order: list, name: str) -> DataFrame:
-    """``df`` with the 1-based rank ``name``; ``keys`` is the same rows' bucket column only.
-
-    One row per ROWS_PER_BUCKET rows of the table is joined; Spark broadcasts it while small.
-    """
-    within = Window.partitionBy("bucket").orderBy(*order)
-    return (
-        df.join(_bucket_offsets(keys), "bucket")
-        .withColumn(name, F.col("offset") + F.row_number().over(within))
-        .drop("bucket", "offset")
-    )
+class _Sorted:
+    """Rows in order, written with the part each is in and its place there."""
+
+    def __init__(self, df: DataFrame, order: list):
+        spark, path = df.sparkSession, scratch_path(df.sparkSession, "sorted")
+        # A name no column of the rows has.
+        self.place = f"place_{uuid.uuid4().hex}"
+        rows = df.orderBy(*order).withColumn(self.place, F.monotonically_increasing_id())
+        rows.write.parquet(path)
+        self.rows = spark.read.schema(rows.schema).parquet(path)
+        part = F.shiftright(self.place, _PLACE_BITS)
+        before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        self.offsets = (
+            self.rows.groupBy(part.alias("part"))
+            .agg(F.count("*").alias("n"))
+            .select("part", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+        )
+
+    def ranked(self, name: str) -> DataFrame:
+        """The rows with their 1-based rank. One row per part is joined; Spark broadcasts it."""
+        part, offset = f"part_{self.place}", f"offset_{self.place}"
+        offsets = self.offsets.select(F.col("part").alias(part), F.col("offset").alias(offset))
+        within = F.col(self.place).bitwiseAND((1 << _PLACE_BITS) - 1)
+        return (
+            self.rows.withColumn(part, F.shiftright(self.place, _PLACE_BITS))
+            .join(offsets, part)
+            .withColumn(name, F.col(offset) + within + 1)
+            .drop(part, offset, self.place)
+        )
+
+    def at(self, index: int) -> DataFrame:
+        """The row at a 0-based index: its part is found among the offsets, and one place is read."""
+        found = self.offsets.where((F.col("offset") <= index) & (index < F.col("offset") + F.col("n"))).first()
+        place = -1 if found is None else (found.part << _PLACE_BITS) + index - found.offset
+        return self.rows.where(F.col(self.place) == place).drop(self.place)
 
 
 def shuffled_rank(df: DataFrame, key: str, seed: int | str, name: str = "rn") -> DataFrame:
     """Position of each row in the seeded shuffle, from 1."""
-    digits = _hash_digits(df.select(key).count())
-    hashed = lambda rows: rows.withColumn("shuffle_hash", shuffle_hash(seed, key)).withColumn(
-        "bucket", F.substring("shuffle_hash", 1, digits)
-    )
-    keys = hashed(df.select(key)).select("bucket")
-    return _ranked(hashed(df), keys, ["shuffle_hash", key], name).drop("shuffle_hash")
-
-
-def _key_bucketizer(df: DataFrame, key: str):
-    """Rows of a table with the number of the quantile range their key is in; nulls come last.
-
-    Ranges end at approximate quantiles, one per ROWS_PER_BUCKET rows, so they stay even for any
-    spread of keys; ranks are exact whatever the quantiles are.
-    """
-    n_buckets = max(16, math.ceil(df.select(key).count() / ROWS_PER_BUCKET))
-    probabilities = [i / n_buckets for i in range(1, n_buckets)]
-    inner = sorted(set(df.stat.approxQuantile(key, probabilities, 1 / (2 * n_buckets))))
-    bucketizer = Bucketizer(
-        splits=[-math.inf, *inner, math.inf], inputCol="bucket_key", outputCol="bucket", handleInvalid="keep"
-    )
-
-    def bucketed(rows: DataFrame) -> DataFrame:
-        placed = bucketizer.transform(rows.withColumn("bucket_key", F.col(key).cast("double")))
-        return placed.withColumn("bucket", F.coalesce("bucket", F.lit(math.inf))).drop("bucket_key")
-
-    return bucketed
+    return _Sorted(df, [shuffle_hash(seed, key), F.col(key)]).ranked(name)
 
 
 def key_rank(df: DataFrame, key: str, name: str = "rn") -> DataFrame:
-    """Position of each row in ascending order of a numeric ``key``, from 1."""
-    bucketed = _key_bucketizer(df, key)
-    order = [F.col(key).asc_nulls_last()]
-    return _ranked(bucketed(df), bucketed(df.select(key)).select("bucket"), order, name)
+    """Position of each row in ascending order of ``key``, of any type that has an order, from 1."""
+    return _Sorted(df, [F.col(key).asc_nulls_last()]).ranked(name)
 
 
 def get_sample(df: DataFrame, key: str, index: int) -> DataFrame:
-    """The row at 0-based ``index`` in key order; empty beyond the end.
-
-    Bucket sizes tell which bucket holds it; only that bucket's rows are ranked.
-    """
-    bucketed = _key_bucketizer(df, key)
-    before = 0
-    # One row per ROWS_PER_BUCKET rows of the table comes to the driver.
-    sizes = sorted(bucketed(df.select(key)).groupBy("bucket").count().collect())
-    for bucket, n in sizes:
-        if before + n > index >= 0:
-            break
-        before += n
-    else:
-        bucket, before = -1.0, 0
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.col(key).asc_nulls_last()))
-    return (
-        bucketed(df)
-        .where(F.col("bucket") == bucket)
-        .withColumn("sample_idx", F.lit(before).cast("bigint") + place - 1)
-        .where(F.col("sample_idx") == index)
-        .drop("bucket")
-    )
+    """The row at 0-based ``index`` in key order, with ``sample_idx``; empty beyond the end."""
+    return _Sorted(df, [F.col(key).asc_nulls_last()]).at(index).withColumn("sample_idx", F.lit(index).cast("bigint"))
 
 
 def train_valid_split(
@@ -119,33 +85,28 @@ def train_valid_split(
 ) -> DataFrame:
     """``df`` with ``split``: exactly ``floor(n * train_ratio)`` rows are ``train``.
 
-    The cut is the hash of the last training row. Bucket sizes tell which bucket holds it,
-    so only that one bucket is ranked, and labelling the rows is a comparison, not a shuffle.
+    The rows with the smallest hashes are. Where they end is found digit by digit: a pass counts the rows
+    below the digits known by the next two, 256 counts at most, until the cut falls between two
+    of them. Labelling the rows is a comparison, not a shuffle.
     """
-    digits = _hash_digits(df.select(key).count())
-    keys = df.select(key, shuffle_hash(seed, key).alias("hash")).withColumn(
-        "bucket", F.substring("hash", 1, digits)
-    )
-    # One row per bucket comes to the driver.
-    sizes = sorted(keys.groupBy("bucket").count().collect())
-    total = sum(n for _, n in sizes)
-    wanted = math.floor(total * train_ratio)
-    if wanted <= 0:
-        return df.withColumn("split", F.lit("valid"))
-    if wanted >= total:
-        return df.withColumn("split", F.lit("train"))
-    before = 0
-    for bucket, n in sizes:
-        if before + n >= wanted:
+    keys = df.select(shuffle_hash(seed, key).alias("hash"))
+    prefix, wanted = "", None
+    while len(prefix) < _HASH_DIGITS:
+        digits = F.substring("hash", len(prefix) + 1, _DIGITS)
+        counts = sorted(keys.where(F.startswith("hash", F.lit(prefix))).groupBy(digits.alias("digits")).count().collect())
+        if wanted is None:
+            total = sum(n for _, n in counts)
+            wanted = math.floor(total * train_ratio)
+            if wanted <= 0:
+                return df.withColumn("split", F.lit("valid"))
+            if wanted >= total:
+                return df.withColumn("split", F.lit("train"))
+        for found, n in counts:
+            if n >= wanted:
+                prefix += found
+                break
+            wanted -= n
+        if n == wanted:
             break
-        before += n
-    cut = (
-        keys.where(F.col("bucket") == bucket)
-        .withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("hash", key)))
-        .where(F.col("rank") == wanted - before)
-        .first()
-    )
-    return df.withColumn(
-        "split",
-        F.when(shuffle_hash(seed, key) <= cut.hash, F.lit("train")).otherwise(F.lit("valid")),
-    )
+    label = F.when(F.substring(shuffle_hash(seed, key), 1, len(prefix)) <= prefix, F.lit("train"))
+    return df.withColumn("split", label.otherwise(F.lit("valid")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -150,14 +150,24 @@ def cross_entropy(logits: Column | str, target: Column | str) -> Column:
     return F.ln(total) + top - F.coalesce(own, wrong.cast("double"))
 
 
+def _known_loss(lse: Column | str, score: Column | str, target: Column | str) -> Column:
+    """Loss of a position scored by :func:`scored_tokens`; a target without a score is an error."""
+    target = F.col(target) if isinstance(target, str) else target
+    wrong = F.raise_error(F.concat(F.lit("target outside the logits: "), F.coalesce(target.cast("string"), F.lit("null"))))
+    return F.col(lse) - F.coalesce(F.col(score), wrong.cast("double"))
+
+
 def masked_loss(scored: DataFrame, *by: str, logits: str = "logits", target: str = "target"):
     """Loss per group; PAD targets contribute nothing, a null or unknown target is an error.
 
+    The table has all scores of a position in ``logits``, or what :func:`scored_tokens` keeps of them.
     ``loss_nonpad`` divides by the counted positions, ``loss_all`` by all of them. Terms
     are summed as decimals, so the result does not depend on the partitioning.
     """
     counted = F.coalesce(F.col(target) != sy.PAD, F.lit(True))
-    term = F.when(counted, cross_entropy(logits, target)).cast("decimal(30,12)")
+    whole = logits in scored.columns
+    loss = cross_entropy(logits, target) if whole else _known_loss("lse", "score", target)
+    term = F.when(counted, loss).cast("decimal(30,12)")
     total = F.coalesce(F.sum("term"), F.lit(0)).cast("double")
     return (
         scored.select(*by, counted.alias("counted"), term.alias("term"))
@@ -192,23 +202,74 @@ def score_with(
     return kept.mapInPandas(run, f"{fields}, logits {logits_type}")
 
 
+def log_sum_exp(blocks: Iterable[np.ndarray], targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``logsumexp`` of the scores of each place, and the score of its target (NaN if it has none).
+
+    Scores come as blocks of consecutive ids, ``(places, ids)``; a running maximum and sum are all that
+    is kept, so no place ever needs its whole row of the vocabulary.
+    """
+    n, at = len(targets), 0
+    top, total, own = np.full(n, -np.inf), np.zeros(n), np.full(n, np.nan)
+    for block in blocks:
+        block = np.asarray(block, dtype=float).reshape(n, -1)
+        if not block.size:
+            continue
+        high = np.maximum(top, block.max(axis=1))
+        # A place whose scores are all minus infinity so far has no sum yet.
+        shift = np.where(np.isneginf(high), 0, high)
+        total = total * np.exp(np.where(np.isneginf(top), -np.inf, top - shift)) + np.exp(block - shift[:, None]).sum(axis=1)
+        inside = np.flatnonzero((targets >= at) & (targets < at + block.shape[1]))
+        own[inside] = block[inside, targets[inside] - at]
+        top, at = high, at + block.shape[1]
+    with np.errstate(divide="ignore"):
+        return np.log(total) + np.where(np.isneginf(top), 0, top), own
+
+
+# About so many places are given to a scorer at a time.
+SCORED_PLACES = 4096
+
+
 def scored_tokens(
     tokens: DataFrame,
-    make_scorer: Callable[[], Callable[[pd.Series], pd.Series]],
+    make_scorer: Callable[[], Callable[[pd.Series], Iterable]],
     *keys: str,
 ) -> DataFrame:
-    """``(keys, pos, logits, target)``: the caller's scores of what follows each token.
+    """``(keys, pos, lse, score, target)``: how the caller's model scores what follows each token.
 
-    The scorer gets the inputs of a text, its ids but the last, and gives one list of scores per
-    place; the target of a place is the next id. This is the table ``masked_loss`` sums.
+    The scorer gets the inputs of some texts, their ids but the last, and gives for each text its scores:
+    one list per place, or an iterator over blocks of them, ``(places, ids)`` with consecutive ids. The
+    target of a place is the next id. A place leaves the worker as the ``logsumexp`` of its scores and the
+    score of its target (null if there is none), so rows do not grow with the vocabulary. This is
+    the table ``masked_loss`` sums. Texts of fewer than two ids have no places.
     """
-    n = F.greatest(F.size("token_ids") - 1, F.lit(0))
-    inputs = tokens.withColumn("targets", F.slice("token_ids", F.lit(2), n)).withColumn(
-        "token_ids", F.slice("token_ids", F.lit(1), n)
-    )
-    scored = score_with(inputs, make_scorer, *keys, "targets", logits_type="array<array<double>>")
-    pairs = F.posexplode(F.arrays_zip(F.col("logits"), F.col("targets").alias("target")))
-    return scored.select(*keys, pairs.alias("pos", "step")).select(*keys, "pos", "step.logits", "step.target")
+    kept = tokens.select(*keys, "token_ids").where(F.size("token_ids") > 1)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "token_ids")
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = make_scorer()
+        for part in parts:
+            start = 0
+            sizes = part["token_ids"].map(len).to_numpy() - 1
+            while start < len(part):
+                stop = max(start + 1, int(np.searchsorted(np.cumsum(sizes[start:]), SCORED_PLACES, "right")) + start)
+                some, start = part.iloc[start:stop], stop
+                targets = [np.asarray(ids[1:], np.int64) for ids in some["token_ids"]]
+                given = scorer(some["token_ids"].map(lambda ids: list(ids[:-1])).reset_index(drop=True))
+                found = [
+                    log_sum_exp(scores if isinstance(scores, Iterator) else [np.asarray(list(scores), dtype=float)], t)
+                    for scores, t in zip(given, targets)
+                ]
+                n = [len(t) for t in targets]
+                rows = some[list(keys)].loc[some.index.repeat(n)].reset_index(drop=True)
+                score = pd.Series(np.concatenate([own for _, own in found]))
+                yield rows.assign(
+                    pos=np.concatenate([np.arange(k) for k in n]).astype(np.int32),
+                    lse=np.concatenate([lse for lse, _ in found]),
+                    score=score.astype(object).where(score.notna(), None),
+                    target=np.concatenate(targets).astype(np.int32),
+                )
+
+    return kept.mapInPandas(run, f"{fields}, pos int, lse double, score double, target int")
 
 
 def continue_with(
@@ -216,13 +277,15 @@ def continue_with(
     make_scorer: Callable[[], Callable[[pd.Series], pd.Series]],
     *keys: str,
     max_new_tokens: int = MAX_NEW_TOKENS,
+    stop_at_end: bool = False,
 ) -> DataFrame:
     """``(keys, new_ids)``: greedy completion of ``token_ids`` by the caller's model.
 
     Each step scores the open sequences of a batch and appends the best id after their last
-    place, of equal scores the lowest; a sequence closes with EOS, which is left out.
+    place, of equal scores the lowest. Every sequence takes ``max_new_tokens`` steps; with
+    ``stop_at_end`` it closes with EOS, which is left out. An empty sequence gets nothing.
     """
-    eos = sy.EOS
+    end = sy.EOS if stop_at_end else None
     kept = prompts.select(*keys, "token_ids")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "token_ids")
 
@@ -236,7 +299,7 @@ def continue_with(
                     break
                 scores = scorer(pd.Series([ids[i] for i in live]))
                 best = {i: int(np.argmax(np.asarray(s[-1], dtype=float))) for i, s in zip(live, scores)}
-                live = [i for i in live if best[i] != eos]
+                live = [i for i in live if best[i] != end]
                 for i in live:
                     ids[i].append(best[i])
                     new[i].append(best[i])

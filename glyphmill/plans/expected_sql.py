@@ -456,7 +456,7 @@ def statements() -> dict[str, str]:
         ).replace("WITH ", "WITH RECURSIVE ", 1)
         + f""", walk AS (SELECT item_id, ([2] || ids)[-1] AS last, []::INT[] AS new_ids, 0 AS n FROM penc
             UNION ALL SELECT item_id, next, new_ids || [next::INT], n + 1 FROM walk JOIN best ON last = t
-            WHERE next <> 3 AND n < {COMPLETION_STEPS})
+            WHERE n < {COMPLETION_STEPS})
             SELECT item_id, array_to_string(max_by(new_ids, n), ' ') AS new_ids FROM walk GROUP BY item_id""",
         "decode_with_unknown": f"""SELECT doc_id, array_to_string({words('text')}, ' ') || '<UNK>' AS decoded
             FROM documents""",

@@ -1,3 +1,4 @@
+import datetime
 import hashlib
 import math
 from pathlib import Path
@@ -86,14 +87,51 @@ def test_null_keys_keep_their_rows(spark):
     assert bt.batches(df, "k", 1, max_seq_len=4).count() == 3
 
 
-def test_many_buckets(tokens, monkeypatch):
-    monkeypatch.setattr(ordering, "ROWS_PER_BUCKET", 3)
+@pytest.fixture
+def many_parts(spark):
+    """Sorted rows stay in as many parts as they were dealt to."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_many_parts(tokens, many_parts):
     rows = ordering.key_rank(tokens, "doc_id").collect()
     assert all(r.rn == r.doc_id + 1 for r in rows) and len(rows) == N
+    assert ordering._Sorted(tokens, ["doc_id"]).offsets.count() > 2
     for i in (0, 50, N - 1):
         assert ordering.get_sample(tokens, "doc_id", i).first().doc_id == i
 
 
+def test_keys_of_any_type_and_clashing_names(spark, many_parts):
+    texts = ["b", "", "aa", "Z", "\u00e9", None, "ab"]
+    rows = [(t, None if t is None else datetime.date(2020, 1, 1 + i), i, i, i, i, i) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "k string, day date, bucket int, offset int, part int, hash int, n int").repartition(3)
+    for key in ("k", "day"):
+        known = sorted((r for r in rows if r[0] is not None), key=lambda r: r[0].encode() if key == "k" else r[1])
+        want = [r[2] for r in known] + [5]
+        ranked = ordering.key_rank(df, key)
+        assert ranked.columns == [*df.columns, "rn"]
+        assert [r.bucket for r in sorted(ranked.collect(), key=lambda r: r.rn)] == want
+        assert [ordering.get_sample(df, key, i).first().offset for i in range(7)] == want
+        assert ordering.get_sample(df, key, 7).count() == ordering.get_sample(df, key, -1).count() == 0
+    shuffled = sorted(ordering.shuffled_rank(df, "k", 1).collect(), key=lambda r: r.rn)
+    hashes = [hashlib.md5(f"1:{r.k or ''}".encode()).hexdigest() for r in shuffled]
+    assert len(hashes) == 7 and hashes == sorted(hashes) and [r.rn for r in shuffled] == list(range(1, 8))
+    for ratio in (0.0, 0.2, 0.5, 0.9, 1.0):
+        split = ordering.train_valid_split(df.where("k is null or k <> ''"), "k", ratio).collect()
+        assert sum(r.split == "train" for r in split) == math.floor(6 * ratio)
+    empty = df.where("false")
+    assert ordering.key_rank(empty, "k").count() == ordering.train_valid_split(empty, "k").count() == 0
+
+
+def test_split_takes_few_counts(spark):
+    """Many rows: the smallest hashes are the training rows, whatever the number of passes."""
+    ids = [r.id for r in ordering.train_valid_split(spark.range(3000), "id", 0.37).where("split = 'train'").collect()]
+    by_hash = sorted(range(3000), key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())
+    assert sorted(ids) == sorted(by_hash[:1110])
+
+
 def test_next_token_pairs_leave_out_padding(tokens):
     rows = bt.next_token_pairs(tokens, "doc_id", max_seq_len=3).collect()
     for r in rows:
@@ -178,12 +216,38 @@ def test_scores_per_place_and_greedy_completion(tokens):
     rows = sc.scored_tokens(few, echo_scorer, "doc_id").collect()
     for r in rows:
         ids = [2, *range(10, 10 + r.doc_id % 7), 3]
-        assert r.target == ids[r.pos + 1] and r.logits[ids[r.pos] + 1] == 1.0
+        assert r.target == ids[r.pos + 1]
+        scores = np.array(echo_scorer()(pd.Series([ids[:-1]]))[0][r.pos], float)
+        assert np.isclose(r.lse, np.log(np.exp(scores).sum())) and r.score == scores[r.target]
     assert len(rows) == sum(i + 1 for i in range(7))
     assert sc.masked_loss(sc.scored_tokens(few, echo_scorer, "doc_id")).first().n_all == len(rows)
     open_ids = few.selectExpr("doc_id", "array(5, 6) as token_ids").unionByName(few.selectExpr("doc_id + 100", "array(2)").toDF("doc_id", "token_ids"))
     new = {r.doc_id: r.new_ids for r in sc.continue_with(open_ids, echo_scorer, "doc_id", max_new_tokens=3).collect()}
-    assert new[0] == [7, 8, 9] and new[100] == []
+    assert new[0] == [7, 8, 9] and new[100] == [3, 4, 5]
+    stopped = sc.continue_with(open_ids, echo_scorer, "doc_id", max_new_tokens=3, stop_at_end=True)
+    assert {r.doc_id: r.new_ids for r in stopped.collect()}[100] == []
+
+
+def test_scores_in_blocks_of_the_vocabulary(tokens):
+    """A model may hand out its scores block by block; no row grows with the vocabulary."""
+
+    def make_scorer(width=7):
+        def blocks(ids, width):
+            whole = np.random.default_rng(len(ids)).standard_normal((len(ids), 40)) * 30
+            yield from (whole[:, i : i + width] for i in range(0, 40, width))
+
+        return lambda sequences: [blocks(ids, width) for ids in sequences]
+
+    few = tokens.where("doc_id < 20")
+    got = sc.scored_tokens(few, make_scorer, "doc_id")
+    assert got.columns == ["doc_id", "pos", "lse", "score", "target"]
+    rows = {(r.doc_id, r.pos): r for r in got.collect()}
+    want = {(r.doc_id, r.pos): r for r in sc.scored_tokens(few, lambda: make_scorer(40), "doc_id").collect()}
+    assert rows.keys() == want.keys() and len(rows) > 20
+    for k, r in rows.items():
+        assert np.isclose(r.lse, want[k].lse) and r.score == want[k].score
+    lse, own = sc.log_sum_exp([[[-np.inf, 1.0]], [[]], [[2.0]]], np.array([5]))
+    assert np.isclose(lse[0], np.log(np.exp(1) + np.exp(2))) and np.isnan(own[0])
 
 
 def test_scoring_with_a_callers_model(tokens):
