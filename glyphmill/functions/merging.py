@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from bisect import bisect_right
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
@@ -10,6 +12,22 @@ import numpy as np
 import pyarrow as pa
 
 
+#: Words of at most so many symbols go rule by rule, which is faster for few symbols; and are remembered.
+SHORT_WORD = 48
+#: So many words are remembered; beyond, a process starts afresh.
+REMEMBERED = 200_000
+#: Where a worker process keeps its merger; outlives the functions a task unpickles.
+_KEPT = "glyphmill_worker_mergers"
+
+
+def merger_of(rules: list[str]) -> Merger:
+    """The merger of some rules, built once per worker process; that of the latest rules is kept."""
+    kept = sys.modules.setdefault(_KEPT, types.ModuleType(_KEPT)).__dict__
+    if kept.get("rules") != rules:
+        kept["merger"], kept["rules"] = Merger(rules), rules
+    return kept["merger"]
+
+
 class Merger:
     """Merge rules, each applied once in rank order, left to right and not overlapping.
 
@@ -19,12 +37,28 @@ class Merger:
     """
 
     def __init__(self, rules: list[str]):
+        self.steps = Steps(rules)
         self.merged = [rule[2] for rule in rules]
         self.ranks: dict[str, list[int]] = {}
         for rank, rule in enumerate(rules):
             self.ranks.setdefault(rule[:2], []).append(rank)
+        #: Words already merged, to their ids: the hot ones of all batches and tasks of a process.
+        self.known: dict[str, np.ndarray] = {}
+
+    def ids(self, word: str) -> np.ndarray:
+        """Token ids of a word."""
+        found = self.known.get(word)
+        if found is None:
+            found = symbol_ids(self.merge(word.encode("utf-8").decode("latin-1")))
+            if len(word) <= SHORT_WORD:
+                if len(self.known) >= REMEMBERED:
+                    self.known.clear()
+                self.known[word] = found
+        return found
 
     def merge(self, word: str) -> str:
+        if len(word) <= SHORT_WORD:
+            return self.steps.last(word)
         symbols, n = list(word), len(word)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         ranks = self.ranks
@@ -160,7 +194,7 @@ def encode_lists(words: pa.Array, merger: Merger, space: int) -> pa.Array:
     words = words.cast(pa.large_list(pa.large_string())) if not pa.types.is_large_list(words.type) else words
     counts = np.diff(words.offsets.to_numpy())
     coded = words.flatten().dictionary_encode()
-    ids = [symbol_ids(merger.merge(w.encode("utf-8").decode("latin-1"))) for w in coded.dictionary.to_pylist()]
+    ids = [merger.ids(w) for w in coded.dictionary.to_pylist()]
     sizes = np.array([len(x) for x in ids], np.int64)
     starts = np.cumsum(sizes) - sizes
     values = np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32)

@@ -37,7 +37,7 @@ def _encoder(rules: list[str]):
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode_words(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        merger = merging.Merger(rules)
+        merger = merging.merger_of(rules)
         for batch in batches:
             yield merging.encode_lists(batch, merger, sy.SPACE_ID)
 

@@ -24,7 +24,7 @@ from glyphmill.session import scratch_path, shared_folder
 from glyphmill.sources import tokenizer_files as tf
 from glyphmill.sources.corpus import describe_schema, read_corpus
 from glyphmill.sources.report import write_report
-from glyphmill.sources.token_table import source_fingerprint, token_table
+from glyphmill.sources.token_table import files_fingerprint, token_table
 from glyphmill.streaming import jobs
 
 MERGES = 24
@@ -46,12 +46,12 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def trained(spark: SparkSession, folder: str, vocab_size: int = VOCAB_SIZE) -> Tokenizer:
-    """The tokenizer of the folder's documents, found by their texts' fingerprint or learned.
+    """The tokenizer of the folder's documents, found by their files or learned.
 
-    Merges are kept in the shared folder; changed documents have another fingerprint.
+    Merges are kept in the shared folder; files of other names, sizes or times have others.
     """
     docs = documents(spark, folder)
-    kept = f"{shared_folder(spark)}/glyphmill-tokenizers/{source_fingerprint(docs, 'text')}-{vocab_size}"
+    kept = f"{shared_folder(spark)}/glyphmill-tokenizers/{files_fingerprint(docs)}-{vocab_size}"
     return train_tokenizer(docs, vocab_size=vocab_size, folder=kept)
 
 
@@ -385,10 +385,11 @@ def report_file(spark, folder):
 
 
 def _stream(spark, folder):
-    """The documents as files that arrive in three batches or more."""
+    """The documents as files that arrive in three batches, each of as many files as there are cores."""
     docs, arriving = table(spark, folder, "documents"), scratch_path(spark, "arriving")
-    docs.repartition(3, "doc_id").write.parquet(arriving)
-    return jobs.read_stream(spark, arriving, docs.schema, files_per_trigger=1)
+    cores = max(1, spark.sparkContext.defaultParallelism)
+    docs.repartition(3 * cores, "doc_id").write.parquet(arriving)
+    return jobs.read_stream(spark, arriving, docs.schema, files_per_trigger=cores)
 
 
 def _run_stream(spark, start: Callable, name: str) -> str:
@@ -399,7 +400,7 @@ def _run_stream(spark, start: Callable, name: str) -> str:
 
 def stream_word_frequency(spark, folder):
     stream = _stream(spark, folder)
-    return jobs.latest(spark, _run_stream(spark, lambda o, c: jobs.stream_word_frequency(stream, o, c), "stream-words"))
+    return jobs.word_counts(spark, _run_stream(spark, lambda o, c: jobs.stream_word_frequency(stream, o, c), "stream-words"))
 
 
 def stream_profile(spark, folder):

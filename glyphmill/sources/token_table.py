@@ -29,6 +29,19 @@ def source_fingerprint(df: DataFrame, *columns: str) -> str:
     return hashlib.md5(f"{row.n}:{row.total}:{row.mixed}".encode()).hexdigest()[:16]
 
 
+def files_fingerprint(df: DataFrame) -> str:
+    """Identity of the files ``df`` scans, by their names, sizes and times: nothing is read.
+
+    Rows that come from no file are identified by what they hold.
+    """
+    spark, facts = df.sparkSession, []
+    for name in sorted(df.inputFiles()):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        facts.append(f"{name}:{status.getLen()}:{status.getModificationTime()}")
+    return hashlib.md5("\n".join(facts).encode()).hexdigest()[:16] if facts else source_fingerprint(df)
+
+
 def _load(spark: SparkSession, path: str, schema) -> DataFrame | None:
     """The stored table if it was written to the end, else None."""
     try:

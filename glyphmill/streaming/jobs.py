@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -59,11 +60,62 @@ def _replace_each_batch(result: DataFrame, out: str, checkpoint: str) -> Streami
         conf.set(name, before)
 
 
+# After so many batches the log of word counts is folded into one table.
+FOLDED_BATCHES = 16
+
+
 def stream_word_frequency(
-    stream: DataFrame, out: str, checkpoint: str, column: str = "text"
+    stream: DataFrame, out: str, checkpoint: str, column: str = "text", folded_batches: int = FOLDED_BATCHES
 ) -> StreamingQuery:
-    """Word counts over everything seen so far; the counts are the state."""
-    return _replace_each_batch(word_frequency(stream, column), out, checkpoint)
+    """Word counts over everything seen so far, read by :func:`word_counts`.
+
+    Every batch writes the counts of its own words and nothing else; readers add them up. Every
+    ``folded_batches`` batches the log is folded into one table, which replaces the log up to there.
+    A batch that runs again overwrites what it wrote.
+    """
+
+    def log(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        word_frequency(batch, column).write.mode("overwrite").parquet(f"{out}/log/batch={batch_id}")
+        if (batch_id + 1) % folded_batches:
+            return
+        # A table folded here before and not committed is not read: what came before makes it anew.
+        base = _folded(spark, out, batch_id)
+        _logged(spark, out, base, batch_id).write.mode("overwrite").parquet(f"{out}/folded-{batch_id}")
+        spark.createDataFrame([(batch_id,)], "batch bigint").coalesce(1).write.mode("append").parquet(f"{out}/folds")
+        if base is not None:
+            for old in range(base - folded_batches + 1, base + 1):
+                drop_folder(spark, f"{out}/log/batch={old}")
+            drop_folder(spark, f"{out}/folded-{base - folded_batches}")
+
+    return (
+        stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(log).start()
+    )
+
+
+def _folded(spark: SparkSession, out: str, below: int | None = None) -> int | None:
+    """The batch up to which the log was folded last, before batch ``below`` if given."""
+    try:
+        folds = spark.read.schema("batch bigint").parquet(f"{out}/folds")
+        return folds.where(F.col("batch") < (2**62 if below is None else below)).agg({"batch": "max"}).first()[0]
+    except AnalysisException:
+        return None
+
+
+def _logged(spark: SparkSession, out: str, base: int | None, last: int | None = None) -> DataFrame:
+    """The table folded at ``base`` and the log after it, to batch ``last``, added up."""
+    log = spark.read.parquet(f"{out}/log").where(F.col("batch") > (-1 if base is None else base))
+    if last is not None:
+        log = log.where(F.col("batch") <= last)
+    rows = log.select("word", "freq")
+    if base is not None:
+        rows = rows.unionByName(spark.read.parquet(f"{out}/folded-{base}"))
+    return rows.groupBy("word").agg(F.sum("freq").alias("freq"))
+
+
+def word_counts(spark: SparkSession, out: str) -> DataFrame:
+    """``(word, freq)`` of all batches that a word-count job has written so far."""
+    return _logged(spark, out, _folded(spark, out))
 
 
 def running_profile(df: DataFrame, column: str = "text") -> DataFrame:

@@ -23,7 +23,7 @@ def test_word_counts_and_profile_grow_with_arriving_files(spark, tmp_path):
         for name, start in run.items():
             start(stream, str(tmp_path / name), str(tmp_path / f"{name}-progress")).awaitTermination()
         texts = [t for _, t in seen]
-        counted = jobs.latest(spark, str(tmp_path / "words")).collect()
+        counted = jobs.word_counts(spark, str(tmp_path / "words")).collect()
         assert {r.word: r.freq for r in counted} == brute.word_counts(texts)
         row = jobs.latest(spark, str(tmp_path / "profile")).first()
         lengths = [len(t) for t in texts if t is not None]
@@ -45,3 +45,25 @@ def test_tokens_are_appended_once(spark, tmp_path):
     assert got == {
         i: [2, *brute.encode(tokenizer.merges, t), 3] for i, t in FIRST + LATER if t is not None
     }
+
+
+def test_the_log_of_word_counts_is_folded(spark, tmp_path):
+    """Batches write their own words only; folds replace the log, and a batch that runs again changes nothing."""
+    source, out = str(tmp_path / "in"), tmp_path / "out"
+    seen = []
+    for i in range(7):
+        rows = [(i, f"w{i} a b{i % 2}"), (100 + i, None)]
+        add(spark, rows, source)
+        seen += [t for _, t in rows]
+        stream = jobs.read_stream(spark, source, spark.read.parquet(source).schema, 100)
+        jobs.stream_word_frequency(stream, str(out), str(tmp_path / "progress"), folded_batches=2).awaitTermination()
+        assert {r.word: r.freq for r in jobs.word_counts(spark, str(out)).collect()} == brute.word_counts(seen)
+        assert spark.read.parquet(str(out / "log" / f"batch={i}")).count() == 3
+    assert (out / "folded-5").exists() and not (out / "folded-1").exists() and not (out / "log" / "batch=1").exists()
+    # The commit of the last batch is lost: it runs again, over its own rows.
+    for kind in ("commits",):
+        for path in (tmp_path / "progress" / kind).glob("*6*"):
+            path.unlink()
+    stream = jobs.read_stream(spark, source, spark.read.parquet(source).schema, 100)
+    jobs.stream_word_frequency(stream, str(out), str(tmp_path / "progress"), folded_batches=2).awaitTermination()
+    assert {r.word: r.freq for r in jobs.word_counts(spark, str(out)).collect()} == brute.word_counts(seen)
