@@ -9,12 +9,18 @@ from glyphmill.llm.plan import stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
+    """Documents that the rules reject go; texts of the others lose their frequent lines.
+
+    A null or empty text has no words and goes. Repeated rows are judged alike; an empty table stays empty.
+    """
     return quality.kept_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents connected by links, the one with the smallest id stays."""
+    """Of documents connected by links, the one with the smallest id stays.
+
+    Repeated rows and equal texts are one group; an empty table stays empty.
+    """
     return neardup.first_of_each(docs)
 
 
@@ -29,7 +35,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, with the text they decode to."""
+    """Token ids of every text, with the text they decode to: ``token_ids`` and ``decoded``.
+
+    Input columns of these two names are replaced. A null text has no ids; every row gives one.
+    """
     names = [c for c in docs.columns if c not in ("token_ids", "decoded")]
     rows = bpe.tokenised(docs, bpe.default_vocabulary())
     return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in names], F.col("ids").alias("token_ids"), "decoded")
