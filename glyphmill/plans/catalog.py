@@ -24,7 +24,7 @@ from glyphmill.session import scratch_path, shared_folder
 from glyphmill.sources import tokenizer_files as tf
 from glyphmill.sources.corpus import describe_schema, read_corpus
 from glyphmill.sources.report import write_report
-from glyphmill.sources.token_table import files_fingerprint, token_table
+from glyphmill.sources.token_table import files_fingerprint, token_store, token_table
 from glyphmill.streaming import jobs
 
 MERGES = 24
@@ -194,6 +194,14 @@ def stored_tokens(spark, folder):
     return _with_ids(token_table(docs, tokenizer, store, "doc_id"))
 
 
+def file_tokens(spark, folder):
+    """The token store of the documents' files: filled, then found."""
+    tokenizer, store = trained(spark, folder), scratch_path(spark, "token-store")
+    tokens = lambda: token_store(spark, f"{folder}/documents.parquet", tokenizer, store, "doc_id")
+    tokens()
+    return _with_ids(tokens())
+
+
 def decode_documents(spark, folder):
     text = trained(spark, folder).decode("token_ids").alias("decoded")
     return _tokens(spark, folder).select("doc_id", text)
@@ -455,6 +463,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "encode_prompts": encode_prompts,
         "token_rows": lambda spark, folder: _with_ids(_tokens(spark, folder)),
         "token_table": stored_tokens,
+        "token_store": file_tokens,
         "decode_documents": decode_documents,
         "lossy_decode": lossy_decode,
         "round_trip": lambda spark, folder: _with_ids(

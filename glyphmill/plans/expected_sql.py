@@ -392,6 +392,7 @@ def statements() -> dict[str, str]:
         + f"SELECT item_id, {joined('[2] || ids')} AS token_ids FROM penc",
         "token_rows": with_tokens() + framed,
         "token_table": with_tokens() + framed,
+        "token_store": with_tokens() + framed,
         "decode_documents": f"SELECT doc_id, array_to_string({words('text')}, ' ') AS decoded FROM documents",
         "round_trip": prompt_encoding
         + f"""SELECT item_id, text, {joined('ids')} AS token_ids, len(ids)::INT AS n_tokens,

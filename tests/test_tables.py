@@ -258,6 +258,43 @@ def test_scoring_with_a_callers_model(tokens):
     assert len(rows) == N and all(r.logits == [len(r.token_ids), 1.0] for r in rows)
 
 
+def test_token_store_encodes_new_files_only(spark, tmp_path):
+    path, store = tmp_path / "some docs", tmp_path / "store"
+    tokenizer = Tokenizer(((b"a", b"b"),), 261)
+
+    def add(rows, name):
+        part = spark.createDataFrame(rows, "id int, text string").coalesce(1)
+        part.write.parquet(str(tmp_path / f"one-{name}"))
+        path.mkdir(exist_ok=True)
+        next((tmp_path / f"one-{name}").glob("*.parquet")).rename(path / f"{name}.parquet")
+
+    def tokens():
+        rows = tt.token_store(spark, str(path), tokenizer, str(store), "id").collect()
+        assert len({r.id for r in rows}) == len(rows)
+        return {r.id: r.token_ids for r in rows}
+
+    def files():
+        return {p: p.stat().st_mtime_ns for p in store.rglob("part=*/*.parquet")}
+
+    add([(1, "ab a"), (2, None), (3, "")], "first")
+    add([(9, None)], "none")
+    want = {1: [2, 260, 36, 101, 3], 3: [2, 3]}
+    assert tokens() == want
+    first = files()
+    assert tokens() == want and files() == first
+    add([(4, "b")], "second")
+    assert tokens() == want | {4: [2, 102, 3]}
+    assert first.items() <= files().items() and len(files()) == len(first) + 1
+    # A changed file is another part; a file that has gone is not returned.
+    (path / "first.parquet").unlink()
+    add([(1, "b a")], "third")
+    assert tokens() == {1: [2, 102, 36, 101, 3], 4: [2, 102, 3]}
+    # A part the manifest does not list is written again, not added to.
+    for manifest in store.rglob("manifest/*.parquet"):
+        manifest.unlink()
+    assert tokens() == {1: [2, 102, 36, 101, 3], 4: [2, 102, 3]}
+
+
 def test_token_table_is_stored_once_per_tokenizer_and_source(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "corpus")
     spark.createDataFrame([(1, "a b"), (2, None), (3, "")], "id int, text string").write.parquet(path)
