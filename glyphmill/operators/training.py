@@ -26,9 +26,8 @@ from glyphmill.session import drop_folder, scratch_path
 cloudpickle.register_pickle_by_value(merging)
 
 ROUNDS_SCHEMA = "rank int, left string, right string, freq bigint"
-# The most merges foreseen in one round; the first rounds, of much interplay, look less far ahead.
+# The most merges foreseen in one round. Looking far ahead pays: what is measured guides the next look.
 MAX_BATCH = 512
-FIRST_BATCH = 48
 
 
 def _trigrams(symbol_rows: DataFrame) -> DataFrame:
@@ -158,17 +157,17 @@ def learn_merges(
         return Tokenizer(tuple(vocabulary.merges), vocab_size, tuple(vocabulary.freqs))
     work = scratch_path(spark, "merges")
     state = _Words(symbol_table(word_freq), work, done)
-    rounds, measured, ahead = 0, {}, FIRST_BATCH
+    rounds, measured = 0, {}
     while (missing := wanted - len(vocabulary.merges)) > 0 and rounds != max_rounds:
         candidates = _candidates(_summed(_trigrams(state.words)), vocabulary.token_hex)
         first = len(vocabulary.merges)
-        foreseen = foresee(candidates, vocabulary, min(max_batch, missing, ahead), measured)
+        foreseen = foresee(candidates, vocabulary, min(max_batch, missing), measured)
         if not foreseen:
             break
         followed = state.followed(foreseen, candidates, sy.symbol(sy.FIRST_MERGE_ID + first))
         measured = effects(foreseen, candidates, followed, vocabulary)
         rules = confirm(foreseen, candidates, followed, vocabulary, missing)
-        rounds, ahead = rounds + 1, max(FIRST_BATCH, 3 * len(rules))
+        rounds += 1
         if folder:
             rows = [
                 (first + i, left.hex(), right.hex(), freq)
