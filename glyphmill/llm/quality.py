@@ -1,11 +1,11 @@
 """Quality rules: counts inside each document, and lines that many documents of a host share.
 
 Lines are normalised and hashed; a line is frequent if more distinct documents of its host
-have it than a limit allows. A document that keeps too little without them is rejected.
+have it than a limit allows. A document that keeps too little without them is rejected. The limit
+is a number of documents, the same for a host of any size.
 
-``judged`` gives the verdict alone, under a limit that is a share of the host, and leaves texts as
-they are. ``kept_documents`` removes the frequent lines from what it keeps; its limit is a number
-of documents, the same for a host of any size.
+``judged`` gives counts and the verdict; ``kept_documents`` gives the texts that pass, without
+their frequent lines. Both judge alike.
 """
 
 from __future__ import annotations
@@ -19,11 +19,9 @@ MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 WINDOW_WORDS = 3
 SYMBOLS = "#*$%&|<>"
-#: A line is frequent above this share of its host's documents, and above MIN_DOCUMENTS;
-#: where lines are removed, above MIN_DOCUMENTS alone.
-MAX_LINE_SHARE = 0.10
+#: A line is frequent in more distinct documents of its host than this.
 MIN_DOCUMENTS = 10
-#: A document is depleted if it keeps a smaller share of its words.
+#: A document is depleted if it keeps a smaller share of its words, or fewer than MIN_WORDS.
 MIN_KEPT_SHARE = 0.30
 
 def _repeated_words(ws: Column) -> Column:
@@ -99,21 +97,11 @@ def _document_lines(docs: DataFrame, text: str, host: str) -> DataFrame:
 
 
 def frequent_lines(
-    docs: DataFrame, text: str = "text", host: str = "source", max_share: float = MAX_LINE_SHARE, min_documents: int = MIN_DOCUMENTS
+    docs: DataFrame, text: str = "text", host: str = "source", min_documents: int = MIN_DOCUMENTS
 ) -> DataFrame:
     """``(host, line, n_documents)`` of the lines above the limit, as a written table."""
-    lines = _document_lines(docs, text, host)
-    sizes = (
-        docs.select(F.col(host).alias("host"), *text_key(F.col(text)))
-        .groupBy("host", "k1", "k2")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("host")
-        .agg(F.count("*").alias("n_host"))
-    )
-    common = lines.groupBy("host", "line").agg(F.count("*").alias("n_documents")).where(F.col("n_documents") > min_documents)
-    same = common["host"].eqNullSafe(sizes["host"])
-    found = common.join(sizes, same).where(F.col("n_documents") > max_share * F.col("n_host"))
-    return stored(found.select(common["host"], "line", "n_documents"), "frequent-lines")
+    counts = _document_lines(docs, text, host).groupBy("host", "line").agg(F.count("*").alias("n_documents"))
+    return stored(counts.where(F.col("n_documents") > min_documents), "frequent-lines")
 
 
 def _marked_lines(docs: DataFrame, frequent: DataFrame, text: str, host: str) -> DataFrame:
@@ -128,10 +116,15 @@ def _word_sums() -> list[Column]:
     return [F.sum("w").alias("w"), F.sum(left).alias("left_w")]
 
 
+def _too_little() -> Column:
+    return (F.col("left_w") < MIN_KEPT_SHARE * F.col("w")) | (F.col("left_w") < MIN_WORDS)
+
+
 def depleted_documents(docs: DataFrame, frequent: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """``(host, k1, k2)`` of the texts that keep too little without the frequent lines, written."""
     sums = _marked_lines(docs, frequent, text, host).groupBy("host", "k1", "k2").agg(*_word_sums())
-    return stored(sums.where(F.col("left_w") < MIN_KEPT_SHARE * F.col("w")).select("host", "k1", "k2"), "depleted")
+    lost = sums.where((F.col("left_w") < F.col("w")) & _too_little())
+    return stored(lost.select("host", "k1", "k2"), "depleted")
 
 
 def shortened_documents(docs: DataFrame, frequent: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
@@ -144,7 +137,7 @@ def shortened_documents(docs: DataFrame, frequent: DataFrame, text: str = "text"
         .groupBy("host", "k1", "k2")
         .agg(*_word_sums(), F.collect_set(F.when(F.col("lost"), F.col("line"))).alias("lines"))
         .where(F.size("lines") > 0)
-        .withColumn("depleted", F.col("left_w") < MIN_KEPT_SHARE * F.col("w"))
+        .withColumn("depleted", _too_little())
     )
     lines = F.when(F.col("depleted"), F.slice("lines", 1, 0)).otherwise(F.col("lines"))
     return stored(sums.select("host", "k1", "k2", "depleted", lines.alias("lines")), "shortened")
@@ -185,7 +178,7 @@ def kept_documents(docs: DataFrame, text: str = "text", host: str = "source") ->
     the base rule holds for it as it came, and if without its frequent lines it has MIN_WORDS
     words and MIN_KEPT_SHARE of what it had. Other lines and blank ones stay as they are.
     """
-    shortened = shortened_documents(docs, frequent_lines(docs, text, host, max_share=0.0), text, host)
+    shortened = shortened_documents(docs, frequent_lines(docs, text, host), text, host)
     hashes = shortened.agg(F.sum(F.size("lines") + 1)).first()[0] or 0
     side = F.broadcast(shortened) if hashes <= BROADCAST_ROWS else shortened
     rows = docs.select(
@@ -202,7 +195,6 @@ def kept_documents(docs: DataFrame, text: str = "text", host: str = "source") ->
         rows.join(side, on, "left")
         .where(F.coalesce(~F.col("depleted"), F.lit(True)))
         .select("row", F.when(F.col("lines").isNotNull(), F.array_join(stays, "\n")).alias("now"))
-        .where(F.col("now").isNull() | (F.size(words(F.col("now"))) >= MIN_WORDS))
     )
     columns = []
     for c in docs.columns:
@@ -237,8 +229,7 @@ WITH d AS (
 ), lines AS (
     SELECT doc_id, host, text, trim(regexp_replace(lower(unnest(ls)), '[\x20\x09-\x0D]+', ' ', 'g')) AS line FROM d
 ), common AS (
-    SELECT host, line FROM lines JOIN (SELECT host, count(DISTINCT text) AS n_host FROM d GROUP BY host) s USING (host)
-    GROUP BY host, line HAVING count(DISTINCT text) > 10 AND count(DISTINCT text) > 0.10 * any_value(n_host)
+    SELECT host, line FROM lines GROUP BY host, line HAVING count(DISTINCT text) > 10
 ), left_over AS (
     SELECT doc_id, sum(len(string_split(line, ' '))) AS w,
         sum(CASE WHEN c.host IS NULL THEN len(string_split(line, ' ')) ELSE 0 END) AS left_w
@@ -252,6 +243,6 @@ WITH d AS (
 )
 SELECT b.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
     NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-        AND NOT coalesce(left_w < 0.30 * w, FALSE) AS kept
+        AND NOT coalesce(left_w < w AND (left_w < 0.30 * w OR left_w < 50), FALSE) AS kept
 FROM base b LEFT JOIN left_over USING (doc_id)
 """

@@ -58,8 +58,10 @@ def test_stage_removes_frequent_lines_whatever_the_hosts_size(spark):
         [(k, t, "h", len(t)) for k, t in rows.items()] + [(1000, rows[1000], "other", 7), (1000, rows[1000], None, 7)],
         "doc_id long, text string, source string, n_chars long",
     )
-    assert not any(r.quality.base_failed for r in quality.judged(docs).collect())
+    judged = quality.judged(docs).collect()
+    assert not any(r.quality.base_failed for r in judged)
     got = {(r.doc_id, r.source): r for r in quality.kept_documents(docs).collect()}
+    assert {(r.row.doc_id, r.row.source) for r in judged if r.quality.kept} == set(got)
     assert {k for k, host in got if host == "h"} == {k for k in rows if k < 2000 or k >= 4000}
     for k, text in rows.items():
         if (k, "h") in got:
@@ -68,6 +70,21 @@ def test_stage_removes_frequent_lines_whatever_the_hosts_size(spark):
     assert got[1000, "other"].text == got[1000, None].text == rows[1000] and got[1000, "other"].n_chars == 7
 
 
+def test_whole_table_loses_documents_by_its_lines(spark):
+    """On the documents, and on planted ones among them, verdicts follow the lines and the stage agrees."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source")
+    own = lambda i, n: " ".join(f"own{i}.{k}" for k in range(n))
+    menu = "\n".join(" ".join(f"menu{i}.{k}" for k in range(6)) for i in range(12))
+    host = docs.first().source
+    planted = [(10**9 + i, f"{menu}\n{own(i, 20)}", host) for i in range(12)]  # depleted
+    planted += [(2 * 10**9 + i, f"{menu}\n{own(100 + i, 60)}", host) for i in range(12)]  # enough is left
+    both = docs.union(spark.createDataFrame(planted, docs.schema))
+    judged = quality.judged(both).select("row.doc_id", "quality.*").collect()
+    by_lines = {r.doc_id for r in judged if not r.base_failed and not r.kept}
+    assert {k for k, _, _ in planted[:12]} <= by_lines and not {k for k, _, _ in planted[12:]} & by_lines
+    assert sorted(r.doc_id for r in judged if r.kept) == sorted(r.doc_id for r in quality.kept_documents(both).collect())
+
+
 def test_license_edge_rows(spark):
     mit = "MIT License\n\nCopyright (c) 2020 Someone\n\n" + licenses.KNOWN[0][1].replace("sublicense", "sub-license").upper()
     rows = [
