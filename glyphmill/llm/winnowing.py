@@ -2,26 +2,33 @@
 
 Hashes of k tokens in a row are taken over the whole text; every window of w hashes gives its
 smallest, the rightmost one on ties, with its position. Texts that share w + k - 1 tokens in a
-row share a fingerprint hash. Tokens are words; short texts take code points.
+row share a fingerprint hash.
+
+One rule cuts every text, whatever its length and script: a token is a run of lower-case letters
+with the capitals before it, a run of capitals, a run of digits, or any other single code point
+but white space. So scripts without word spaces or case are cut by code points, and long unspaced
+lines where letters, digits and case meet. A run is cut after TOKEN_CHARS code points.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from glyphmill.llm.plan import let, small_side, stored, text_key, words
+from glyphmill.llm.plan import SPACE, let, small_side, stored, text_key
 
-GRAM_WORDS, WINDOW_WORDS = 4, 5
-GRAM_CHARS, WINDOW_CHARS = 5, 6
-#: Texts of fewer code points are fingerprinted by code points.
-SHORT = 256
+GRAM, WINDOW = 4, 5
+TOKEN_CHARS = 32
+_LOWER, _CAPITAL = r"[\p{Ll}\p{M}]", r"[\p{Lu}\p{Lt}]"
+TOKEN = (
+    rf"{_CAPITAL}?{_LOWER}{{1,{TOKEN_CHARS}}}|{_CAPITAL}{{1,{TOKEN_CHARS}}}|\p{{N}}{{1,{TOKEN_CHARS}}}|[^{SPACE}]"
+)
 #: Cells that the ids' range is cut into to see where they lie; the driver gets one count each.
 CELLS = 4096
 #: The most documents of a bucket, about.
 BUCKET_ROWS = 20_000
 
 
-def _selected(tokens: Column, k: int, w: int) -> Column:
+def selected(tokens: Column, k: int = GRAM, w: int = WINDOW) -> Column:
     """``array<struct<h, back>>``: chosen hashes in text order; ``back`` is minus the position."""
 
     def hashes(t):
@@ -42,11 +49,13 @@ def _selected(tokens: Column, k: int, w: int) -> Column:
     return let(tokens, lambda t: let(hashes(t), lambda g: let(minima(g), once)))
 
 
+def tokens(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+
+
 def fingerprint(text: Column) -> Column:
     """The fingerprint of a text that is not null: chosen hashes with their positions."""
-    by_words = _selected(words(text), GRAM_WORDS, WINDOW_WORDS)
-    by_chars = _selected(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), GRAM_CHARS, WINDOW_CHARS)
-    return F.when(F.length(text) < SHORT, by_chars).otherwise(by_words)
+    return selected(tokens(text))
 
 
 def hash_set(chosen: Column) -> Column:
