@@ -1,14 +1,13 @@
 """Scoring texts with a weighted backoff automaton.
 
 The model is a smoothed bigram model over the training documents. Every word of the vocabulary
-is a state; an arc for each frequent bigram carries its log-probability, and a failure arc leads
+is a state; an arc for each bigram carries its log-probability, and a failure arc leads
 to the empty state at the cost of the backoff weight, where every word has an arc. A text goes
 through once from left to right, carrying the state and adding up the arcs it takes.
 
 The automaton grows with the corpus, so it is never in one place. Documents are dealt to blocks;
 each block asks for the arcs its own texts can take, the counts are summed where all requests
 for one n-gram meet, and the answers, the block's slice of the automaton, are joined to its texts.
-Counts of one n-gram above 2**31 - 1 are answered as that.
 """
 
 from __future__ import annotations
@@ -26,15 +25,14 @@ from glyphmill.llm.tokens import Words, mix, signed, slices
 
 #: Held out: documents whose crc32(key as text) has this remainder.
 FOLDS, HELD_OUT = 7, 2
-#: A bigram is an arc from this count on.
-MIN_COUNT = 2
+#: A bigram is an arc from this count on; with 1, what may follow a state sums to one.
+MIN_COUNT = 1
 #: Weight of a state's own arcs; the failure arc has the rest.
 OWN_WEIGHT = 0.1
 #: Characters of a block, about.
 BLOCK_CHARS = 12_000_000
 _END = np.uint64(0xE0D)
 _NEXT = np.uint64(0x9E3779B97F4A7C15)
-_MOST = 2**31 - 1
 
 
 def held_out(key: Column) -> Column:
@@ -88,7 +86,8 @@ def training_totals(docs: DataFrame, text: str, train: Column) -> dict[str, floa
 
 
 _REQUESTS = "bucket bigint, block bigint, words array<bigint>, word_n array<int>, pairs array<bigint>, pair_n array<int>"
-_ANSWERS = "bucket bigint, block bigint, word_n array<int>, pair_n array<int>"
+# Totals are 64 bits in two halves: the upper one is nearly always 0 and takes no room in an exchange.
+_ANSWERS = "bucket bigint, block bigint, word_n array<int>, word_up array<int>, pair_n array<int>, pair_up array<int>"
 
 
 class _Grams:
@@ -159,15 +158,21 @@ def _answers(min_count: int):
             ids, counts = _flat(table, name), _flat(table, n)
             values, inverse = np.unique(ids, return_inverse=True)
             total = np.bincount(inverse, weights=counts, minlength=len(values)).astype(np.int64)
-            total = np.where(total >= least, np.minimum(total, _MOST), 0).astype(np.int32)[inverse]
+            total = np.where(total >= least, total, 0)[inverse]
             sizes = pc.list_value_length(table.column(name).combine_chunks()).to_numpy(zero_copy_only=False)
             ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(total, pa.int32())))
-        return pa.Table.from_arrays(columns, names=["bucket", "block", "word_n", "pair_n"])
+            for half in (total.astype(np.uint32).view(np.int32), (total >> 32).astype(np.int32)):
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(half)))
+        return pa.Table.from_arrays(columns, names=["bucket", "block", "word_n", "word_up", "pair_n", "pair_up"])
 
     return run
 
 
+def _totals(answers: pa.Table, name: str) -> np.ndarray:
+    low, up = _flat(answers, f"{name}_n"), _flat(answers, f"{name}_up")
+    return low.astype(np.int32).view(np.uint32).astype(np.int64) + (up.astype(np.int64) << 32)
+
+
 class Automaton:
     """A block's slice of the automaton: word arcs of the empty state, and bigram arcs."""
 
@@ -222,7 +227,7 @@ def _scores(totals: dict[str, float], own_weight: float, buckets: int):
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         ids, sizes, words, pairs = _grams(texts, buckets)
         answers = answers.sort_by("bucket")
-        arcs = Automaton((words.ids, _flat(answers, "word_n")), (pairs.ids, _flat(answers, "pair_n")), totals, own_weight)
+        arcs = Automaton((words.ids, _totals(answers, "word")), (pairs.ids, _totals(answers, "pair")), totals, own_weight)
         known, weight = arcs.traverse(ids, sizes)
         starts = np.cumsum(sizes) - sizes
         add = lambda x: np.add.reduceat(x, starts) if len(starts) else np.zeros(0)
@@ -253,8 +258,8 @@ def scored(
 
     Scores are log10 probabilities. ``base_score`` is the add-one unigram model. A null or empty
     text is the end token alone; a null key trains; repeated rows count and score each. Without
-    training texts every token is unknown. Arcs below ``min_count`` are left out of the model, so a state's
-    arcs sum to one at most.
+    training texts every token is unknown. Arcs below ``min_count`` are left out of the model; above 1,
+    a state's arcs sum to less than one.
     """
     rows = small_batches(docs).select(
         F.col(key).alias("key"), held_out(F.col(key)).alias("held_out"), F.coalesce(F.col(text), F.lit("")).alias("text")
@@ -265,7 +270,7 @@ def scored(
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(least, math.ceil(chars / block_chars))
     # Repeated keys are dealt apart by their text.
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("key", F.substring("text", 1, 64)), F.lit(blocks)))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("key", "text"), F.lit(blocks)))
     requests = dealt.groupBy("block").applyInArrow(_requests(blocks), _REQUESTS)
     answers = requests.groupBy("bucket").applyInArrow(_answers(min_count), _ANSWERS)
     out = (

@@ -5,7 +5,7 @@ smallest, the rightmost one on ties, with its position. Texts that share w + k -
 row share a fingerprint hash.
 
 One rule cuts every text, whatever its length and script: a token is a run of lower-case letters
-with the capitals before it, a run of capitals, a run of digits, or any other single code point
+with the capital before it, a run of capitals, a run of digits, or any other single code point
 but white space. So scripts without word spaces or case are cut by code points, and long unspaced
 lines where letters, digits and case meet. A run is cut after TOKEN_CHARS code points.
 """

@@ -5,6 +5,8 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from glyphmill.llm import lm
 
@@ -63,3 +65,30 @@ def test_empty_table(spark):
     assert lm.scored(docs).count() == 0
     only = [(k, "a b") for k in range(40) if zlib.crc32(str(k).encode()) % 7 == 2]
     same(lm.scored(spark.createDataFrame(only, docs.schema)).collect(), plain(only))
+
+
+def test_totals_beyond_32_bits():
+    many = 2**31 - 1
+    asked = pa.table(
+        {
+            "bucket": [0, 0, 0],
+            "block": [0, 1, 2],
+            "words": pa.array([[5, 6], [5], [5, 7]], pa.list_(pa.int64())),
+            "word_n": pa.array([[many, 1], [many], [many, 0]], pa.list_(pa.int32())),
+            "pairs": pa.array([[8], [8], []], pa.list_(pa.int64())),
+            "pair_n": pa.array([[many], [1], []], pa.list_(pa.int32())),
+        }
+    )
+    answers = lm._answers(lm.MIN_COUNT)(asked)
+    assert lm._totals(answers, "word").tolist() == [3 * many, 1, 3 * many, 3 * many, 0]
+    assert lm._totals(answers, "pair").tolist() == [2**31, 2**31]
+
+
+def test_what_may_follow_a_state_sums_to_one():
+    words, n = np.array([1, 2, 3], np.uint64), np.array([5, 4, 3])
+    follows = {(1, 2): 3, (1, 3): 1, (1, 1): 1}
+    ids = {p: lm._bigrams(np.array(p, np.uint64), np.array([2]))[0][0] for p in [(1, 1), (1, 2), (1, 3), (1, 99)]}
+    pairs = np.array([ids[p] for p in follows]), np.array(list(follows.values()))
+    model = lm.Automaton((words, n), pairs, {"tokens": 12, "types": 3, "once": 1, "twice": 1}, lm.OWN_WEIGHT)
+    weight = [10 ** model.traverse(np.array([1, w], np.uint64), np.array([2]))[1][1] for w in (1, 2, 3, 99)]
+    assert sum(weight) == pytest.approx(1)
