@@ -2,8 +2,8 @@
 
 The model is a smoothed bigram model over the training documents. Every word of the vocabulary
 is a state; an arc for each bigram carries its log-probability, and a failure arc leads
-to the empty state at the cost of the backoff weight, where every word has an arc. A text goes
-through once from left to right, carrying the state and adding up the arcs it takes.
+to the empty state, where every word has an arc, at the cost of a backoff weight that follows
+from how often the state itself was left. A text goes through once from left to right, carrying the state and adding up the arcs it takes.
 
 The automaton grows with the corpus, so it is never in one place. Documents are dealt to blocks;
 each block asks for the arcs its own texts can take, the counts are summed where all requests
@@ -27,8 +27,9 @@ from glyphmill.llm.tokens import Words, mix, signed, slices
 FOLDS, HELD_OUT = 7, 2
 #: A bigram is an arc from this count on; with 1, what may follow a state sums to one.
 MIN_COUNT = 1
-#: Weight of a state's own arcs; the failure arc has the rest.
-OWN_WEIGHT = 0.1
+#: A state's own arcs weigh ``OWN_WEIGHT * c / (c + OWN_PRIOR)`` if it was left ``c`` times in training;
+#: its failure arc has the rest, so a state seldom seen nearly always falls back.
+OWN_WEIGHT, OWN_PRIOR = 0.4, 3.0
 #: Characters of a block, about.
 BLOCK_CHARS = 12_000_000
 _END = np.uint64(0xE0D)
@@ -176,10 +177,10 @@ def _totals(answers: pa.Table, name: str) -> np.ndarray:
 class Automaton:
     """A block's slice of the automaton: word arcs of the empty state, and bigram arcs."""
 
-    def __init__(self, words: tuple, pairs: tuple, totals: dict[str, float], own_weight: float):
+    def __init__(self, words: tuple, pairs: tuple, totals: dict[str, float], own_weight: float, own_prior: float):
         """``words`` and ``pairs`` are ids with their training counts."""
         (self.words, self.word_n), (self.pairs, self.pair_n) = self._sorted(*words), self._sorted(*pairs)
-        self.totals, self.own_weight = totals, own_weight
+        self.totals, self.own_weight, self.own_prior = totals, own_weight, own_prior
         tokens, types = max(totals["tokens"], 1), max(totals["types"], 1)
         # Absolute discounting; what it frees is the unknown token's.
         spread = totals["once"] + 2 * totals["twice"]
@@ -207,6 +208,7 @@ class Automaton:
         the empty state's arc. An arc of a word's state has the interpolated probability.
         """
         known = self._find(ids, self.words, self.word_n)
+        share = self.own_weight * known / (known + self.own_prior)
         low = np.where(known > 0, (known - self.discount) / self.tokens, self.unknown)
         pairs, at = _bigrams(ids, sizes)
         context = known[at - 1]
@@ -214,20 +216,21 @@ class Automaton:
         weight = low.copy()
         state = context > 0
         failed = state & (arcs == 0)
-        weight[at[failed]] *= 1 - self.own_weight
+        weight[at[failed]] *= 1 - share[at[failed] - 1]
         taken = state & (arcs > 0)
-        own = arcs[taken] / context[taken]
-        weight[at[taken]] = self.own_weight * own + (1 - self.own_weight) * low[at[taken]]
+        own, state_share = arcs[taken] / context[taken], share[at[taken] - 1]
+        weight[at[taken]] = state_share * own + (1 - state_share) * low[at[taken]]
         return known, np.log10(weight)
 
 
-def _scores(totals: dict[str, float], own_weight: float, buckets: int):
+def _scores(totals: dict[str, float], own_weight: float, own_prior: float, buckets: int):
     floor = math.log10(totals["tokens"] + totals["types"] + 1)
 
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         ids, sizes, words, pairs = _grams(texts, buckets)
         answers = answers.sort_by("bucket")
-        arcs = Automaton((words.ids, _totals(answers, "word")), (pairs.ids, _totals(answers, "pair")), totals, own_weight)
+        counted = (words.ids, _totals(answers, "word")), (pairs.ids, _totals(answers, "pair"))
+        arcs = Automaton(*counted, totals, own_weight, own_prior)
         known, weight = arcs.traverse(ids, sizes)
         starts = np.cumsum(sizes) - sizes
         add = lambda x: np.add.reduceat(x, starts) if len(starts) else np.zeros(0)
@@ -252,13 +255,14 @@ def scored(
     text: str = "text",
     min_count: int = MIN_COUNT,
     own_weight: float = OWN_WEIGHT,
+    own_prior: float = OWN_PRIOR,
     block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """``(key, held_out, n_tokens, n_known, train_tokens, base_score, score)`` per row of ``docs``.
 
     Scores are log10 probabilities. ``base_score`` is the add-one unigram model. A null or empty
     text is the end token alone; a null key trains; repeated rows count and score each. Without
-    training texts every token is unknown. Arcs below ``min_count`` are left out of the model; above 1,
+    training texts every token is unknown. ``own_prior`` is above 0. Arcs below ``min_count`` are left out of the model; above 1,
     a state's arcs sum to less than one.
     """
     rows = small_batches(docs).select(
@@ -277,7 +281,7 @@ def scored(
         dealt.groupBy("block")
         .cogroup(answers.groupBy("block"))
         .applyInArrow(
-            _scores(totals, own_weight, blocks),
+            _scores(totals, own_weight, own_prior, blocks),
             f"key {key_type}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double",
         )
     )

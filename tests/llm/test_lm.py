@@ -34,8 +34,9 @@ def plain(rows):
             base += math.log10((one[w] + 1) / (n + v + 1))
             p = (one[w] - d) / n if one[w] else (d * v / n if n else 1.0)
             if i and one[ts[i - 1]]:
-                c = two[ts[i - 1], w]
-                p = (1 - lm.OWN_WEIGHT) * p + (lm.OWN_WEIGHT * c / one[ts[i - 1]] if c >= lm.MIN_COUNT else 0)
+                c, left = two[ts[i - 1], w], one[ts[i - 1]]
+                own = lm.OWN_WEIGHT * left / (left + lm.OWN_PRIOR)
+                p = (1 - own) * p + (own * c / left if c >= lm.MIN_COUNT else 0)
             score += math.log10(p)
         out.append((k, held[k], len(ts), sum(one[w] > 0 for w in ts), n, base, score))
     return out
@@ -89,6 +90,14 @@ def test_what_may_follow_a_state_sums_to_one():
     follows = {(1, 2): 3, (1, 3): 1, (1, 1): 1}
     ids = {p: lm._bigrams(np.array(p, np.uint64), np.array([2]))[0][0] for p in [(1, 1), (1, 2), (1, 3), (1, 99)]}
     pairs = np.array([ids[p] for p in follows]), np.array(list(follows.values()))
-    model = lm.Automaton((words, n), pairs, {"tokens": 12, "types": 3, "once": 1, "twice": 1}, lm.OWN_WEIGHT)
+    model = lm.Automaton((words, n), pairs, {"tokens": 12, "types": 3, "once": 1, "twice": 1}, lm.OWN_WEIGHT, lm.OWN_PRIOR)
     weight = [10 ** model.traverse(np.array([1, w], np.uint64), np.array([2]))[1][1] for w in (1, 2, 3, 99)]
     assert sum(weight) == pytest.approx(1)
+
+
+def test_a_failure_arc_costs_less_from_a_state_seldom_left():
+    words, n = np.array([1, 2, 3], np.uint64), np.array([2, 200, 50])
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    model = lm.Automaton((words, n), none, {"tokens": 252, "types": 3, "once": 0, "twice": 1}, 0.4, 3.0)
+    cost = [10 ** (np.diff(model.traverse(np.array([w, 3], np.uint64), np.array([2]))[1])[0]) * (c - model.discount) for w, c in ((1, 2), (2, 200))]
+    assert cost[0] / cost[1] == pytest.approx((1 - 0.4 * 2 / 5) / (1 - 0.4 * 200 / 203))
