@@ -1,10 +1,14 @@
 """Near duplicates: all pairs of documents whose word 5-gram sets have Jaccard similarity 0.8 or more.
 
 Every distinct set of n-grams is one class; exact copies never meet again. A MinHash LSH forest
-proposes partners: each tree orders classes by a signature of min-hashes, and two classes meet
-if their signatures share a prefix. Prefixes are shortened from the whole signature until pairs at
-the threshold meet in some tree with the target probability. Classes that meet and whose
-sketches look alike form clusters, and within a cluster every pair is verified on its n-grams.
+proposes partners: each tree is a prefix trie of signatures of min-hashes, kept as rows sorted by
+signature, in which a node is a run of rows that share a prefix. Classes meet first where their
+whole signatures match. Matched prefixes are then shortened value by value, node by node: a node is
+opened only while it holds classes that no longer prefix has joined, and what one child has settled
+is not looked at again. The shortest prefix is that at which a pair at the threshold meets in some
+tree with the target probability, and decides how the tries are dealt to tasks. Classes that
+meet and whose sketches look alike form clusters, and within a cluster every pair is verified on
+its n-grams.
 
 Pairs are compared inside tasks and counted there; what leaves a task is linear in its rows.
 Nodes and clusters too large for one task are cut into blocks, and pairs of blocks are tasks.
@@ -27,7 +31,7 @@ from glyphmill.llm.tokens import Words, mix, runs, seeded, signed, slices
 NGRAM = 5
 THRESHOLD = 0.8
 TREES = 16
-#: The whole signature of a tree; the sketch keeps the values the shortened prefixes use.
+#: The whole signature of a tree, in values; a sketch keeps a byte of every value of every tree.
 SIGNATURE = 8
 TARGET_RECALL = 0.999
 #: Sketches that agree on fewer values than this many standard deviations below the
@@ -38,8 +42,8 @@ NODE_BLOCK, CLUSTER_BLOCK = 4096, 512
 _COLUMNS = 4096
 
 
-def prefix_length(threshold: float, trees: int = TREES, signature: int = SIGNATURE, target: float = TARGET_RECALL) -> int:
-    """The longest prefix at which a pair at the threshold meets with the target probability."""
+def shortest_prefix(threshold: float, trees: int = TREES, signature: int = SIGNATURE, target: float = TARGET_RECALL) -> int:
+    """How far prefixes are shortened: a pair at the threshold then meets with the target probability."""
     depth = signature
     while depth > 1 and 1 - (1 - threshold**depth) ** trees < target:
         depth -= 1
@@ -65,24 +69,28 @@ def _set_id(grams: np.ndarray) -> int:
         return int(signed(mix(np.array([mix(grams).sum(dtype=np.uint64) + np.uint64(len(grams))], np.uint64)))[0])
 
 
-def _sketches(n: int, trees: int, depth: int):
-    factors = seeded(trees * depth, 11) | np.uint64(1)
-    shifts = seeded(trees * depth, 12)
+def _sketches(n: int, trees: int, signature: int, shortest: int):
+    """Per text its n-gram set's id and size, the label of its shortest prefix in each tree, and its sketch.
+
+    The sketch has the bytes of tree 0's signature, then tree 1's and so on.
+    """
+    factors = seeded(trees * signature, 11) | np.uint64(1)
+    shifts = seeded(trees * signature, 12)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = list(_shingles(batch, n))
             sizes = np.array([len(s) for s in sets])
             full = np.flatnonzero(sizes)
-            least = np.zeros((len(sets), trees * depth), np.uint64)
+            least = np.zeros((len(sets), trees * signature), np.uint64)
             if len(full):
                 flat = np.concatenate([sets[i] for i in full])
                 starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-                for j in range(trees * depth):
+                for j in range(trees * signature):
                     least[full, j] = np.minimum.reduceat(flat * factors[j] + shifts[j], starts)
             labels = np.zeros((len(sets), trees), np.uint64)
-            for d in range(depth):
-                labels = mix(labels * np.uint64(31) + least[:, d::depth])
+            for d in range(shortest):
+                labels = mix(labels * np.uint64(31) + least[:, d::signature])
             sketch = (mix(least) >> np.uint64(56)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -122,10 +130,11 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
-def _dealt(rows: DataFrame, keys: list[str], size: str, block: int) -> DataFrame:
+def _dealt(rows: DataFrame, keys: list[str], size: str, block: int, order: tuple = ()) -> DataFrame:
     """Rows by group; a group above ``block`` rows goes to every pair of its blocks.
 
-    Adds ``i`` and ``j``, the pair, and ``own``, the row's block. A small group is one pair.
+    Adds ``i`` and ``j``, the pair, and ``own``, the row's block. A small group is one pair. Rows of a
+    pair are sorted by ``order``.
     """
     blocks = F.ceil(F.col(size) / float(block)).cast("int")
     own = F.pmod(F.xxhash64("id", F.lit(5)), blocks).cast("int")
@@ -137,33 +146,64 @@ def _dealt(rows: DataFrame, keys: list[str], size: str, block: int) -> DataFrame
         .withColumn("j", F.greatest("own", "other"))
         .drop("other", size)
         .repartition(*keys, "i", "j")
-        .sortWithinPartitions(*keys, "i", "j")
+        .sortWithinPartitions(*keys, "i", "j", *order)
     )
 
 
-def _alike(keys: list[str], needed: int):
-    """Links between classes of a group with like sketches: a spanning tree, not all pairs.
+def _joined_in_trie(path: np.ndarray, sketch: np.ndarray, needed: int) -> np.ndarray:
+    """The cluster of each class of a subtree: the first row it is connected with by like sketches.
+
+    ``path`` has the rows' signatures below the subtree's own prefix, sorted. Nodes are taken from the
+    deepest to the root; in a node, classes of different children and clusters are compared.
+    """
+    n = len(path)
+    shared = np.minimum.accumulate(path[1:] == path[:-1], axis=1).sum(1)
+    cluster, child = np.arange(n), np.arange(n)
+    for depth in np.unique(shared)[::-1]:
+        opens = np.concatenate([[True], shared < depth])
+        starts = np.flatnonzero(opens)
+        for a, b in zip(starts, np.append(starts[1:], n)):
+            if b - a > 1 and (cluster[a:b] != cluster[a]).any():
+                _connect(np.arange(a, b), cluster, child, sketch, needed)
+        child = np.cumsum(opens)
+    return cluster
+
+
+def _connect(left: np.ndarray, cluster: np.ndarray, child: np.ndarray, sketch: np.ndarray, needed: int) -> None:
+    """Unites the clusters of a node's rows that have rows alike in different children."""
+    while len(left):
+        own = cluster[left] == cluster[left[0]]
+        name, grown = cluster[left[0]], left[own]
+        queue, left = grown.tolist(), left[~own]
+        while queue and len(left):
+            at = queue.pop()
+            other = left[child[left] != child[at]]
+            alike = other[(sketch[other] == sketch[at]).sum(1) >= needed]
+            if len(alike):
+                come = np.isin(cluster[left], cluster[alike])
+                queue += left[come].tolist()
+                cluster[left[come]], left = name, left[~come]
+
+
+def _alike(signature: int, needed: int):
+    """Links of the clusters of each subtree, from a cluster's smallest id to its others.
 
-    Trees start at the smallest id, so groups with the same members often give the same links.
+    Subtrees with the same members thus give the same links, whatever their tree.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
-        for group in _groups(batches, [*keys, "i", "j"]):
-            group = group.sort_by("id")
+        for group in _groups(batches, ["tree", "label", "i", "j"]):
             ids = group.column("id").to_numpy()
-            sketch = np.stack([np.frombuffer(x, np.uint8) for x in group.column("sketch").to_pylist()])
-            left = np.arange(len(ids))
-            while len(left):
-                queue, left = [left[0]], left[1:]
-                while queue and len(left):
-                    at = queue.pop()
-                    near = (sketch[left] == sketch[at]).sum(1) >= needed
-                    found = left[near]
-                    a += [ids[at]] * len(found)
-                    b += ids[found].tolist()
-                    queue += found.tolist()
-                    left = left[~near]
+            sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(len(ids), -1)
+            tree = group.column("tree")[0].as_py()
+            cluster = _joined_in_trie(sketch[:, tree * signature : (tree + 1) * signature], sketch, needed)
+            _, number = np.unique(cluster, return_inverse=True)
+            least = np.full(number.max() + 1, np.iinfo(np.int64).max)
+            np.minimum.at(least, number, ids)
+            to = least[number]
+            a += to[to != ids].tolist()
+            b += ids[to != ids].tolist()
             if len(a) > 50_000:
                 yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
                 a, b = [], []
@@ -272,14 +312,14 @@ def _classed(
     ``rep`` and ``first`` are the rows that stand for the n-gram set and for the class, as
     ``(none, key, tk)``: the smallest key, null after all, then the smallest hash.
     """
-    depth = prefix_length(threshold, target=target)
-    values = TREES * depth
+    shortest = shortest_prefix(threshold, target=target)
+    values = TREES * SIGNATURE
     needed = int(values * threshold - DEVIATIONS * (values * threshold * (1 - threshold)) ** 0.5)
     rows = small_batches(docs).select(F.col(key).alias("key"), _text_hash(text).alias("tk"), F.col(text).alias("text"))
     key_type = rows.schema["key"].dataType.simpleString()
     sketches = stored(
         rows.mapInArrow(
-            _sketches(n, TREES, depth), f"key {key_type}, tk bigint, id bigint, n int, labels array<bigint>, sketch binary"
+            _sketches(n, TREES, SIGNATURE, shortest), f"key {key_type}, tk bigint, id bigint, n int, labels array<bigint>, sketch binary"
         ),
         "sketches",
     )
@@ -293,8 +333,9 @@ def _classed(
     crowded = placed.groupBy("tree", "label").agg(F.count("*").alias("n_node")).where("n_node > 1")
     met = stored(placed.join(crowded, ["tree", "label"]), "nodes")
     members = met.join(classes.select("id", "s.sketch"), "id")
-    links = _dealt(members, ["tree", "label"], "n_node", NODE_BLOCK).mapInArrow(
-        _alike(["tree", "label"], needed), "a bigint, b bigint"
+    path = F.expr(f"substring(sketch, tree * {SIGNATURE} + 1, {SIGNATURE})")
+    links = _dealt(members, ["tree", "label"], "n_node", NODE_BLOCK, (path,)).mapInArrow(
+        _alike(SIGNATURE, needed), "a bigint, b bigint"
     )
     clusters = components(links)
     sized = clusters.groupBy("root").agg(F.count("*").alias("n_cluster"))

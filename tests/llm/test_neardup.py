@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from glyphmill.llm import neardup
 from glyphmill.llm.components import components
@@ -78,8 +79,42 @@ def test_one_of_each_class_stays(spark):
 
 
 def test_prefixes_shorten_until_the_target(spark):
-    assert neardup.prefix_length(0.8, 16, 8, 0.999) == 4
-    assert neardup.prefix_length(0.8, 16, 8, 0.3) == 8
+    assert neardup.shortest_prefix(0.8, 16, 8, 0.999) == 4
+    assert neardup.shortest_prefix(0.8, 16, 8, 0.3) == 8
+
+
+def test_documents_against_all_pairs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    got = [(r.doc_id, r.class_id, r.n_links) for r in neardup.joined(docs).collect()]
+    assert sorted(got, key=repr) == plain([tuple(r) for r in docs.collect()])
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_clusters_of_a_trie(seed):
+    """Nodes opened from the longest prefix on give the clusters of all pairs with like sketches."""
+    rng = np.random.default_rng(seed)
+    n, needed = int(rng.integers(2, 60)), 11
+    sketch = rng.integers(0, 2 + seed % 3, (n, 16), dtype=np.uint8)
+    sketch = sketch[np.lexsort(sketch[:, 3::-1].T)]
+    got = neardup._joined_in_trie(sketch[:, :4], sketch, needed)
+    alike = (sketch[:, None] == sketch[None]).sum(2) >= needed
+    want = np.arange(n)
+    for _ in range(n):
+        want = np.array([want[row].min() for row in alike])
+    assert [got[:i + 1].tolist().index(c) for i, c in enumerate(got)] == want.tolist()
+
+
+def test_settled_nodes_are_not_opened(monkeypatch):
+    """Rows joined at the whole signature are not compared again at shorter prefixes."""
+    opened = []
+    connect = neardup._connect
+    monkeypatch.setattr(neardup, "_connect", lambda left, *rest: (opened.append(len(left)), connect(left, *rest)))
+    path = np.array([[1, 1], [1, 1], [1, 1], [1, 2], [2, 1]], np.uint8)
+    sketch = np.repeat(np.array([[7], [7], [7], [7], [9]], np.uint8), 8, axis=1)
+    assert neardup._joined_in_trie(path, sketch, 8).tolist() == [0, 0, 0, 0, 4]
+    assert opened == [3, 4, 5]
+    opened.clear()
+    assert neardup._joined_in_trie(path[:3], sketch[:3], 8).tolist() == [0, 0, 0] and opened == [3]
 
 
 def test_components(spark):
