@@ -17,6 +17,7 @@ import sys
 import types
 import unicodedata
 from array import array
+from collections.abc import Iterable
 
 import ahocorasick
 import numpy as np
@@ -27,10 +28,16 @@ from tokenizers import Regex, normalizers, pre_tokenizers
 
 from glyphmill.llm.plan import small_batches
 
-#: Pieces of text and pairs of tokens remembered by a task; beyond, it starts afresh.
-REMEMBERED = 400_000
+#: Pairs of tokens that a worker process remembers; beyond, it starts afresh.
+REMEMBERED_PAIRS = 400_000
+#: Pieces of text it remembers in one turn; then a new turn begins, and those of the turn before go unless met again.
+REMEMBERED = 100_000
 #: Remembered pieces are at most so many characters long; longer ones are encoded each time.
 REMEMBERED_LENGTH = 64
+#: Tokens gathered at a time by a decoder, which needs some 24 bytes for every byte it gathers.
+GATHERED = 1 << 16
+#: Texts of more characters are split piece by piece instead of into a list of all pieces.
+LISTED = 1 << 20
 
 # What is neither ASCII nor a Latin-1 letter, and the default pattern for texts without any.
 _OTHER = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ÿ]")
@@ -73,6 +80,10 @@ class Vocabulary:
         return cls(tokens, merges, model.get("end_of_word_suffix") or "", split["pattern"]["Regex"], added)
 
 
+def _matches(pattern, text: str) -> Iterable[str]:
+    return pattern.findall(text) if len(text) <= LISTED else (m[0] for m in pattern.finditer(text))
+
+
 class Encoder(dict):
     """Texts to token ids; also the table of pieces already encoded, to packed ids.
 
@@ -82,6 +93,7 @@ class Encoder(dict):
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
+        self.older: dict[str, bytes] = {}
         if vocabulary.pattern != _PATTERN:
             raise ValueError("texts are split by another pattern than this encoder knows")
         self.piece = regex.compile(vocabulary.pattern)
@@ -157,7 +169,7 @@ class Encoder(dict):
                 limit, x = rx, self.right[x]
             else:
                 limit, y = ry + 1, self.left[y]
-        if len(self.compatible) >= REMEMBERED:
+        if len(self.compatible) >= REMEMBERED_PAIRS:
             self.compatible.clear()
         self.compatible[a, b] = good
         return good
@@ -218,14 +230,17 @@ class Encoder(dict):
         return self.encode_symbols(word)
 
     def __missing__(self, piece: str) -> bytes:
-        ids = array("I", self.encode_piece(piece)).tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = array("I", self.encode_piece(piece)).tobytes()
         if len(piece) <= REMEMBERED_LENGTH:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
-    def _pieces(self, text: str) -> list[str]:
+    def _pieces(self, text: str) -> Iterable[str]:
         """A text normalised, in lower case, split by the pattern.
 
         Letters are lower-cased one by one: no final sigma. Texts of ASCII and Latin-1 letters take
@@ -233,10 +248,10 @@ class Encoder(dict):
         classed by the library's own splitter.
         """
         if not _OTHER.search(text):
-            return _SIMPLE.findall(text.lower())
+            return _matches(_SIMPLE, text.lower())
         text = unicodedata.normalize("NFC", text)
         if "Cn" not in set(map(unicodedata.category, set(text))):
-            return self.piece.findall(text.replace("Σ", "σ").lower())
+            return _matches(self.piece, text.replace("Σ", "σ").lower())
         split = pre_tokenizers.Split(Regex(self.piece.pattern), "removed", invert=True)
         return [p for p, _ in split.pre_tokenize_str(normalizers.Lowercase().normalize_str(text))]
 
@@ -266,11 +281,14 @@ class Decoder:
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Tokens joined by one space: the vocabulary has no decoder of its own."""
+        return b"".join(self._gathered(ids[a : a + GATHERED]) for a in range(0, len(ids), GATHERED))[:-1]
+
+    def _gathered(self, ids: np.ndarray) -> bytes:
         starts = self.offsets[ids]
         sizes = self.offsets[ids + 1] - starts
         before = np.cumsum(sizes) - sizes
         index = np.repeat(starts - before, sizes) + np.arange(sizes.sum())
-        return self.data[index][:-1].tobytes()
+        return self.data[index].tobytes()
 
 
 #: Where a worker process keeps what it has built; outlives the functions a task unpickles.

@@ -76,3 +76,14 @@ def test_long_text_and_empty_table(spark):
     ids = LIBRARY.encode(text, add_special_tokens=False).ids
     assert list(row.ids) == ids and row.decoded == LIBRARY.decode(ids, skip_special_tokens=False)
     assert bpe.digests(bpe.tokenised(docs.where("false"), VOCABULARY, packed=True)).count() == 0
+
+
+def test_limits_of_memory_change_no_result(monkeypatch):
+    text = " ".join(f"Word{i % 900} naïve{i % 37} x{i}y Ωmega{i % 50}" for i in range(3_000))
+    want = bpe.Encoder(bpe.default_vocabulary()).encode(text)
+    back = bpe.Decoder(bpe.default_vocabulary()).decode(np.frombuffer(want, "<u4"))
+    for name, least in (("REMEMBERED", 50), ("REMEMBERED_PAIRS", 20), ("LISTED", 10), ("GATHERED", 7)):
+        monkeypatch.setattr(bpe, name, least)
+    encoder = bpe.Encoder(bpe.default_vocabulary())
+    assert encoder.encode(text) == want and len(encoder) <= 50 and len(encoder.older) <= 50
+    assert bpe.Decoder(bpe.default_vocabulary()).decode(np.frombuffer(want, "<u4")) == back
