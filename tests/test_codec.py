@@ -1,6 +1,7 @@
 import random
 
 import brute
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,3 +180,19 @@ def test_text_format(spark, tokenizer, tmp_path):
 def test_broken_tokenizer_files_are_refused(content, message):
     with pytest.raises(ValueError, match=message):
         tf.parse_tokenizer(content)
+
+
+def test_memory_of_encoding_does_not_grow_with_a_batch(monkeypatch):
+    """Lists of words are encoded some at a time, with the same ids wherever they are cut."""
+    texts = [None, [], ["the", "then"], ["x"] * 50, ["there", "naïve", "\U0001f600"], None, ["th" * 300, "the"], []]
+    rules, whole = Tokenizer(MERGES).rules, []
+    for kind in (pa.list_(pa.string()), pa.large_list(pa.large_string())):
+        for most in (1, 40, 1 << 20):
+            monkeypatch.setattr(merging, "TEXT_BLOCK", most)
+            monkeypatch.setattr(merging, "BLOCK", most)
+            words = pa.array([["left", "out"], *texts], kind).slice(1)
+            parts = list(merging.encode_lists(words, merging.Merger(rules), sy.SPACE_ID))
+            assert (len(parts) == 1) == (most > 1000)
+            whole.append([ids for part in parts for ids in part.to_pylist()])
+    expected = [None if t is None else brute.encode(MERGES, " ".join(t)) for t in texts]
+    assert whole == [expected] * 6

@@ -201,3 +201,35 @@ def test_nothing_to_learn(spark):
 def test_totals(spark):
     row = words.corpus_totals(words.word_frequency(corpus(spark, ["né a né", None, " "]))).first()
     assert (row.unique_words, row.total_words, row.total_bytes) == (2, 3, 7)
+
+
+def test_words_of_a_task_are_merged_and_counted_together(monkeypatch):
+    """Blocks of many words, or of one, give what going word by word and rule by rule gives; a round costs array operations."""
+    for seed in range(60):
+        counts = random_counts(seed) | {"aaaaaaa": 3, "é": 2, "ababab": 4}
+        rules = Tokenizer(tuple((x, y) for x, y, _ in brute.train(counts, 12))).rules
+        symbols, freqs = [w.encode().decode("latin-1") for w in counts], list(counts.values())
+        batch = pa.RecordBatch.from_pydict({"freq": freqs, "symbols": symbols})
+        after, last, near = Counter(), Counter(), Counter()
+        for word, freq in zip(symbols, freqs):
+            for i in range(len(word) - 1):
+                near[(word + sy.EDGE)[i : i + 3]] += freq
+            for k, a, b in merging.Steps(rules).of(word):
+                for sign, x in ((-freq, a), (freq, b)):
+                    for i in range(len(x) - 1):
+                        after[k + 1, x[i : i + 2]] += sign
+            done = merging.Steps(rules).last(word)
+            last[done, freq] += len(done) > 1
+        for block in (1, 1 << 19):
+            monkeypatch.setattr(merging, "BLOCK", block)
+            told, merged, seen = Counter(), Counter(), Counter()
+            for part in merging.changed_pairs([batch], rules, {k[1] for k in after}, sy.symbol(260), sy.EDGE):
+                for r in part.to_pylist():
+                    told[r["step"], r["pair"]] += r["freq"]
+            for part in merging.merged_words([batch], rules):
+                merged.update((r["symbols"], r["freq"]) for r in part.to_pylist())
+            for part in merging.trigrams([batch], sy.EDGE):
+                for r in part.to_pylist():
+                    seen[r["trigram"]] += r["freq"]
+            assert {k: n for k, n in told.items() if n} == {k: n for k, n in after.items() if n}, seed
+            assert merged == +last and seen == near, seed
