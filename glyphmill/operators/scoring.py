@@ -30,15 +30,12 @@ def next_token_counts(
     context = [f"c{i}" for i in range(context_size)]
     # Short rows give no steps. A filter on their size would be pushed down and encode twice.
     n_steps = F.greatest(F.size("ids") - context_size, F.lit(0))
-    steps = F.arrays_zip(
-        *[
-            F.slice("ids", F.lit(i + 1), n_steps).alias(name)
-            for i, name in enumerate([*context, "next"])
-        ]
-    )
+    # What comes next is exploded, its context read from the ids beside it: no array of structs is made.
+    following = F.slice("ids", F.lit(context_size + 1), n_steps)
     return (
         tokens.select(ids.alias("ids"))
-        .select(F.inline(steps))
+        .select("ids", F.posexplode(following).alias("pos", "next"))
+        .select(*[F.get("ids", F.col("pos") + i).alias(name) for i, name in enumerate(context)], "next")
         .where(F.col("next") != sy.PAD)
         .groupBy(*context, "next")
         .agg(F.count("*").alias("freq"))
