@@ -16,12 +16,14 @@ import re
 import sys
 import types
 import unicodedata
+import zlib
 from array import array
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tokenizers import Regex, normalizers, pre_tokenizers
@@ -29,15 +31,17 @@ from tokenizers import Regex, normalizers, pre_tokenizers
 from glyphmill.llm.plan import small_batches
 
 #: Pairs of tokens that a worker process remembers; beyond, it starts afresh.
-REMEMBERED_PAIRS = 400_000
+REMEMBERED_PAIRS = 200_000
 #: Pieces of text it remembers in one turn; then a new turn begins, and those of the turn before go unless met again.
-REMEMBERED = 100_000
+REMEMBERED = 60_000
 #: Remembered pieces are at most so many characters long; longer ones are encoded each time.
 REMEMBERED_LENGTH = 64
 #: Tokens gathered at a time by a decoder, which needs some 24 bytes for every byte it gathers.
 GATHERED = 1 << 16
 #: Texts of more characters are split piece by piece instead of into a list of all pieces.
 LISTED = 1 << 20
+#: Bytes of texts that a worker encodes before it hands on what it has, one text at least.
+ENCODED = 1 << 19
 
 # What is neither ASCII nor a Latin-1 letter, and the default pattern for texts without any.
 _OTHER = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ÿ]")
@@ -65,6 +69,16 @@ class Vocabulary:
         self.tokens, self.merges, self.suffix, self.pattern, self.added = tokens, merges, suffix, pattern, added
         self.fingerprint = hashlib.sha256(repr((tokens, merges, suffix, pattern, sorted(added.items()))).encode()).hexdigest()
 
+    def packed(self) -> bytes:
+        """All of it in some hundred KB: what a worker gets with every task, and unpacks at most once."""
+        parts = (self.tokens, [list(m) for m in self.merges], self.suffix, self.pattern, self.added)
+        return zlib.compress(json.dumps(parts).encode())
+
+    @classmethod
+    def unpacked(cls, packed: bytes) -> Vocabulary:
+        tokens, merges, *rest = json.loads(zlib.decompress(packed))
+        return cls(tokens, [tuple(m) for m in merges], *rest)
+
     @classmethod
     def load(cls, path: str) -> Vocabulary:
         """From a tokenizer file of the ``tokenizers`` library, read on the driver."""
@@ -142,7 +156,8 @@ class Encoder(dict):
                 if j >= 0:
                     self.shorter[i] = j
                     break
-        self.compatible: dict[tuple[int, int], bool] = {}
+        # By both tokens in one number, which takes less room than a pair.
+        self.compatible: dict[int, bool] = {}
         self.widest = max(map(len, self.by_text))
         self.letters = dict(enumerate(self.inner))
 
@@ -152,7 +167,7 @@ class Encoder(dict):
         The latest merge inside either token is undone step by step along the boundary; if at
         some step a merge across it came earlier than what was undone, they would have joined.
         """
-        known = self.compatible.get((a, b))
+        known = self.compatible.get(a << 32 | b)
         if known is not None:
             return known
         x, y, limit, good = a, b, 1 << 60, True
@@ -171,7 +186,7 @@ class Encoder(dict):
                 limit, y = ry + 1, self.left[y]
         if len(self.compatible) >= REMEMBERED_PAIRS:
             self.compatible.clear()
-        self.compatible[a, b] = good
+        self.compatible[a << 32 | b] = good
         return good
 
     def encode_symbols(self, word: str) -> list[int]:
@@ -179,8 +194,10 @@ class Encoder(dict):
         out, known = [], self.compatible
         last = -1
         for _, (token, _) in self.automaton.iter_long(word):
-            if last >= 0 and not (known[last, token] if (last, token) in known else self.fits(last, token)):
-                return self._backtrack(word)
+            if last >= 0:
+                fit = known.get(last << 32 | token)
+                if not (self.fits(last, token) if fit is None else fit):
+                    return self._backtrack(word)
             out.append(token)
             last = token
         return out
@@ -206,7 +223,7 @@ class Encoder(dict):
                 if alive[stop]:
                     if last < 0:
                         break
-                    fit = known.get((last, token))
+                    fit = known.get(last << 32 | token)
                     if self.fits(last, token) if fit is None else fit:
                         break
                 token = shorter[token]
@@ -295,15 +312,28 @@ class Decoder:
 _KEPT = "glyphmill_worker_codecs"
 
 
-def _codec(vocabulary: Vocabulary) -> tuple[Encoder, Decoder]:
-    """Encoder and decoder of a vocabulary, built once per worker process; one vocabulary is kept."""
+def _codec(fingerprint: str, packed: bytes) -> tuple[Encoder, Decoder]:
+    """Encoder and decoder of a packed vocabulary, built once per worker process; one vocabulary is kept."""
     kept = sys.modules.setdefault(_KEPT, types.ModuleType(_KEPT)).__dict__
-    if kept.get("fingerprint") != vocabulary.fingerprint:
+    if kept.get("fingerprint") != fingerprint:
+        vocabulary = Vocabulary.unpacked(packed)
         kept["codec"] = Encoder(vocabulary), Decoder(vocabulary)
-        kept["fingerprint"] = vocabulary.fingerprint
+        kept["fingerprint"] = fingerprint
     return kept["codec"]
 
 
+def _parts(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """A column of texts in slices of up to ``most`` bytes, one text at least; an empty column is one slice."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    if not len(texts):
+        yield texts
+    while start < len(texts):
+        stop = max(int(np.searchsorted(ends, (ends[start - 1] if start else 0) + most, "right")), start + 1)
+        yield texts.slice(start, stop - start)
+        start = stop
+
+
 def _lists(column: pa.Array) -> list[np.ndarray]:
     values = column.values.to_numpy(zero_copy_only=False)
     return [values[a:b] for a, b in zip(column.offsets.to_numpy()[:-1], column.offsets.to_numpy()[1:])]
@@ -316,10 +346,18 @@ def encode(vocabulary: Vocabulary, text: Column | str, packed: bool = False, dec
     One function gives both, so that no plan encodes a text twice; without ``decoded`` that field is null.
     """
     id_type = T.BinaryType() if packed else T.ArrayType(T.IntegerType())
+    fingerprint, tables = vocabulary.fingerprint, vocabulary.packed()
 
     @F.arrow_udf(T.StructType([T.StructField("ids", id_type), T.StructField("decoded", T.StringType())]))
-    def run(texts: pa.Array) -> pa.Array:
-        encoder, decoder = _codec(vocabulary)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, decoder = _codec(fingerprint, tables)
+        for batch in batches:
+            for texts in _parts(batch, ENCODED):
+                yield coded(texts, encoder, decoder)
+            # What the batch took is given back, so that an idle worker holds its tables only.
+            pa.default_memory_pool().release_unused()
+
+    def coded(texts: pa.Array, encoder: Encoder, decoder: Decoder) -> pa.Array:
         parts = [encoder.encode(t.as_py() or "") for t in texts]
         lists = [np.frombuffer(p, np.dtype("<u4")) for p in parts]
         back = [(decoder.decode(x) if len(x) else b"") if decoded else None for x in lists]
@@ -336,9 +374,11 @@ def encode(vocabulary: Vocabulary, text: Column | str, packed: bool = False, dec
 def decode(vocabulary: Vocabulary, ids: Column | str) -> Column:
     """The text of an array of token ids; null ids count as none."""
 
+    fingerprint, tables = vocabulary.fingerprint, vocabulary.packed()
+
     @F.arrow_udf(T.StringType())
     def run(column: pa.Array) -> pa.Array:
-        decoder = _codec(vocabulary)[1]
+        decoder = _codec(fingerprint, tables)[1]
         return pa.array([decoder.decode(x) if len(x) else b"" for x in _lists(column)], pa.binary()).view(pa.string())
 
     return run(ids)

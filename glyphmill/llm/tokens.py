@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are handled in slices of about so many bytes; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -132,6 +132,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             held += int(size)
         if start < batch.num_rows:
             yield batch.slice(start)
+        # What a batch took is given back: workers that wait hold little.
+        pa.default_memory_pool().release_unused()
 
 
 def signed(x: np.ndarray) -> np.ndarray:

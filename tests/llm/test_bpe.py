@@ -4,6 +4,7 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from glyphmill.llm import bpe
 from hypothesis import given, settings, strategies as st
@@ -87,3 +88,22 @@ def test_limits_of_memory_change_no_result(monkeypatch):
     encoder = bpe.Encoder(bpe.default_vocabulary())
     assert encoder.encode(text) == want and len(encoder) <= 50 and len(encoder.older) <= 50
     assert bpe.Decoder(bpe.default_vocabulary()).decode(np.frombuffer(want, "<u4")) == back
+
+
+def test_a_worker_gets_a_packed_vocabulary():
+    """A task brings some hundred KB, not the vocabulary as objects, and a worker hands on slices of a batch."""
+    packed = VOCABULARY.packed()
+    again = bpe.Vocabulary.unpacked(packed)
+    assert len(packed) < 1 << 20 and again.fingerprint == VOCABULARY.fingerprint
+    column = pa.array(["a b", None, "", "x" * 50, "é" * 30, "c"]).slice(1)
+    assert [part.to_pylist() for part in bpe._parts(column, 52)] == [[None, "", "x" * 50], ["é" * 30], ["c"]]
+    assert [part.to_pylist() for part in bpe._parts(column.slice(0, 0), 52)] == [[]]
+
+
+def test_slices_change_no_row(spark, monkeypatch):
+    texts = [None, "", "Lorem ipsum's", "a" * 3000, None, "x y " * 200, "ñ 1"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(bpe, "ENCODED", 100)
+    for row in bpe.tokenised(docs, VOCABULARY).collect():
+        ids = LIBRARY.encode(row.row.text or "", add_special_tokens=False).ids
+        assert list(row.ids) == ids and row.decoded == LIBRARY.decode(ids, skip_special_tokens=False)
