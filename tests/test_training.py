@@ -233,3 +233,19 @@ def test_words_of_a_task_are_merged_and_counted_together(monkeypatch):
                     seen[r["trigram"]] += r["freq"]
             assert {k: n for k, n in told.items() if n} == {k: n for k, n in after.items() if n}, seed
             assert merged == +last and seen == near, seed
+
+
+def test_rounds_share_a_look(spark, monkeypatch):
+    """Rounds that confirm few merges go on from one count of the words and write no words."""
+    counts, looks, writes, calls = random_counts(11), [], [], []
+    look, write, confirm = training._trigrams, training._Words._written, training.confirm
+    monkeypatch.setattr(training, "_trigrams", lambda rows: looks.append(1) or look(rows))
+    monkeypatch.setattr(training._Words, "_written", lambda words, df: writes.append(1) or write(words, df))
+
+    def few(rules, *rest):
+        calls.append(1)
+        return confirm(rules[: 4 * len(calls)], *rest)
+
+    monkeypatch.setattr(training, "confirm", few)
+    assert learned(learn_merges(counted(spark, counts), 272)) == brute.train(counts, 12)
+    assert len(calls) >= 3 and len(looks) == 1 and len(writes) == 1
