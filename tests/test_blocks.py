@@ -1,5 +1,6 @@
 """Words, ids and pairs by whole columns: equal to plain restatements, and laid out to scale."""
 
+import hashlib
 import random
 from collections import Counter
 
@@ -8,8 +9,8 @@ import pyarrow as pa
 import pytest
 from glyphmill.functions import merging
 from glyphmill.functions.text import WHITESPACE
-from glyphmill.operators import batches as bt, scoring as sc, words as wd
-from glyphmill.operators.tokenizer import Tokenizer
+from glyphmill.operators import batches as bt, ordering, scoring as sc, words as wd
+from glyphmill.operators.tokenizer import Tokenizer, token_rows
 
 
 def plain_words(text):
@@ -93,3 +94,53 @@ def test_encode_sends_texts(spark):
     encoded = df.select(Tokenizer(((b"a", b"b"),)).encode("text").alias("ids"))
     assert "split" not in plan_of(encoded)
     assert [r.ids for r in encoded.collect()] == [[260, 36, 260], None, []]
+
+
+@pytest.mark.parametrize("block", [10, 1 << 21])
+def test_encode_each_as_lists(monkeypatch, block):
+    monkeypatch.setattr(merging, "TEXT_BLOCK", block)
+    merger = merging.Merger(["aaX", "abY", "XaZ", "XXW", "XYa", "aaV"])
+    words = pa.array(["aab", None, "", "abab", "aab", "aaaaa", None, "é"] * 5, pa.string())
+    lists = pa.array([None if w is None else [w] for w in words.to_pylist()], pa.list_(pa.string()))
+    for rows in (slice(0, None), slice(3, 20), slice(1, 2), slice(0, 0)):
+        each = [x for part in merging.encode_each(words[rows], merger, 36) for x in part.to_pylist()]
+        assert each == [x for part in merging.encode_lists(lists[rows], merger, 36) for x in part.to_pylist()]
+
+
+def test_a_word_is_sent_as_it_is(spark):
+    df = spark.createDataFrame([("ab",), (None,), ("",), ("ab",)], "word string")
+    encoded = df.select(Tokenizer(((b"a", b"b"),)).encode_word("word").alias("ids"))
+    assert "array(word" not in plan_of(encoded)
+    assert [r.ids for r in encoded.collect()] == [[260], None, [], [260]]
+
+
+def test_token_rows_bound_batches(spark):
+    """A worker's memory follows neither the number nor the length of a partition's texts."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    token_rows(spark.createDataFrame([(1, "a")], "k int, text string"), Tokenizer(), "k")
+    assert int(spark.conf.get(key)) <= 4 << 20
+    spark.conf.set(key, "1000")
+    token_rows(spark.createDataFrame([(1, "a")], "k int, text string"), Tokenizer(), "k")
+    assert spark.conf.get(key) == "1000"
+    spark.conf.unset(key)
+
+
+def test_windows_are_filled(spark):
+    rows = [(n, list(range(1, n + 1))) for n in range(9)] + [(9, None)]
+    df = spark.createDataFrame(rows, "n int, token_ids array<int>")
+    for r in bt.model_rows(df, 5).collect():
+        ids = rows[r.n][1]
+        for got, by in ((r.input, 0), (r.target, 1)):
+            assert got == (None if ids is None else ([*ids, *[0] * 9])[by : by + 5])
+
+
+def test_a_shuffle_looks_for_no_bounds(spark, monkeypatch):
+    """Hashes deal the rows: the order is that of the hash, and nothing is sorted by range."""
+    monkeypatch.setattr(ordering, "_Sorted", None)
+    keys = [None, *range(3000)]
+    df = spark.createDataFrame([(k, 1) for k in keys], "k int, digits int")
+    ranked = ordering.shuffled_rank(df, "k", 7).collect()
+    order = sorted(keys, key=lambda k: hashlib.md5(f"7:{'' if k is None else k}".encode()).hexdigest())
+    assert [r.k for r in sorted(ranked, key=lambda r: r.rn)] == order
+    assert sorted(r.rn for r in ranked) == list(range(1, len(keys) + 1)) and all(r.digits == 1 for r in ranked)
