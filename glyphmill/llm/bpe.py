@@ -6,6 +6,9 @@ merging both texts together would have kept that boundary, which a walk down the
 trees decides and a table remembers. If nothing fits, the last token is shortened to its
 longest prefix that is a token. Places found to be dead ends are never entered again, so a
 word costs time linear in its length, and the result is exactly that of the merges.
+
+Texts are split and new words encoded side by side, as columns; long words, and a few at the
+end of a block, take the same steps one by one.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import ahocorasick
 import numpy as np
@@ -36,6 +40,14 @@ REMEMBERED_PAIRS = 200_000
 REMEMBERED = 60_000
 #: Remembered pieces are at most so many characters long; longer ones are encoded each time.
 REMEMBERED_LENGTH = 64
+#: Places of the table of pairs for words encoded side by side, 8 bytes each; a pair takes the place of the one before.
+PAIR_PLACES = 1 << 20
+#: Characters of the words that are encoded side by side; each takes some 200 bytes meanwhile.
+TOGETHER = 1 << 16
+#: So few words are encoded one by one.
+FEW = 16
+#: Pieces of listed texts that are held at a time.
+HELD = 1 << 16
 #: Tokens gathered at a time by a decoder, which needs some 24 bytes for every byte it gathers.
 GATHERED = 1 << 16
 #: Texts of more characters are split piece by piece instead of into a list of all pieces.
@@ -48,6 +60,9 @@ _OTHER = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ÿ]")
 _SIMPLE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-zß-öø-ÿ0-9]+")
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+# Kinds of lower-case Latin-1 characters as that pattern tells them apart: space, letter, digit, other.
+_KINDS = np.array([[bool(re.match(kind, chr(c))) for kind in ("[\t-\r ]", "[a-zß-öø-ÿ]", "[0-9]", "")].index(True) for c in range(256)], np.uint8)
+
 
 def byte_letters() -> list[str]:
     """The printable letter that byte-level vocabularies write for each byte."""
@@ -98,6 +113,46 @@ def _matches(pattern, text: str) -> Iterable[str]:
     return pattern.findall(text) if len(text) <= LISTED else (m[0] for m in pattern.finditer(text))
 
 
+class Lookup:
+    """Whole numbers (not negative) to whole numbers, found by columns; -1 for what is not there."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        size = 1 << (4 * len(keys)).bit_length()
+        self.keys, self.values = np.full(size, -1, np.int64), np.full(size, -1, np.int64)
+        place = self._place(keys)
+        while len(keys):
+            free = self.keys[place] < 0
+            self.keys[place[free]] = keys[free]
+            put = self.keys[place] == keys
+            self.values[place[put]] = values[put]
+            keys, values, place = keys[~put], values[~put], (place[~put] + 1) % size
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return _scattered(keys) % len(self.keys)
+
+    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        place = self._place(keys)
+        held, out = self.keys[place], self.values[place]
+        row = np.flatnonzero((held != keys) & (held >= 0))
+        while len(row):
+            place[row] = (place[row] + 1) % len(self.keys)
+            held = self.keys[place[row]]
+            out[row] = self.values[place[row]]
+            row = row[(held != keys[row]) & (held >= 0)]
+        return out
+
+
+def _scattered(keys: np.ndarray) -> np.ndarray:
+    """31 bits of each number, well mixed; products may wrap."""
+    return (keys ^ keys >> 29) * 0x1E3779B97F4A7C15 >> 32 & 0x7FFFFFFF
+
+
+def _gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of ranges, one range after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(sizes.sum())
+
+
 class Encoder(dict):
     """Texts to token ids; also the table of pieces already encoded, to packed ids.
 
@@ -144,22 +199,34 @@ class Encoder(dict):
         for text, i in self.by_text.items():
             self.sizes[i] = len(text)
             if len(text) == 1 or self.rank[i] >= 0:
-                automaton.add_word(text, (i, len(text)))
+                automaton.add_word(text, i)
         automaton.make_automaton()
         self.automaton = automaton
         self.by_text = {text: i for text, i in self.by_text.items() if len(text) == 1 or self.rank[i] >= 0}
+        # The trie of the tokens, from its root 0, and the longest token on the way to each node, or -1.
+        nodes, deepest = {"": 0}, [-1]
         # The longest proper prefix of each token that is a token, or -1.
         self.shorter = [-1] * n
-        for text, i in self.by_text.items():
-            for cut in range(len(text) - 1, 0, -1):
-                j = self.by_text.get(text[:cut], -1)
-                if j >= 0:
-                    self.shorter[i] = j
-                    break
+        edges: list[int] = []
+        for text, i in sorted(self.by_text.items()):
+            node = 0
+            for cut in range(1, len(text) + 1):
+                above, node = node, nodes.setdefault(text[:cut], len(nodes))
+                if node == len(deepest):
+                    edges.append(above << 10 | ord(text[cut - 1]))
+                    deepest.append(deepest[above])
+            self.shorter[i], deepest[node] = deepest[node], i
+        self.edges, self.deepest = Lookup(np.array(edges), np.arange(1, len(nodes))), np.array(deepest)
         # By both tokens in one number, which takes less room than a pair.
         self.compatible: dict[int, bool] = {}
         self.widest = max(map(len, self.by_text))
         self.letters = dict(enumerate(self.inner))
+        # The same tables as columns; no token (-1) has the size 0 and nothing shorter.
+        self.size_of, self.shorter_of = np.array([*self.sizes, 0]), np.array([*self.shorter, -1])
+        self.rank_of, self.left_of, self.right_of = np.array(self.rank), np.array(self.left), np.array(self.right)
+        self.rank_of_pair = Lookup(np.array([a << 32 | b for a, b in self.pairs], np.int64), np.fromiter(self.pairs.values(), np.int64))
+        # Twice a pair's number, and one more if it fits.
+        self.places = np.full(PAIR_PLACES, -1, np.int64)
 
     def fits(self, a: int, b: int) -> bool:
         """Whether the merges keep token ``a`` next to token ``b`` apart.
@@ -193,7 +260,7 @@ class Encoder(dict):
         """Longest matches from the left if all of them fit, else by backtracking."""
         out, known = [], self.compatible
         last = -1
-        for _, (token, _) in self.automaton.iter_long(word):
+        for _, token in self.automaton.iter_long(word):
             if last >= 0:
                 fit = known.get(last << 32 | token)
                 if not (self.fits(last, token) if fit is None else fit):
@@ -238,6 +305,118 @@ class Encoder(dict):
                 at -= sizes[token]
         return out
 
+    def _walks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``fits`` of many pairs, all walks side by side."""
+        good, row = np.ones(len(a), bool), np.arange(len(a))
+        x, y, limit = a, b, np.full(len(a), 1 << 60)
+        while len(row):
+            across = self.rank_of_pair[x << 32 | y]
+            joins = (across >= 0) & (across < limit)
+            good[row[joins]] = False
+            rx, ry = self.rank_of[x], self.rank_of[y]
+            go = ~joins & ((rx >= 0) | (ry >= 0))
+            row, x, y, rx, ry = row[go], x[go], y[go], rx[go], ry[go]
+            left = rx > ry
+            limit = np.where(left, rx, ry + 1)
+            x, y = np.where(left, self.right_of[x], x), np.where(left, y, self.left_of[y])
+        return good
+
+    def _fit(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``fits`` of many pairs, from the table or by walks that it then remembers."""
+        pair = a << 32 | b
+        place = _scattered(pair) % len(self.places)
+        held = self.places[place]
+        good = (held & 1).astype(bool)
+        new = np.flatnonzero(held >> 1 != pair)
+        if len(new):
+            _, first, back = np.unique(pair[new], return_index=True, return_inverse=True)
+            row = new[first]
+            fits = self._walks(a[row], b[row])
+            self.places[place[row]] = pair[row] << 1 | fits
+            good[new] = fits[back]
+        return good
+
+    def _longest_at(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The longest token that starts at each of the places: all of them down the trie."""
+        node, row = np.zeros(len(at), np.int64), np.arange(len(at))
+        while len(row):
+            below = self.edges[node[row] << 10 | symbols[at]]
+            go = below >= 0
+            row, at = row[go], at[go] + 1
+            node[row] = below[go]
+        return self.deepest[node]
+
+    def _side_by_side(self, pieces: list[str]) -> list[bytes]:
+        """Packed ids of pieces, by the steps of ``encode_symbols`` for all of them at once."""
+        raw = [piece.encode("utf-8") for piece in pieces]
+        end = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1) - 1
+        begin = np.concatenate([[0], end[:-1] + 1])
+        # One string of symbols, each word followed by one that no token has.
+        symbols = np.frombuffer(b"\0".join([*raw, b""]), np.uint8).astype(np.int64) + ord(self.inner[0])
+        symbols[end - 1] += ord(self.last[0]) - ord(self.inner[0])
+        symbols[end] = 0
+        found = self.automaton.iter_long(symbols.astype("<u2").tobytes().decode("utf-16-le"))
+        stop, token = np.fromiter(chain.from_iterable(found), np.int64).reshape(-1, 2).T
+        row = np.searchsorted(end, stop)
+        # The token that ends at each place.
+        ending = np.full(len(symbols), -1)
+        ending[stop + 1] = token
+        near = np.flatnonzero(row[1:] == row[:-1])
+        misfit = np.bincount(row, self.size_of[token], len(raw)) != end - begin
+        misfit[row[near[~self._fit(token[near], token[near + 1])]]] = True
+        one_by_one = self._backtracks(symbols, begin, end, np.flatnonzero(misfit), ending)
+
+        # Back from the ends, along the tokens that stayed.
+        at, start = np.delete(end, one_by_one), np.delete(begin, one_by_one)
+        stays = np.zeros(len(symbols), bool)
+        while len(at):
+            stays[at] = True
+            at = at - self.size_of[ending[at]]
+            go = at > start
+            at, start = at[go], start[go]
+        ids = ending[stays].astype("<u4").tobytes()
+        cuts = [0, *(4 * np.cumsum(stays)[end]).tolist()]
+        out = [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+        for i in one_by_one.tolist():
+            out[i] = array("I", self.encode_piece(pieces[i])).tobytes()
+        return out
+
+    def _backtracks(self, symbols: np.ndarray, begin: np.ndarray, end: np.ndarray, row: np.ndarray, ending: np.ndarray) -> np.ndarray:
+        """``_backtrack`` of many words into ``ending``; the rows it leaves are few."""
+        longest, places = np.full(len(symbols), -1), _gather(begin[row], end[row] - begin[row])
+        longest[places] = self._longest_at(symbols, places)
+        alive = np.ones(len(symbols), bool)
+        at, token = begin[row], longest[begin[row]]
+        while len(row) > FEW:
+            last = ending[at]
+            stop = at + self.size_of[token]
+            good = (token >= 0) & alive[stop]
+            ask = np.flatnonzero(good & (last >= 0))
+            good[ask] = self._fit(last[ask], token[ask])
+            ending[stop[good]] = token[good]
+            # What does not fit is shortened; with nothing left its place is dead, and the token before is shortened.
+            dead = token < 0
+            alive[at[dead]] = False
+            shorter = self.shorter_of[np.where(dead, last, token)]
+            at = np.where(good, stop, np.where(dead, at - self.size_of[last], at))
+            token = np.where(good, longest[at], shorter)
+            go = at < end[row]
+            row, at, token = row[go], at[go], token[go]
+        return row
+
+    def encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        """Packed ids of different pieces, by blocks that are encoded side by side."""
+        out: dict[str, bytes] = {}
+        ends = np.cumsum([0, *map(len, pieces)])
+        cuts = np.searchsorted(ends[:-1], np.arange(0, ends[-1] + TOGETHER, TOGETHER)).tolist()
+        for a, b in zip(cuts, cuts[1:]):
+            block = pieces[a:b]
+            if len(block) > FEW:
+                out.update(zip(block, self._side_by_side(block)))
+            else:
+                out.update((piece, array("I", self.encode_piece(piece)).tobytes()) for piece in block)
+        return out
+
     def encode_piece(self, piece: str) -> list[int]:
         if piece.isascii():
             word = piece[:-1].translate(self.letters) + self.last[ord(piece[-1])]
@@ -246,16 +425,26 @@ class Encoder(dict):
             word = raw[:-1].decode("latin-1").translate(self.letters) + self.last[raw[-1]]
         return self.encode_symbols(word)
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.older.get(piece)
-        if ids is None:
-            ids = array("I", self.encode_piece(piece)).tobytes()
-        if len(piece) <= REMEMBERED_LENGTH:
+    def known(self, pieces: list[str]) -> list[bytes]:
+        """Packed ids of different pieces: remembered, or encoded and then remembered."""
+        out = list(map(self.get, pieces))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        older = self.older.get
+        for i in missing:
+            out[i] = older(pieces[i])
+        fresh = self.encode_pieces([p for i in missing if out[i] is None and len(p := pieces[i]) <= REMEMBERED_LENGTH])
+        for i in missing:
+            piece = pieces[i]
+            if len(piece) > REMEMBERED_LENGTH:
+                out[i] = array("I", self.encode_piece(piece)).tobytes()
+                continue
+            if out[i] is None:
+                out[i] = fresh[piece]
             if len(self) >= REMEMBERED:
                 self.older = dict(self)
                 self.clear()
-            self[piece] = ids
-        return ids
+            self[piece] = out[i]
+        return out
 
     def _pieces(self, text: str) -> Iterable[str]:
         """A text normalised, in lower case, split by the pattern.
@@ -274,16 +463,85 @@ class Encoder(dict):
 
     def encode(self, text: str) -> bytes:
         """Packed ids of a text; the vocabulary's added tokens are found in it as they stand."""
-        if self.special and "<" in text and self.special.search(text):
-            out, at = [], 0
+        return self.encode_texts([text])[0]
+
+    def encode_texts(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of texts: those of ASCII and Latin-1 letters as columns, others as lists of pieces."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        plain: list[int] = []
+        held: list[list[str]] = []
+        owners: list[int] = []
+
+        def settle():
+            pieces = pa.array(chain.from_iterable(held), pa.string())
+            for i, ids in zip(owners, self._ids(pieces, list(map(len, held)))):
+                out[i].append(ids)
+            held.clear(), owners.clear()
+
+        for i, text in enumerate(texts):
+            if len(text) <= LISTED and not _OTHER.search(text) and not ("<" in text and self.special and self.special.search(text)):
+                plain.append(i)
+                continue
+            pieces = self._marked(text)
+            while run := list(islice(pieces, HELD)):
+                held.append(run)
+                owners.append(i)
+                if sum(map(len, held)) >= HELD:
+                    settle()
+        settle()
+        for i, ids in zip(plain, self._ids(*_cut([texts[i] for i in plain]))):
+            out[i].append(ids)
+        return [b"".join(runs) for runs in out]
+
+    def _marked(self, text: str) -> Iterator[str]:
+        """The pieces of a text; an added token is one that begins with a space, as no other does."""
+        at = 0
+        if self.special and "<" in text:
             for m in self.special.finditer(text):
-                out += [self._plain(text[at : m.start()]), np.uint32(self.added[m[0]]).tobytes()]
+                yield from self._pieces(text[at : m.start()])
+                yield " " + m[0]
                 at = m.end()
-            return b"".join([*out, self._plain(text[at:])])
-        return self._plain(text)
-
-    def _plain(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self._pieces(text)))
+        yield from self._pieces(text[at:])
+
+    def _ids(self, pieces: pa.Array, counts: list[int]) -> list[bytes]:
+        """Packed ids of texts of so many pieces each; every different piece is looked up once."""
+        coded = pieces.dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        added = {" " + t: np.uint32(i).tobytes() for t, i in self.added.items()}
+        ids = iter(self.known([w for w in words if w not in added]))
+        ids = [added[w] if w in added else next(ids) for w in words]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts, index = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        data = np.frombuffer(b"".join(ids), "<u4")[_gather(starts[index], sizes[index])].tobytes()
+        ends = np.concatenate([[0], 4 * np.cumsum(sizes[index])])[np.cumsum([0, *counts])].tolist()
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def _cut(texts: list[str]) -> tuple[pa.Array, list[int]]:
+    """The pieces that ``_SIMPLE`` finds in texts of ASCII and Latin-1 letters in lower case, and how many each text has."""
+    # Between texts stands a space; three more characters at the end keep looks ahead inside.
+    chars = np.frombuffer("\n".join([*texts, "\n\n\n"]).lower().encode("latin-1"), np.uint8)
+    kind = _KINDS[chars]
+    first = kind > 0
+    first[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    # An apostrophe that begins a piece takes the letters of a contraction with it.
+    at = np.flatnonzero((chars == ord("'")) & first)
+    one, two = chars[at + 1], chars[at + 2]
+    short = np.isin(one, list(b"stmd"))
+    long = (np.isin(one, list(b"rv")) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
+    first[at[short | long] + 1] = False
+    rest = np.concatenate([at[short] + 2, at[long] + 3])
+    first[rest] = kind[rest] > 0
+
+    ends = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    counts = np.diff(np.searchsorted(np.flatnonzero(first), ends)).tolist()
+    kept = kind > 0
+    chars, first = chars[kept], first[kept]
+    wide = np.cumsum(chars > 0x7F)
+    offsets = np.flatnonzero(np.append(first, True)).astype(np.int32)
+    offsets[1:] += wide[offsets[1:] - 1].astype(np.int32)
+    data = chars.tobytes().decode("latin-1").encode("utf-8")
+    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(data)), counts
 
 
 class Decoder:
@@ -302,10 +560,7 @@ class Decoder:
 
     def _gathered(self, ids: np.ndarray) -> bytes:
         starts = self.offsets[ids]
-        sizes = self.offsets[ids + 1] - starts
-        before = np.cumsum(sizes) - sizes
-        index = np.repeat(starts - before, sizes) + np.arange(sizes.sum())
-        return self.data[index].tobytes()
+        return self.data[_gather(starts, self.offsets[ids + 1] - starts)].tobytes()
 
 
 #: Where a worker process keeps what it has built; outlives the functions a task unpickles.
@@ -358,7 +613,7 @@ def encode(vocabulary: Vocabulary, text: Column | str, packed: bool = False, dec
             pa.default_memory_pool().release_unused()
 
     def coded(texts: pa.Array, encoder: Encoder, decoder: Decoder) -> pa.Array:
-        parts = [encoder.encode(t.as_py() or "") for t in texts]
+        parts = encoder.encode_texts([t or "" for t in texts.to_pylist()])
         lists = [np.frombuffer(p, np.dtype("<u4")) for p in parts]
         back = [(decoder.decode(x) if len(x) else b"") if decoded else None for x in lists]
         if packed:

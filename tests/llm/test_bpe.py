@@ -107,3 +107,54 @@ def test_slices_change_no_row(spark, monkeypatch):
     for row in bpe.tokenised(docs, VOCABULARY).collect():
         ids = LIBRARY.encode(row.row.text or "", add_special_tokens=False).ids
         assert list(row.ids) == ids and row.decoded == LIBRARY.decode(ids, skip_special_tokens=False)
+
+
+def test_new_words_are_encoded_side_by_side(monkeypatch):
+    """Over its budget of CPU seconds on 0.5 GB when each new word was encoded by itself."""
+    rng = np.random.default_rng(5)
+    parts = ["an", "der", "ción", "ie", "th", "of", "ing", "ü", "sh", "ed", "wh", "ea", "x", "ß", "ll", "в", "字"]
+    texts = [" ".join("".join(rng.choice(parts, rng.integers(1, 9))) for _ in range(300)) + "'s." for _ in range(60)]
+    encoder, calls = bpe.Encoder(VOCABULARY), []
+    monkeypatch.setattr(bpe.Encoder, "_backtrack", lambda self, word, one=bpe.Encoder._backtrack: calls.append(word) or one(self, word))
+    column = pa.array(texts)
+    got = [ids for part in bpe._parts(column, bpe.ENCODED) for ids in encoder.encode_texts(part.to_pylist())]
+    for text, ids in zip(texts, got):
+        assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert len(calls) < 500
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="abcdeinrst' .1éÀ🙂ñ\x1c", max_size=40), min_size=30, max_size=60))
+def test_texts_together(texts):
+    texts = [*texts, "a<|endoftext|>b " + texts[0], ""]
+    ENCODER.clear(), ENCODER.older.clear()
+    for text, ids in zip(texts, ENCODER.encode_texts(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids, text
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.lists(st.text(alphabet="'stmdrevlaÉ1 .\n\x1f\x0b", max_size=30), max_size=5))
+def test_cut_is_what_the_pattern_finds(texts):
+    pieces, counts = bpe._cut(texts)
+    assert pieces.to_pylist() == [p for t in texts for p in bpe._SIMPLE.findall(t.lower())]
+    assert counts == [len(bpe._SIMPLE.findall(t.lower())) for t in texts]
+
+
+def test_small_blocks_and_tables_change_no_result(monkeypatch):
+    texts = [" ".join(f"Word{i % 90}an naïve{i % 37}ers x{i}y thofan{i % 50} Ωmega{'ab' * (i % 40)}" for i in range(300)) for _ in range(2)]
+    texts += ["plain words 've been", "", "thofan " * 50]
+    want = [bpe.Encoder(VOCABULARY).encode(text) for text in texts]
+    for name, least in (("PAIR_PLACES", 7), ("TOGETHER", 90), ("FEW", 2), ("HELD", 5), ("REMEMBERED", 20), ("REMEMBERED_LENGTH", 12)):
+        monkeypatch.setattr(bpe, name, least)
+    small = bpe.Encoder(VOCABULARY)
+    assert small.encode_texts(texts) == want
+    assert len(small) <= 20 and len(small.places) == 7
+    for text, ids in zip(texts, want):
+        assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_lookup():
+    keys = np.unique(np.random.default_rng(3).integers(0, 1 << 40, 5000))
+    table = bpe.Lookup(keys, np.arange(len(keys)))
+    assert table[keys].tolist() == list(range(len(keys)))
+    assert (table[np.setdiff1d(keys + 1, keys)] == -1).all()
